@@ -16,7 +16,11 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A shuffled join whose measured pieces are this small needs no sort.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Checkpointed group statistics are removed once no plan refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Window state lives off heap and on local disk, with changelogs in the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tradeloom.functions.columns import alert_direction_hint, alert_subject, money_text, percent_text
 
 
-def alert_summary(gold: DataFrame, file_col: str) -> DataFrame:
-    """Alerts per file and ticker. Rows without a ticker are in no group."""
-    return gold.dropna(subset=["ticker"]).groupBy(file_col, "ticker").agg(
+def _per_ticker(gold: DataFrame, file_col: str) -> DataFrame:
+    return gold.groupBy(file_col, "ticker").agg(
+        F.count("*").alias("rows"),
         F.count("trade_id").alias("alerts"),
         F.avg("deviation_pct").alias("avg_deviation"),
         F.max("deviation_pct").alias("max_deviation"),
@@ -19,16 +19,18 @@ def alert_summary(gold: DataFrame, file_col: str) -> DataFrame:
     )
 
 
+def alert_summary(gold: DataFrame, file_col: str) -> DataFrame:
+    """Alerts per file and ticker. Rows without a ticker are in no group."""
+    return _per_ticker(gold.dropna(subset=["ticker"]), file_col).drop("rows")
+
+
 def alert_digest(gold: DataFrame, file_col: str, threshold: float = 0.01, tickers_per_part: int = 500) -> DataFrame:
     """(file, part, subject, body): totals of the file and a block per ticker, in ticker order.
 
     Alerts are reduced to one row per ticker before any text is made. A file with more than
     ``tickers_per_part`` tickers gets several parts, so no row grows without bound and none is cut.
+    Alerts without a ticker count in the file's total and have no block.
     """
-    # Alerts without a ticker count in the total only: they ride along as a group of their own.
-    groups = gold.groupBy(file_col, "ticker").agg(F.count("*").alias("rows"))
-    sizes = groups.groupBy(file_col).agg(F.sum("rows").alias("total"), F.count("ticker").alias("tickers"))
-
     avg_price, avg_window = F.col("avg_price"), F.col("avg_window_price")
     block = F.concat(
         F.format_string("%s: %d alerts\n", "ticker", "alerts"),
@@ -37,22 +39,25 @@ def alert_digest(gold: DataFrame, file_col: str, threshold: float = 0.01, ticker
         F.lit("  price "), money_text(avg_price), F.lit(", "), alert_direction_hint(avg_price, avg_window),
         F.lit(" the average of "), money_text(avg_window), F.lit("\n"),
     )
-    place = F.row_number().over(Window.partitionBy(file_col).orderBy("ticker"))
-    blocks = alert_summary(gold, file_col).select(
-        file_col, "ticker", block.alias("block"), F.floor((place - 1) / tickers_per_part).cast("int").alias("part")
+    whole = Window.partitionBy(file_col)
+    place = F.row_number().over(whole.orderBy(F.asc_nulls_last("ticker")))
+    named = F.col("ticker").isNotNull()
+    parts = (
+        _per_ticker(gold, file_col)
+        .withColumn("total", F.sum("rows").over(whole))
+        .withColumn("tickers", F.count("ticker").over(whole))
+        .withColumn("part", F.when(named, F.floor((place - 1) / tickers_per_part)).otherwise(0).cast("int"))
+        .groupBy(file_col, "total", "tickers", "part")
+        .agg(F.array_sort(F.collect_list(F.when(named, F.struct("ticker", block.alias("block"))))).alias("blocks"))
     )
-    texts = blocks.groupBy(file_col, "part").agg(
-        F.array_sort(F.collect_list(F.struct("ticker", "block"))).alias("blocks")
-    )
-
     head = F.concat(
         F.format_string("%d trades flagged across %d tickers\n", "total", "tickers"),
         F.lit("File: "), F.col(file_col), F.lit("\n\n"),
     )
     foot = F.lit(f"\nThreshold: {threshold * 100:g}% from the average\n")
-    return sizes.join(texts, file_col, "left").select(
+    return parts.select(
         F.col(file_col).alias("file"),
-        F.coalesce("part", F.lit(0)).alias("part"),
+        "part",
         alert_subject(F.col("total"), F.col("tickers")).alias("subject"),
-        F.concat(head, F.coalesce(F.array_join("blocks.block", "\n"), F.lit("")), foot).alias("body"),
+        F.concat(head, F.array_join("blocks.block", "\n"), foot).alias("body"),
     )

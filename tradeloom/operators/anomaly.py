@@ -28,12 +28,24 @@ def _flag(rows: DataFrame, group: list[str], threshold: float, as_of: datetime |
     """Trades further than ``threshold`` from the average of their group, itself included.
 
     Averages come from a partial aggregation and go back to the rows by a join: a window function
-    over the group would pull all trades of a busy ticker into one task.
+    over the group would pull all trades of a busy ticker into one task. A group holds a flagged trade
+    just when its lowest or highest price is one, so only those groups enter the join.
     """
-    joined = join_group_stats(rows, ticker_batch_avg(rows, tuple(group)), group, "window_trade_count")
     price, avg = F.col("price"), F.col("window_avg_price")
+    stats = (
+        rows.groupBy(*group)
+        .agg(
+            F.avg("price").alias("window_avg_price"),
+            F.count("*").alias("window_trade_count"),
+            F.min("price").alias("low"),
+            F.max("price").alias("high"),
+        )
+        .where((deviation(F.col("low"), avg) > threshold) | (deviation(F.col("high"), avg) > threshold))
+        .drop("low", "high")
+    )
     return (
-        joined.withColumn("deviation_pct", deviation(price, avg))
+        join_group_stats(rows, stats, group, "window_trade_count")
+        .withColumn("deviation_pct", deviation(price, avg))
         .where(F.col("deviation_pct") > threshold)
         .withColumn("direction", direction(price, avg))
         .select(*[g for g in group if g != "ticker"], *ALERT_COLUMNS, clock(as_of).alias("detected_at"))
@@ -67,7 +79,7 @@ def anomaly_summary(gold: DataFrame) -> DataFrame:
             F.count_if(F.col("direction") == "above").alias("above_count"),
             F.count_if(F.col("direction") == "below").alias("below_count"),
         )
-        .orderBy(F.desc("anomaly_count"), "ticker")
+        .orderBy(F.desc("anomaly_count"), F.asc_nulls_last("ticker"))
     )
 
 
@@ -80,7 +92,7 @@ def anomaly_timeline(gold: DataFrame, ts: str = "detected_at") -> DataFrame:
             F.count_distinct("ticker").alias("tickers_affected"),
             F.round(F.avg("deviation_pct") * 100, 2).alias("avg_deviation_pct"),
         )
-        .orderBy("minute")
+        .orderBy(F.asc_nulls_last("minute"))
     )
 
 

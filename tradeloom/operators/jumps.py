@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = (
-    "ticker string, part int, first_time timestamp, first_id string, first_price double, "
-    "last_price double, largest double"
-)
+CHUNK = "ticker string, part int, first_price double, last_price double, largest double"
 
 
 def price_jump(df: DataFrame, limit_pct: float = 2.0) -> DataFrame:
@@ -22,17 +19,17 @@ def price_jump(df: DataFrame, limit_pct: float = 2.0) -> DataFrame:
     ``lag`` over the ticker would sort all its trades in one task. The trades are range-partitioned
     by (ticker, time, id, price) instead, so a busy ticker spreads over many partitions; each partition
     reduces a ticker's run to its first price, last price and largest inner step. Those chunks, at most
-    one per ticker and partition, are then put in order and the steps across their borders added.
+    one per ticker and partition, follow each other in partition order, and the steps across their
+    borders are added.
     """
     order = ["ticker", "event_time", "trade_id", "price"]
     rows = df.select(*order).dropna(subset=["ticker", "event_time", "price"])
     # Equal rows may stand in any order, so the partition they were read in can split a heap of them.
     rows = rows.withColumn("read_in", F.spark_partition_id())
-    ranged = rows.repartitionByRange(*order, "read_in").sortWithinPartitions(*order).drop("read_in")
-    chunks = ranged.mapInPandas(_chunk_reducer(), CHUNK)
+    ranged = rows.repartitionByRange(*order, "read_in").sortWithinPartitions(*order)
+    chunks = ranged.select("ticker", "price").mapInArrow(_chunk_reducer(), CHUNK)
 
-    w = Window.partitionBy("ticker").orderBy("first_time", "first_id", "first_price", "part")
-    before = F.lag("last_price").over(w)
+    before = F.lag("last_price").over(Window.partitionBy("ticker").orderBy("part"))
     border = F.try_divide(F.abs(F.col("first_price") - before), before) * 100
     return (
         chunks.withColumn("largest", F.greatest("largest", border))
@@ -45,47 +42,50 @@ def price_jump(df: DataFrame, limit_pct: float = 2.0) -> DataFrame:
 def _chunk_reducer():
     """The per-partition pass. Nested, so that it travels to the executors by value."""
 
-    def runs(pdf: pd.DataFrame) -> Iterator[dict]:
-        tickers = pdf["ticker"].to_numpy(dtype=object)
-        prices = pdf["price"].to_numpy(dtype="float64")
-        starts = np.flatnonzero(np.r_[True, tickers[1:] != tickers[:-1]])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            steps = np.abs(prices[1:] - prices[:-1]) / prices[:-1] * 100
-        steps[prices[:-1] == 0] = np.nan
-        for lo, hi in zip(starts, np.r_[starts[1:], len(prices)]):
-            inner = steps[lo : hi - 1]
-            inner = inner[~np.isnan(inner)]
-            yield {
-                "ticker": tickers[lo],
-                "first_time": pdf["event_time"].iat[lo],
-                "first_id": pdf["trade_id"].iat[lo],
-                "first_price": prices[lo],
-                "last_price": prices[hi - 1],
-                "largest": inner.max() if len(inner) else None,
-            }
-
-    def join(a: dict, b: dict) -> dict:
-        found = [x for x in (a["largest"], b["largest"]) if x is not None]
-        if a["last_price"] != 0:
-            found.append(abs(b["first_price"] - a["last_price"]) / a["last_price"] * 100)
-        return {**a, "last_price": b["last_price"], "largest": max(found) if found else None}
-
-    def reduce_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        columns = ["ticker", "part", "first_time", "first_id", "first_price", "last_price", "largest"]
-        open_run = None
-        for pdf in batches:
-            done = []
-            for run in runs(pdf) if len(pdf) else ():
-                if open_run is not None and open_run["ticker"] == run["ticker"]:
-                    open_run = join(open_run, run)
-                else:
-                    if open_run is not None:
-                        done.append(open_run)
-                    open_run = run
-            if done:
-                yield pd.DataFrame(done).assign(part=part)[columns]
-        if open_run is not None:
-            yield pd.DataFrame([open_run]).assign(part=part)[columns]
+
+        def emit(runs: list[list]) -> pa.RecordBatch:
+            ticker, first, last, largest = zip(*runs)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ticker, pa.string()),
+                    pa.array([part] * len(runs), pa.int32()),
+                    pa.array(first, pa.float64()),
+                    pa.array(last, pa.float64()),
+                    # NaN marks a run without a step
+                    pa.array(np.array(largest, dtype="float64"), pa.float64(), from_pandas=True),
+                ],
+                names=["ticker", "part", "first_price", "last_price", "largest"],
+            )
+
+        run = None  # [ticker, first price, last price, largest step] of the ticker being read
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ticker = batch.column(0).dictionary_encode()
+            code = ticker.indices.to_numpy()
+            price = batch.column(1).to_numpy()
+            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+            names = ticker.dictionary.take(pa.array(code[starts])).to_pylist()
+
+            goes_on = run is not None and run[0] == names[0]
+            previous = np.r_[run[2] if goes_on else np.nan, price[:-1]]
+            previous[starts[1:]] = np.nan
+            previous[previous == 0] = np.nan
+            largest = np.fmax.reduceat(np.abs(price - previous) / previous * 100, starts)
+            ends = np.r_[starts[1:], len(price)] - 1
+
+            runs = [list(r) for r in zip(names, price[starts], price[ends], largest)]
+            if goes_on:
+                runs[0][1] = run[1]
+                runs[0][3] = np.fmax(runs[0][3], run[3])
+            elif run is not None:
+                runs.insert(0, run)
+            run = runs.pop()
+            if runs:
+                yield emit(runs)
+        if run is not None:
+            yield emit([run])
 
     return reduce_partition

@@ -46,4 +46,4 @@ def join_group_stats(
     spread = stats.withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > share, parts - 1).otherwise(0)))
     ).withColumn("salt", F.col("salt").cast("long"))
-    return salted.join(spread.hint("shuffle_hash"), [*keys, "salt"]).drop("salt")
+    return salted.join(spread, [*keys, "salt"]).drop("salt")

@@ -18,7 +18,7 @@ def ticker_stats(bronze: DataFrame) -> DataFrame:
             F.min("event_time").alias("first_trade"),
             F.max("event_time").alias("last_trade"),
         )
-        .orderBy(F.desc("trade_count"), "ticker")
+        .orderBy(F.desc("trade_count"), F.asc_nulls_last("ticker"))
     )
 
 
@@ -77,7 +77,7 @@ def distinct_tickers(df: DataFrame) -> DataFrame:
 
 def top_tickers(df: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` tickers with the most trades."""
-    return df.groupBy("ticker").agg(F.count("*").alias("trades")).orderBy(F.desc("trades"), "ticker").limit(n)
+    return df.groupBy("ticker").agg(F.count("*").alias("trades")).orderBy(F.desc("trades"), F.asc_nulls_last("ticker")).limit(n)
 
 
 def batch_profile(df: DataFrame, top: int = 10) -> DataFrame:
@@ -98,7 +98,7 @@ def batch_profile(df: DataFrame, top: int = 10) -> DataFrame:
         pairs.groupBy("source").agg(rows.alias("trades")).select(
             F.lit("source").alias("section"), F.col("source").alias("name"), "trades"
         ),
-        by_ticker.orderBy(F.desc("trades"), "ticker").limit(top).select(
+        by_ticker.orderBy(F.desc("trades"), F.asc_nulls_last("ticker")).limit(top).select(
             F.lit("top_ticker").alias("section"), F.col("ticker").alias("name"), "trades"
         ),
     ]

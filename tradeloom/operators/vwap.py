@@ -21,13 +21,35 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
     rows = silver_project(trades)
     if watermark:
         rows = rows.withWatermark("event_time", watermark)
-    return rows.groupBy(F.window("event_time", duration), "ticker").agg(
-        F.try_divide(F.sum("notional"), F.sum("quantity")).alias("vwap"),
-        F.sum("quantity").alias("total_volume"),
-        F.count("*").alias("trade_count"),
-        F.min("price").alias("low_price"),
-        F.max("price").alias("high_price"),
-        F.avg(F.when(F.col("side") == "buy", 1).otherwise(0)).alias("buy_ratio"),
+    rows = rows.select(
+        F.window("event_time", duration).alias("window"),
+        "ticker",
+        "source",
+        F.col("price").alias("low"),
+        F.col("price").alias("high"),
+        "notional",
+        F.col("quantity").cast("long").alias("volume"),
+        F.lit(1).cast("long").alias("trades"),
+        F.when(F.col("side") == "buy", 1).otherwise(0).cast("long").alias("buys"),
+    )
+    if not rows.isStreaming:
+        # The least of a text column cannot be kept in a hash aggregate, and sorting all trades for it
+        # costs several times the rest. So the trades are first reduced with the source as a key.
+        rows = rows.groupBy("window", "ticker", "source").agg(
+            F.sum("notional").alias("notional"),
+            F.sum("volume").alias("volume"),
+            F.sum("trades").alias("trades"),
+            F.sum("buys").alias("buys"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+    return rows.groupBy("window", "ticker").agg(
+        F.try_divide(F.sum("notional"), F.sum("volume")).alias("vwap"),
+        F.sum("volume").alias("total_volume"),
+        F.sum("trades").alias("trade_count"),
+        F.min("low").alias("low_price"),
+        F.max("high").alias("high_price"),
+        F.try_divide(F.sum("buys"), F.sum("trades")).alias("buy_ratio"),
         F.min("source").alias("source"),
     )
 
@@ -35,9 +57,8 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
 def closed_windows(silver: DataFrame, trades: DataFrame, watermark: str = "10 seconds") -> DataFrame:
     """The windows an append-mode stream over these trades has written: those whose end the
     watermark (latest event time less the delay) has reached."""
-    latest = trades.agg((F.max("event_time") - F.expr(f"INTERVAL {watermark}")).alias("reached"))
-    # One row by construction, hence safe to broadcast.
-    return silver.join(F.broadcast(latest), silver.window_end <= latest.reached).drop("reached")
+    reached = trades.agg(F.max("event_time") - F.expr(f"INTERVAL {watermark}")).scalar()
+    return silver.where(F.col("window_end") <= reached)
 
 
 def on_day(day: date) -> Column:
@@ -88,7 +109,7 @@ def reconcile_windows(bronze: DataFrame, silver: DataFrame, day: date) -> DataFr
 
 def vwap_reconcile(bronze: DataFrame, silver: DataFrame, day: date, n: int = 50) -> DataFrame:
     """The ``n`` windows where streamed and recomputed VWAP differ most."""
-    return reconcile_windows(bronze, silver, day).orderBy(F.desc("diff_pct"), "ticker", "minute").limit(n)
+    return reconcile_windows(bronze, silver, day).orderBy(F.desc("diff_pct"), F.asc_nulls_last("ticker"), "minute").limit(n)
 
 
 def vwap_reconcile_coverage(bronze: DataFrame, silver: DataFrame, day: date) -> DataFrame:
@@ -127,7 +148,7 @@ def window_divergence(silver_1min: DataFrame, silver_5min: DataFrame) -> DataFra
 
 def vwap_1m_vs_5m(silver_1min: DataFrame, silver_5min: DataFrame, n: int = 30) -> DataFrame:
     """The ``n`` 1-minute windows furthest from their 5-minute window."""
-    return window_divergence(silver_1min, silver_5min).orderBy(F.desc("divergence_pct"), "ticker", "minute").limit(n)
+    return window_divergence(silver_1min, silver_5min).orderBy(F.desc("divergence_pct"), F.asc_nulls_last("ticker"), "minute").limit(n)
 
 
 def _dashboard_columns(silver: DataFrame) -> DataFrame:
@@ -145,7 +166,7 @@ def _dashboard_columns(silver: DataFrame) -> DataFrame:
 
 def vwap_dashboard(silver: DataFrame, n: int = 50) -> DataFrame:
     """The ``n`` newest rows."""
-    return _dashboard_columns(silver).orderBy(F.desc("window_start"), "ticker").limit(n)
+    return _dashboard_columns(silver).orderBy(F.desc("window_start"), F.asc_nulls_last("ticker")).limit(n)
 
 
 def vwap_latest(silver: DataFrame) -> DataFrame:

@@ -112,7 +112,10 @@ def vendor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = F.unix_millis("event_time")
 
     def item(price: Column, at: Column) -> Column:
-        return F.format_string('{"s":"%s","p":%s,"v":%s,"t":%d}', "ticker", price.cast("string"), volume, at)
+        return F.concat(
+            F.lit('{"s":"'), "ticker", F.lit('","p":'), price.cast("string"), F.lit(',"v":'), volume,
+            F.lit(',"t":'), at.cast("string"), F.lit("}"),
+        )
 
     both = F.concat_ws(",", item(F.col("price"), ms), item(F.col("price") + 1, ms + 1))
     return rows.select(F.concat(F.lit('{"type":"'), kind, F.lit('","data":['), both, F.lit("]}")).alias("message"))

@@ -18,7 +18,9 @@ def _open(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.S
     reader = spark.readStream.format(fmt).options(**options)
     if fmt in ("json", "parquet"):
         reader = reader.schema(schema)
-    return reader.load()
+    df = reader.load()
+    # Kafka puts the key first; the payload is in the value.
+    return df.select("value") if fmt == "kafka" else df
 
 
 def stream_source(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.StructType = WIRE) -> DataFrame:
@@ -40,7 +42,13 @@ def parse_trade_json(df: DataFrame, col: str, schema: T.StructType = WIRE) -> Da
 
     Text that is no JSON gives a row of NULLs; a field of the wrong type gives NULL in that field.
     """
-    return df.select(F.from_json(_quoted(col).cast("string"), schema).alias("t")).select("t.*")
+    return df.select(_fields(col, schema))
+
+
+def _fields(col: str, schema: T.StructType) -> Column:
+    """The parsed fields as columns. They come out of a generator, through which Spark moves no filter:
+    a plain struct would be parsed again for every condition on one of its fields."""
+    return F.inline(F.array(F.from_json(_quoted(col).cast("string"), schema)))
 
 
 def resolve_payload(df: DataFrame, schema: T.StructType = WIRE) -> DataFrame:
@@ -63,12 +71,16 @@ def trade_payload(schema: T.StructType = WIRE) -> Column:
 
 def quarantine(df: DataFrame, col: str, schema: T.StructType = WIRE) -> DataFrame:
     """Payloads that did not parse in full, with the list of required fields that came out NULL."""
+    parsed = df.select(_quoted(col).cast("string").alias("payload"), _fields(col, schema))
+
+    def lost(name: str) -> Column:
+        value = F.try_to_timestamp("timestamp") if name == "timestamp" else F.col(name)
+        return F.when(value.isNull(), F.lit(name))
+
     required = [f.name for f in schema.fields if not f.nullable]
-    t = F.from_json(_quoted(col).cast("string"), schema)
-    parsed = df.select(_quoted(col).cast("string").alias("payload"), t.alias("t"))
-    lost = [F.when(F.col("t")[name].isNull(), F.lit(name)) for name in required if name != "timestamp"]
-    lost.append(F.when(F.try_to_timestamp(F.col("t")["timestamp"]).isNull(), F.lit("timestamp")))
-    return parsed.select("payload", F.array_compact(F.array(*lost)).alias("lost_fields")).where(F.size("lost_fields") > 0)
+    return parsed.select(
+        "payload", F.array_compact(F.array(*[lost(name) for name in required])).alias("lost_fields")
+    ).where(F.size("lost_fields") > 0)
 
 
 def _quoted(name: str) -> Column:

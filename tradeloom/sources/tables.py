@@ -48,13 +48,19 @@ def table_register(spark: SparkSession, cfg: Config) -> list[str]:
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet {by} LOCATION '{cfg.table_path(table)}'"
         )
-        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        # A run without alerts leaves no gold folder to look into.
+        if any(c.isPartition for c in spark.catalog.listColumns(name)) and _exists(spark, cfg.table_path(table)):
             spark.sql(f"MSCK REPAIR TABLE {name}")
         spark.catalog.refreshTable(name)
         names.append(name)
     return names
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def table_describe(spark: SparkSession, name: str) -> DataFrame:
     """Columns of a registered table in order, with type, partition mark and the table's location."""
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]

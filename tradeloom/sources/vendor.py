@@ -15,10 +15,12 @@ def normalize_vendor_trades(df: DataFrame, col: str) -> DataFrame:
     Items of one symbol and millisecond share an id, so ``item`` gives the place in the message.
     """
     message = F.from_json(F.col(col).cast("string"), VENDOR_MESSAGE)
+    # The outer form keeps Spark from testing the array below the parse, which would parse twice.
     items = (
         df.select(message.alias("m"))
-        .where(F.col("m.type") == "trade")
-        .select(F.posexplode("m.data").alias("item", "d"))
+        .select(F.when(F.col("m.type") == "trade", F.col("m.data")).alias("items"))
+        .select(F.posexplode_outer("items").alias("item", "d"))
+        .where(F.col("item").isNotNull())
     )
     return items.select(
         F.concat_ws("-", F.lit(VENDOR_ID_PREFIX), F.col("d.t").cast("string"), "d.s").alias("trade_id"),
