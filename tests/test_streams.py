@@ -141,6 +141,27 @@ def test_bronze_resumes_where_it_stopped(spark, tmp_path):
     assert run() == 3
 
 
+def test_busy_ticker_is_written_by_several_tasks(spark, tmp_path):
+    """Eight deliveries in one batch, half the trades in one ticker: its partition is split, others are not."""
+    for n in range(8):
+        busy = [trade(f"{n}-{i}", "HOT", price=i + 0.123 * n) for i in range(3000)]
+        deliver(tmp_path / "feed", n, busy + [trade(f"{n}+{i}", f"T{i % 5}") for i in range(1500)])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    # One file per read task
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600KB")
+    try:
+        wire = feed(spark, tmp_path / "feed", per_batch=8)
+        sinks.bronze_append(wire, str(tmp_path / "b"), str(tmp_path / "c"), None).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    table = read_table(spark, str(tmp_path / "b"), "bronze_raw_trades")
+    assert table.count() == 8 * 4500
+    files = [f for f in table.inputFiles()]
+    assert sum("ticker=HOT" in f for f in files) > 1
+    assert all(sum(f"ticker=T{i}/" in f for f in files) == 1 for i in range(5))
+
+
 def test_batch_repeated_after_a_crash_counts_once(spark, tmp_path):
     """Files left by a batch that never committed, and a commit that was lost, leave no double rows."""
     deliver(tmp_path / "feed", 0, [trade(i) for i in range(9)])
@@ -203,9 +224,8 @@ def test_alert_files_as_a_stream(spark, tmp_path):
     assert spark.table(name).where("file LIKE '%batch_id=0/%'").count() == 2
 
 
-def config(tmp_path, **more):
-    cfg = Config(root=str(tmp_path), trigger=None, **more)
-    return Config(root=cfg.root, run_id=cfg.run_id, database=f"db_{cfg.run_id}", trigger=None, **more)
+def config(tmp_path):
+    return Config(root=str(tmp_path), trigger=None)
 
 
 def test_medallion_run(spark, small_sf, tmp_path):
@@ -235,5 +255,6 @@ def test_a_run_without_alerts_has_an_empty_gold_table(spark, tmp_path):
 
 def test_fresh_config_shares_no_path(tmp_path):
     cfg = Config(root=str(tmp_path))
+    assert cfg.fresh().database != cfg.database and Config(root="r", catalog="c").fresh().database == "c"
     assert cfg.fresh().table_path("x") != cfg.table_path("x")
     assert cfg.fresh().checkpoint_path("x") != cfg.checkpoint_path("x")

@@ -34,6 +34,12 @@ def test_only_needed_columns_are_read(spark, stored):
     assert "ReadSchema: struct<source:string>" in text
 
 
+def test_a_name_is_not_moved_to_another_run(spark, stored):
+    other = Config(root=stored.root, catalog=stored.database)
+    with pytest.raises(ValueError, match="is registered for"):
+        tables.table_register(spark, other)
+
+
 def test_describe(spark, stored):
     got = tables.table_describe(spark, f"{stored.database}.bronze_raw_trades").orderBy("position").collect()
     assert [r["col_name"] for r in got if r["is_partition"]] == ["year", "month", "day", "ticker"]
@@ -42,7 +48,7 @@ def test_describe(spark, stored):
 
 def test_describe_a_streamed_table(spark, tmp_path):
     deliver(tmp_path / "feed", 0, [trade(1)])
-    cfg = Config(root=str(tmp_path), trigger=None, database="db_streamed")
+    cfg = Config(root=str(tmp_path), trigger=None, catalog="db_streamed")
     wire = resolve_payload(stream_source(spark, "text", {"path": str(tmp_path / "feed")}))
     sinks.bounded_run(sinks.fan_out(wire, cfg), 600)
     assert tables.table_register(spark, cfg) == tables.table_register(spark, cfg)
@@ -81,3 +87,11 @@ def test_compaction_keeps_rows_and_leaves_fewer_files(spark, small_sf, stored, t
     tickers = before.select("ticker").distinct().count()
     assert len(compact.inputFiles()) == tickers
     assert len(before.inputFiles()) > 4 * tickers
+
+
+def test_compaction_of_an_unpartitioned_table(spark, small_sf, tmp_path):
+    source = str(tmp_path / "many")
+    registry.silver(spark, small_sf).repartition(20).write.parquet(source)
+    compact = tables.compact_table(spark, "silver_vwap_1min", source, str(tmp_path / "one"))
+    assert len(compact.inputFiles()) == 1
+    assert rows(compact, "ticker", "vwap") == rows(tables.read_table(spark, source, "silver_vwap_1min"), "ticker", "vwap")

@@ -64,12 +64,15 @@ class Config:
 
     root: str
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
-    database: str = "market"
+    catalog: str | None = None  # database to register the tables in; one per run if not given
     tickers: tuple[str, ...] = REFERENCE_TICKERS
     anomaly_threshold: float = 0.01
     watermark: str = "10 seconds"
     trigger: str | None = "30 seconds"  # None: process what is there, then stop
-    bronze_salts: int = 4
+
+    @property
+    def database(self) -> str:
+        return self.catalog or f"market_{self.run_id}"
 
     def table_path(self, table: str) -> str:
         return f"{self.root}/{self.run_id}/{table}"

@@ -52,10 +52,14 @@ def alert_subject(trades: Column, tickers: Column, limit: int = 100) -> Column:
     return F.when(F.length(full) > limit, short).otherwise(full)
 
 
+def _two_decimals(x: Column) -> Column:
+    """Half upwards. The inner rounding drops the last digits, which the order of a sum moves."""
+    return F.floor(F.round(x * 100, 6) + 0.5) / 100
+
+
 def percent_text(fraction: Column) -> Column:
-    """Two decimals, half away from zero on the doubled value, so every engine prints the same text."""
-    return F.format_string("%.2f%%", F.floor(fraction * 10000 + 0.5) / 100)
+    return F.format_string("%.2f%%", _two_decimals(fraction * 100))
 
 
 def money_text(amount: Column) -> Column:
-    return F.format_string("$%.2f", F.floor(amount * 100 + 0.5) / 100)
+    return F.format_string("$%.2f", _two_decimals(amount))

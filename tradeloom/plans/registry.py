@@ -128,8 +128,7 @@ def wire_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_run(spark: SparkSession) -> Config:
-    cfg = Config(root=f"{shared_dir(spark)}/tradeloom", trigger=None)
-    return Config(root=cfg.root, run_id=cfg.run_id, database=f"market_{cfg.run_id}", trigger=None)
+    return Config(root=f"{shared_dir(spark)}/tradeloom", trigger=None)
 
 
 def stored(spark: SparkSession, cfg: Config, table: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.config import Config
-from tradeloom.schema import BRONZE_PARTITIONS, TABLES
+from tradeloom.schema import TABLES
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -39,31 +39,48 @@ def alert_file_stream(spark: SparkSession, path: str, table: str = "gold_anomaly
 
 
 def table_register(spark: SparkSession, cfg: Config) -> list[str]:
-    """Register the tables of a run as external tables and load the partitions found on disk."""
+    """Register the tables of a run as external tables and load the partitions found on disk.
+
+    A name that already stands for another folder is an error: it is never moved under its readers.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.database} LOCATION '{cfg.table_path('catalog')}'")
     names = []
     for table, (schema, partitions) in TABLES.items():
-        name = f"{cfg.database}.{table}"
+        name, path = f"{cfg.database}.{table}", _qualified(spark, cfg.table_path(table))
         by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet {by} LOCATION '{cfg.table_path(table)}'"
-        )
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet {by} LOCATION '{path}'")
+        if _location(spark, name) != path:
+            raise ValueError(f"{name} is registered for {_location(spark, name)}, not for {path}")
         # A run without alerts leaves no gold folder to look into.
-        if any(c.isPartition for c in spark.catalog.listColumns(name)) and _exists(spark, cfg.table_path(table)):
+        if any(c.isPartition for c in spark.catalog.listColumns(name)) and _exists(spark, path):
             spark.sql(f"MSCK REPAIR TABLE {name}")
         spark.catalog.refreshTable(name)
         names.append(name)
     return names
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
+def _file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, folder = _file_system(spark, path)
+    return fs.makeQualified(folder).toString()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
 
 
 def table_describe(spark: SparkSession, name: str) -> DataFrame:
     """Columns of a registered table in order, with type, partition mark and the table's location."""
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    location = _location(spark, name)
     # The catalog holds no columns for a table kept by a streaming sink's log; the log's folders hold them.
     table = name.rsplit(".", 1)[-1]
     partitions = {c.name for c in spark.catalog.listColumns(name) if c.isPartition} or set(TABLES[table][1])
@@ -76,12 +93,17 @@ def table_describe(spark: SparkSession, name: str) -> DataFrame:
     )
 
 
-def compact_bronze(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Rewrite a bronze table into few files per partition, at a new path.
+def compact_table(spark: SparkSession, table: str, source: str, target: str) -> DataFrame:
+    """Rewrite a stored table into few files, at a new path.
 
-    The rebalance step merges the many small pieces of quiet tickers and splits those of busy ones to
-    about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each.
+    The rebalance step merges the many small pieces that streams leave and splits what is large, to about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each, within the table's partitions.
     """
-    df = read_table(spark, source, "bronze_raw_trades")
-    df.hint("rebalance", *BRONZE_PARTITIONS).write.partitionBy(*BRONZE_PARTITIONS).parquet(target)
-    return read_table(spark, target, "bronze_raw_trades")
+    partitions = TABLES[table][1]
+    df = read_table(spark, source, table).hint("rebalance", *partitions)
+    df.write.partitionBy(*partitions).parquet(target)
+    return read_table(spark, target, table)
+
+
+def compact_bronze(spark: SparkSession, source: str, target: str) -> DataFrame:
+    return compact_table(spark, "bronze_raw_trades", source, target)

@@ -43,16 +43,15 @@ def _append_parquet(
 
 
 def bronze_append(
-    wire: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", salts: int = 4, name: str | None = None
+    wire: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", name: str | None = None
 ) -> StreamingQuery:
     """Store every trade, partitioned by day and ticker.
 
-    Rows are brought together by partition first, or each task would leave a file in every partition.
-    ``salts`` is the number of writers per partition, so one busy ticker does not hang on one task.
+    Without a shuffle each task would leave a file in every partition. Rebalancing brings the rows of a
+    partition together, merges quiet tickers into one task and splits busy ones over several, by the
+    sizes measured in the batch (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
-    rows = bronze_enrich(wire).select(*BRONZE.names)
-    salt = F.pmod(F.xxhash64("trade_id", "event_time", F.spark_partition_id()), F.lit(salts))
-    rows = rows.withColumn("salt", salt).repartition(*BRONZE_PARTITIONS, "salt").drop("salt")
+    rows = bronze_enrich(wire).select(*BRONZE.names).hint("rebalance", *BRONZE_PARTITIONS)
     return _append_parquet(rows, path, checkpoint, trigger, name, BRONZE_PARTITIONS)
 
 
@@ -86,7 +85,8 @@ def foreach_batch_anomaly(path: str, threshold: float = 0.01) -> Callable[[DataF
             try:
                 flagged = alerts.count()
                 if flagged:
-                    alerts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+                    # Alerts are few: gather them, rather than one file per task of the join.
+                    alerts.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
                 log.info("batch %d: %d trades flagged", batch_id, flagged)
             finally:
                 alerts.unpersist()
@@ -118,7 +118,7 @@ def fan_out(wire: DataFrame, cfg: Config) -> list[StreamingQuery]:
         return cfg.table_path(table), cfg.checkpoint_path(table)
 
     return [
-        bronze_append(wire, *where("bronze_raw_trades"), cfg.trigger, cfg.bronze_salts),
+        bronze_append(wire, *where("bronze_raw_trades"), cfg.trigger),
         silver_sink(wire, *where("silver_vwap_1min"), "1 minute", cfg.watermark, cfg.trigger),
         silver_sink(wire, *where("silver_vwap_5min"), "5 minutes", cfg.watermark, cfg.trigger),
         gold_sink(wire, *where("gold_anomaly_alerts"), cfg.anomaly_threshold, cfg.trigger),
