@@ -3,6 +3,7 @@ import pytest
 from helpers import deliver, rows, trade
 from tradeloom.config import Config
 from tradeloom.plans import registry
+from tradeloom.schema import TABLES
 from tradeloom.sources import tables
 from tradeloom.sources.feed import resolve_payload, stream_source
 from tradeloom.streaming import sinks
@@ -14,7 +15,7 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def stored(spark, small_sf):
-    return registry._stored_batch(spark, small_sf)
+    return registry._stored_batch(spark, small_sf, *TABLES)
 
 
 def test_scan_of_one_day_and_ticker_is_pruned(spark, stored):

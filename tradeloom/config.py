@@ -24,6 +24,7 @@ SESSION_SETTINGS = {
     # Window state lives off heap and on local disk, with changelogs in the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.config import shared_dir
 
-BROADCAST_BYTES = 8 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_GROUPS = 50_000
 
 

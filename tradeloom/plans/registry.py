@@ -19,7 +19,7 @@ from tradeloom.config import SESSION_SETTINGS, Config, shared_dir
 from tradeloom.functions import columns as fn
 from tradeloom.operators import alerts, anomaly, jumps, projections, quality, stats, vwap
 from tradeloom.plans.medallion import medallion_run
-from tradeloom.schema import BRONZE, BRONZE_PARTITIONS, GOLD, SILVER
+from tradeloom.schema import BRONZE, BRONZE_PARTITIONS, GOLD, SILVER, TABLES
 from tradeloom.sources import feed, replay, tables, vendor
 from tradeloom.streaming import sinks
 
@@ -70,9 +70,8 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trades as stored, with the replay's own ingest time."""
-    ingested = F.col("replayed_at").alias("ingested_at")
     rows = trades(spark, sf_dir).withColumnRenamed("ingested_at", "replayed_at")
-    return projections.bronze_enrich(rows).drop("ingested_at").select("*", ingested).select(*BRONZE.names)
+    return projections.bronze_enrich(rows).withColumn("ingested_at", F.col("replayed_at")).select(*BRONZE.names)
 
 
 def silver(spark: SparkSession, sf_dir: str, duration: str = "1 minute") -> DataFrame:
@@ -338,43 +337,45 @@ def _(spark, sf):
     return done.drop("run_id")
 
 
-def _stored_batch(spark, sf) -> Config:
-    """All four tables, written from the trades by batch jobs and registered."""
+def _batch_layer(spark, sf, table: str) -> DataFrame:
+    if table == "bronze_raw_trades":
+        return bronze(spark, sf).hint("rebalance", *BRONZE_PARTITIONS)
+    if table == "gold_anomaly_alerts":
+        return gold(spark, sf).drop("bucket").withColumn("batch_id", F.lit(0).cast("long")).select(*GOLD.names)
+    return silver(spark, sf, "1 minute" if table == "silver_vwap_1min" else "5 minutes")
+
+
+def _stored_batch(spark, sf, *names: str) -> Config:
+    """Tables written from the trades by batch jobs, and registered."""
     cfg = new_run(spark)
-    bronze(spark, sf).hint("rebalance", *BRONZE_PARTITIONS).write.partitionBy(*BRONZE_PARTITIONS).parquet(
-        cfg.table_path("bronze_raw_trades")
-    )
-    silver(spark, sf).write.parquet(cfg.table_path("silver_vwap_1min"))
-    silver(spark, sf, "5 minutes").write.parquet(cfg.table_path("silver_vwap_5min"))
-    gold(spark, sf).select(F.lit(0).alias("batch_id"), *[c for c in GOLD.names if c != "batch_id"]).write.partitionBy(
-        "batch_id"
-    ).parquet(cfg.table_path("gold_anomaly_alerts"))
+    for table in names:
+        _batch_layer(spark, sf, table).write.partitionBy(*TABLES[table][1]).parquet(cfg.table_path(table))
     tables.table_register(spark, cfg)
     return cfg
 
 
 @query("partition_pruned_scan")
 def _(spark, sf):
-    name = f"{_stored_batch(spark, sf).database}.bronze_raw_trades"
+    name = f"{_stored_batch(spark, sf, 'bronze_raw_trades').database}.bronze_raw_trades"
     return tables.partition_pruned_scan(spark, name, 2026, 6, 6, "TK07")
 
 
 @query("table_register")
 def _(spark, sf):
-    cfg = _stored_batch(spark, sf)
+    cfg = _stored_batch(spark, sf, *TABLES)
     names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {cfg.database}").collect()]
     return stats.layer_counts({n: spark.table(f"{cfg.database}.{n}") for n in names})
 
 
 @query("table_describe")
 def _(spark, sf):
-    name = f"{_stored_batch(spark, sf).database}.bronze_raw_trades"
+    name = f"{_stored_batch(spark, sf, 'bronze_raw_trades').database}.bronze_raw_trades"
     return tables.table_describe(spark, name).select("position", "col_name", "data_type", "is_partition")
 
 
 @query("compact_bronze")
 def _(spark, sf):
-    cfg = _stored_batch(spark, sf)
+    cfg = _stored_batch(spark, sf, "bronze_raw_trades")
     return tables.compact_bronze(spark, cfg.table_path("bronze_raw_trades"), cfg.table_path("bronze_compacted"))
 
 

@@ -4,81 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One trade on the wire. The non-null marks state the contract; JSON parsing ignores them, so the
+
+def _columns(required: tuple[str, ...] = (), **types: str) -> T.StructType:
+    schema = T.StructType()
+    for name, kind in types.items():
+        schema.add(name, kind, name not in required)
+    return schema
+
+
+# One trade on the wire. The required marks state the contract; JSON parsing ignores them, so the
 # quality checks enforce it.
-WIRE = T.StructType([
-    T.StructField("trade_id", T.StringType(), False),
-    T.StructField("ticker", T.StringType(), False),
-    T.StructField("price", T.DoubleType(), False),
-    T.StructField("quantity", T.IntegerType(), False),
-    T.StructField("side", T.StringType(), False),
-    T.StructField("trade_type", T.StringType(), False),
-    T.StructField("bid_price", T.DoubleType(), True),
-    T.StructField("ask_price", T.DoubleType(), True),
-    T.StructField("timestamp", T.StringType(), False),
-    T.StructField("exchange", T.StringType(), True),
-    T.StructField("source", T.StringType(), True),
-])
+WIRE = _columns(
+    required=("trade_id", "ticker", "price", "quantity", "side", "trade_type", "timestamp"),
+    trade_id="string", ticker="string", price="double", quantity="integer", side="string", trade_type="string",
+    bid_price="double", ask_price="double", timestamp="string", exchange="string", source="string",
+)
 
 # A vendor message. Volume is read as the text of the number, so that 1.5 and 1 stay apart.
-VENDOR_MESSAGE = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("data", T.ArrayType(T.StructType([
-        T.StructField("s", T.StringType()),
-        T.StructField("p", T.DoubleType()),
-        T.StructField("v", T.StringType()),
-        T.StructField("t", T.LongType()),
-    ]))),
-])
+VENDOR_MESSAGE = T.StructType().add("type", "string").add(
+    "data", T.ArrayType(_columns(s="string", p="double", v="string", t="long"))
+)
 
 BRONZE_PARTITIONS = ["year", "month", "day", "ticker"]
 
-BRONZE = T.StructType([
-    T.StructField("trade_id", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("quantity", T.IntegerType()),
-    T.StructField("side", T.StringType()),
-    T.StructField("trade_type", T.StringType()),
-    T.StructField("bid_price", T.DoubleType()),
-    T.StructField("ask_price", T.DoubleType()),
-    T.StructField("exchange", T.StringType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("event_time", T.TimestampType()),
-    T.StructField("ingested_at", T.TimestampType()),
-    T.StructField("year", T.IntegerType()),
-    T.StructField("month", T.IntegerType()),
-    T.StructField("day", T.IntegerType()),
-    T.StructField("ticker", T.StringType()),
-])
+BRONZE = _columns(
+    trade_id="string", price="double", quantity="integer", side="string", trade_type="string",
+    bid_price="double", ask_price="double", exchange="string", source="string",
+    event_time="timestamp", ingested_at="timestamp",
+    year="integer", month="integer", day="integer", ticker="string",
+)
 
-SILVER = T.StructType([
-    T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()),
-    T.StructField("ticker", T.StringType()),
-    T.StructField("vwap", T.DoubleType()),
-    T.StructField("total_volume", T.LongType()),
-    T.StructField("trade_count", T.LongType()),
-    T.StructField("low_price", T.DoubleType()),
-    T.StructField("high_price", T.DoubleType()),
-    T.StructField("buy_ratio", T.DoubleType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("computed_at", T.TimestampType()),
-])
+SILVER = _columns(
+    window_start="timestamp", window_end="timestamp", ticker="string", vwap="double", total_volume="long",
+    trade_count="long", low_price="double", high_price="double", buy_ratio="double", source="string",
+    computed_at="timestamp",
+)
 
-GOLD = T.StructType([
-    T.StructField("trade_id", T.StringType()),
-    T.StructField("ticker", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("quantity", T.IntegerType()),
-    T.StructField("side", T.StringType()),
-    T.StructField("event_time", T.TimestampType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("window_avg_price", T.DoubleType()),
-    T.StructField("deviation_pct", T.DoubleType()),
-    T.StructField("direction", T.StringType()),
-    T.StructField("detected_at", T.TimestampType()),
-    T.StructField("batch_id", T.LongType()),
-])
+GOLD = _columns(
+    trade_id="string", ticker="string", price="double", quantity="integer", side="string", event_time="timestamp",
+    source="string", window_avg_price="double", deviation_pct="double", direction="string", detected_at="timestamp",
+    batch_id="long",
+)
 
 # name -> (schema, partition columns)
 TABLES = {

@@ -16,14 +16,10 @@ START = datetime(2026, 6, 6, 13, 30)
 START_MICROS = 1_780_752_600_000_000  # START in UTC
 STEP_MICROS = 50_000
 
-EVENTS = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
+EVENTS = (
+    T.StructType().add("event_id", "long").add("ts", "timestamp_ntz").add("user_id", "long")
+    .add("event_type", "string").add("value", "double").add("props", "string")
+)
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 

@@ -6,7 +6,7 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -73,25 +73,22 @@ def silver_sink(
 def foreach_batch_anomaly(path: str, threshold: float = 0.01) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch's alerts to its own ``batch_id`` folder.
 
-    A batch that is run again after a failure overwrites its folder, so its alerts appear once.
+    A batch that is run again after a failure overwrites its folder, so its alerts appear once. The batch
+    is read twice, for the averages and for the trades, rather than cached: a replay may make it as
+    large as the feed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            alerts = anomaly_self_join(batch, threshold).persist()
-            try:
-                flagged = alerts.count()
-                if flagged:
-                    # Alerts are few: gather them, rather than one file per task of the join.
-                    alerts.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-                log.info("batch %d: %d trades flagged", batch_id, flagged)
-            finally:
-                alerts.unpersist()
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        alerts = anomaly_self_join(batch, threshold)
+        if alerts.isEmpty():
+            return
+        flagged = Observation(f"alerts of batch {batch_id}")
+        # Alerts are few: gather them, rather than leave one file per task of the join.
+        counted = alerts.observe(flagged, F.count("*").alias("rows")).hint("rebalance")
+        counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        log.info("batch %d: %d trades flagged", batch_id, flagged.get["rows"])
 
     return write
 
