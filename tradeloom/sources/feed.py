@@ -24,7 +24,11 @@ def _open(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.S
 
 
 def stream_source(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.StructType = WIRE) -> DataFrame:
-    """Open the feed for records from now on. File formats always read the files not yet seen."""
+    """Open the feed for records from now on. File formats always read the files not yet seen.
+
+    The start is given under Kafka's option name; a connector that calls it otherwise takes its own name
+    in ``options``.
+    """
     start = {} if fmt in FILE_FORMATS else {"startingOffsets": "latest"}
     return _open(spark, fmt, {**start, **options}, schema)
 
