@@ -392,6 +392,29 @@ def _(spark, sf):
     return trades(spark, sf).select("trade_id", fn.notional(F.col("price"), F.col("quantity")).alias("notional"))
 
 
+@query("scalar_functions")
+def _(spark, sf):
+    """The scalar functions of the stored layers, one column each."""
+    at, ingested = F.col("event_time"), F.col("ingested_at")
+    return trades(spark, sf).select(
+        "trade_id",
+        F.year(at).alias("year"),
+        F.month(at).alias("month"),
+        F.dayofmonth(at).alias("day"),
+        F.date_trunc("minute", at).alias("minute"),
+        (F.unix_micros(ingested) / 1e6 - F.unix_micros(at) / 1e6).alias("seconds_to_ingest"),
+        F.timestamp_millis(F.unix_millis(at)).alias("from_millis"),
+        F.abs(F.col("price") - 200).alias("distance"),
+        F.round(F.col("price") * F.col("quantity"), 2).alias("amount"),
+        F.try_divide("price", F.when(F.col("side") == "buy", 4).otherwise(0)).alias("quarter_price"),
+        F.concat_ws("-", F.lit("id"), "ticker", "trade_id").alias("joined_id"),
+        fn.percent_text(F.col("price") / 10000).alias("as_percent"),
+        fn.money_text(F.col("price")).alias("as_money"),
+        fn.alert_subject(F.col("quantity"), F.col("quantity"), 48).alias("subject"),
+        F.col("side").isin("buy", "unknown").alias("listed"),
+    )
+
+
 @query("silver_project")
 def _(spark, sf):
     return projections.silver_project(trades(spark, sf))
