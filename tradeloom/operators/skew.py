@@ -24,7 +24,8 @@ def join_group_stats(
     ``stats`` is written once and measured. If it is small, it is broadcast and ``rows`` do not move.
     Otherwise both sides are shuffled, with the large groups spread over several partitions: a group is
     large when it holds more than one part in ``hot_groups`` of all rows, so there are fewer than
-    ``hot_groups`` of them and that list may be broadcast however large the tables are.
+    ``hot_groups`` of them. Their list holds two numbers per group and may be broadcast however large
+    the tables are and however long the keys.
     """
     shared_dir(rows.sparkSession)
     stats = stats.dropna(subset=keys).checkpoint()
@@ -36,14 +37,28 @@ def join_group_stats(
         return rows.join(F.broadcast(stats), keys)
 
     share = max(total["rows"] // hot_groups, 1)
-    parts = F.ceil(F.col(size) / share)
-    hot = stats.where(F.col(size) > share).select(*keys, parts.alias("parts"))
+    group_hash = F.xxhash64(*keys)
+    # Groups that share a hash share the number of parts, on both sides, so a collision does no harm.
+    hot = F.broadcast(
+        stats.where(F.col(size) > share)
+        .groupBy(group_hash.alias("group_hash"))
+        .agg(F.max(F.ceil(F.col(size) / share)).alias("parts"))
+    )
+    parts = F.coalesce("parts", F.lit(1))
     # The partition number keeps copies of one row apart and, unlike a random salt, is the same when a
     # lost task runs again.
-    salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col("parts"))
-    rows = rows.dropna(subset=keys)
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn("salt", F.coalesce(salt, F.lit(0))).drop("parts")
-    spread = stats.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > share, parts - 1).otherwise(0)))
-    ).withColumn("salt", F.col("salt").cast("long"))
+    salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), parts)
+    salted = (
+        rows.dropna(subset=keys)
+        .withColumn("group_hash", group_hash)
+        .join(hot, "group_hash", "left")
+        .withColumn("salt", salt)
+        .drop("group_hash", "parts")
+    )
+    spread = (
+        stats.withColumn("group_hash", group_hash)
+        .join(hot, "group_hash", "left")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .drop("group_hash", "parts")
+    )
     return salted.join(spread, [*keys, "salt"]).drop("salt")
