@@ -7,7 +7,6 @@ from helpers import rows
 from tradeloom.operators import alerts, anomaly, stats, vwap
 from tradeloom.operators.projections import bronze_enrich, window_flatten
 from tradeloom.plans import registry
-from tradeloom.sources import replay
 
 
 def plan(df):

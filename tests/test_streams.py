@@ -1,6 +1,3 @@
-import json
-import threading
-
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -105,12 +102,15 @@ def test_streamed_gold_equals_bucket_detection(spark, sf, bucket_files, tmp_path
     assert want.count() == 430
 
 
+def micro_batch(spark, *prices):
+    schema = "trade_id string, ticker string, price double, quantity int, side string, source string, event_time timestamp"
+    return spark.createDataFrame([(*p, 1, "buy", "test", None) for p in prices], schema)
+
+
 def test_gold_batch_can_run_twice(spark, tmp_path):
     path = str(tmp_path / "gold")
     write = sinks.foreach_batch_anomaly(path)
-    batch = spark.createDataFrame([("a", "X", 100.0), ("b", "X", 110.0), ("c", None, 5.0)], "trade_id string, ticker string, price double")
-    for c in ("quantity", "side", "source", "event_time"):
-        batch = batch.withColumn(c, F.lit(None).cast({"quantity": "int", "event_time": "timestamp"}.get(c, "string")))
+    batch = micro_batch(spark, ("a", "X", 100.0), ("b", "X", 110.0), ("c", None, 5.0))
     for _ in range(2):
         write(batch, 3)
     write(batch, 4)
@@ -120,9 +120,7 @@ def test_gold_batch_can_run_twice(spark, tmp_path):
 
 def test_nothing_flagged_nothing_written(spark, tmp_path):
     path = tmp_path / "gold"
-    batch = spark.createDataFrame([("a", "X", 100.0)], "trade_id string, ticker string, price double")
-    for c in ("quantity", "side", "source", "event_time"):
-        batch = batch.withColumn(c, F.lit(None).cast({"quantity": "int", "event_time": "timestamp"}.get(c, "string")))
+    batch = micro_batch(spark, ("a", "X", 100.0))
     write = sinks.foreach_batch_anomaly(str(path))
     write(batch, 0)
     write(batch.limit(0), 1)
@@ -215,6 +213,15 @@ def test_bounded_run_reports_a_failed_query(spark, tmp_path):
     assert not ok.isActive
 
 
+def test_empty_files_and_markers_hold_no_alerts(spark, tmp_path):
+    path = tmp_path / "gold"
+    sinks.foreach_batch_anomaly(str(path))(micro_batch(spark, ("a", "X", 100.0), ("b", "X", 110.0)), 0)
+    (path / "batch_id=0" / "part-empty.parquet").touch()
+    (path / "batch_id=1").mkdir()
+    (path / "_SUCCESS").touch()
+    assert rows(alert_file_scan(spark, str(path)), "batch_id", "trade_id") == [(0, "a"), (0, "b")]
+
+
 def test_alert_files_as_a_stream(spark, tmp_path):
     path = str(tmp_path / "gold")
     deliver(tmp_path / "feed", 0, [trade(1, price=100.0), trade(2, price=110.0)])

@@ -101,5 +101,5 @@ def anomaly_rate(df: DataFrame, gold: DataFrame, bucket: str = "30 seconds") ->
     slot = F.window("event_time", bucket)["start"].alias("bucket")
     trades = df.groupBy(slot).agg(F.count("*").alias("trades"))
     flagged = gold.groupBy(slot).agg(F.count("*").alias("flagged"))
-    joined = trades.join(flagged, "bucket", "left").select("bucket", "trades", F.coalesce("flagged", F.lit(0)).alias("flagged"))
+    joined = trades.join(flagged, "bucket", "left").withColumn("flagged", F.coalesce("flagged", F.lit(0)))
     return joined.withColumn("rate", F.try_divide("flagged", "trades"))

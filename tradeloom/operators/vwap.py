@@ -148,7 +148,8 @@ def window_divergence(silver_1min: DataFrame, silver_5min: DataFrame) -> DataFra
 
 def vwap_1m_vs_5m(silver_1min: DataFrame, silver_5min: DataFrame, n: int = 30) -> DataFrame:
     """The ``n`` 1-minute windows furthest from their 5-minute window."""
-    return window_divergence(silver_1min, silver_5min).orderBy(F.desc("divergence_pct"), F.asc_nulls_last("ticker"), "minute").limit(n)
+    rows = window_divergence(silver_1min, silver_5min)
+    return rows.orderBy(F.desc("divergence_pct"), F.asc_nulls_last("ticker"), "minute").limit(n)
 
 
 def _dashboard_columns(silver: DataFrame) -> DataFrame:

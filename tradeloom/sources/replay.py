@@ -79,7 +79,8 @@ def dirtied(trades: DataFrame, as_of: datetime) -> DataFrame:
     kind = F.col("event_type")
     future = F.lit(str(as_of)).cast("timestamp") + F.expr("INTERVAL 6 MINUTES")
     return trades.select(
-        F.when(v.between(300, 340), F.lit(None)).when(v.between(200, 205), "tr-again").otherwise(F.col("trade_id")).alias("trade_id"),
+        F.when(v.between(300, 340), F.lit(None)).when(v.between(200, 205), "tr-again")
+        .otherwise(F.col("trade_id")).alias("trade_id"),
         F.when(v >= 360, F.lit(None)).otherwise(F.col("ticker")).alias("ticker"),
         F.when((v < 1) & (kind == "error"), -F.col("price")).when((v < 1) & (kind == "click"), 0.0)
         .otherwise(F.col("price")).alias("price"),
