@@ -42,6 +42,8 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
+    for _ in range(3):  # the first query would otherwise carry the start of the session
+        timed(HEADLINE[0])
     seconds = {}
     for name in HEADLINE:
         timed(name)

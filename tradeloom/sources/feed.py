@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.schema import WIRE
+from tradeloom.schema import RAW_COLUMN_MARKS, WIRE
 
 # File formats list their files and know no offsets; connectors bring their own columns.
 FILE_FORMATS = {"json", "parquet", "text"}
@@ -64,7 +64,7 @@ def resolve_payload(df: DataFrame, schema: T.StructType = WIRE) -> DataFrame:
     data = {c for c in df.columns if "$" not in c}
     if data.issuperset(schema.names):
         return df.select(*schema.names)
-    marked = [c for c in df.columns if "temporary" in c or "data_infer" in c]
+    marked = [c for c in df.columns if any(mark in c for mark in RAW_COLUMN_MARKS)]
     return parse_trade_json(df, (marked or df.columns)[0], schema)
 
 
