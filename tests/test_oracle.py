@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from oracle_compare import connect, difference
-
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+from tradeloom.plans.oracle import ORACLE
+from tradeloom.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_module_registers_them_all():
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert ORACLE.items() <= entry_module.oracle_sql().items()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
