@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import shards
+from tradeloom.llm import mixing, neighbours, packing, quality, shards, toxicity, urlfilter
 from tradeloom.llm.frames import table, text_bytes
+from tradeloom.llm.learning import fold
 
 SHARDS = 24
+QUALITY_KEPT = 0.3
+TOXIC_FROM = 0.5
+MOST_PASSES = 2.0
+TOKENIZER = "byte_bpe_50k.json"
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +33,60 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long"), "grown_shard")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a field over its lines."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    field = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score(docs.withColumn("held_out", fold(F.col("doc_id")) == 0), field, ["doc_id", "held_out"]).withColumn(
+        "predicted", (F.col("score") >= QUALITY_KEPT).cast("int"))
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a factorization machine over its terms."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs.withColumn("held_out", fold(F.col("doc_id")) == 0), machine, ["doc_id", "held_out"]).withColumn(
+        "predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flattest mixture of the sources that uses each at least once and none more than twice."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    words = mixing.word_count(F.col("text"))
+    key = mixing.row_key(docs, ["doc_id", "text"], "mix")
+    rows = docs.select("doc_id", "source", words.alias("tokens"), key.alias("key"))
+    return mixing.mix_digest(rows, "mix", max_repeats=MOST_PASSES).select(
+        "doc_id", "source", "tokens", F.round("weight", 9).alias("weight"), "epochs", "pass")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of power-of-two lengths up to 1024."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    packed = packing.pieces(docs, "doc_id", "text", public_tokenizers.path(TOKENIZER), window=1024)
+    return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return urlfilter.judge(pages, "url", rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_quality": op2_quality,
+    "op3_neighbours": op3_neighbours,
+    "op4_toxicity": op4_toxicity,
+    "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
+    "op7_urlfilter": op7_urlfilter,
 }
 
 ORACLE: dict[str, str] = {}
