@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FOLDS = 5
@@ -40,14 +38,12 @@ def label_odds(labels: DataFrame, key: str, target: str) -> float:
     return float(np.log((counts["ones"] + 1) / (counts["zeros"] + 1)))
 
 
-def score_texts(df: DataFrame, columns: list[str], text: str, score: Callable[[pa.Array], np.ndarray], into: str) -> DataFrame:
-    """``columns`` of ``df`` and the score of each text, a double; ``score`` gets a column of texts at a time."""
-    schema = df.select(*columns).schema.add(into, "double")
+def score_column(text: Column, model, spark: SparkSession) -> Column:
+    """``model.score`` of a column of texts, a double; the model travels once to each executor."""
+    held = spark.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            given = batch.columns[:-1]
-            result = pa.array(score(batch.column(len(columns))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*given, result], names=schema.names)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(held.value.score(texts), pa.float64())
 
-    return df.select(*columns, F.col(text).alias("_scored")).mapInArrow(scored, schema)
+    return score(text)

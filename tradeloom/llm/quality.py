@@ -13,8 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tradeloom.llm.learning import score_texts, training_rows
+from tradeloom.llm.learning import score_column, training_rows
 from tradeloom.llm.textarrays import byte_table, column_bytes, mixed, slices, words
 
 TRAINING_ROWS = 6000  # bound of the sample that the field is fitted on
@@ -213,11 +214,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit(*sample_lines(training_rows(docs, labels, key, text, target, rows)))
 
 
-def score(docs: DataFrame, field: Field, columns: list[str], text: str = "text", into: str = "score") -> DataFrame:
-    """``columns`` and the quality, 0 to 1, of each whole text.
+def score(docs: DataFrame, field: Field, text: str = "text", into: str = "score") -> DataFrame:
+    """``docs`` with the quality, 0 to 1, of each whole text in ``into``.
 
-    A null or empty text is one empty line and gets that line's probability. Repeated rows are scored each; an
-    empty frame stays empty. Columns not named are not carried on, so their names cannot clash.
+    A null or empty text is one empty line and gets that line's probability. Repeated rows are scored each; an empty frame stays
+    empty. Other columns are not looked at; one named as ``into`` is replaced.
     """
-    held = docs.sparkSession.sparkContext.broadcast(field)  # a few hundred numbers
-    return score_texts(docs, columns, text, lambda column: held.value.score(column), into)
+    return docs.withColumn(into, score_column(F.col(text), field, docs.sparkSession))

@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import mixing, neighbours, packing, quality, shards, toxicity, urlfilter
+from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, toxicity, urlfilter
 from tradeloom.llm.frames import table, text_bytes
 from tradeloom.llm.learning import fold
+from tradeloom.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 24
 QUALITY_KEPT = 0.3
@@ -37,8 +38,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by a field over its lines."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     field = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
-    return quality.score(docs.withColumn("held_out", fold(F.col("doc_id")) == 0), field, ["doc_id", "held_out"]).withColumn(
-        "predicted", (F.col("score") >= QUALITY_KEPT).cast("int"))
+    return quality.score(docs, field).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,8 +52,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a factorization machine over its terms."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return toxicity.score(docs.withColumn("held_out", fold(F.col("doc_id")) == 0), machine, ["doc_id", "held_out"]).withColumn(
-        "predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+    return toxicity.score(docs, machine).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,24 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, "url", rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    counts = [pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
+
+
+def op9_simjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document under links of Jaccard similarity 0.85 on four-word shingles."""
+    return simjoin.join_groups(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", width=4, percent=85)
+
+
+def op10_editprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text."""
+    return editprint.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -87,6 +106,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op7_urlfilter": op7_urlfilter,
+    "op8_pii": op8_pii,
+    "op9_simjoin": op9_simjoin,
+    "op10_editprint": op10_editprint,
 }
-
-ORACLE: dict[str, str] = {}

@@ -122,26 +122,37 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_SPACE)
 _MULTIPLIERS = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(found: Words, width: int) -> Iterator[np.ndarray]:
+def run_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each ``width`` words in a row, over the bounds of rows too."""
+    n = max(0, len(h) - width + 1)
+    runs = np.zeros(n, np.uint64)
+    for j in range(width):
+        runs += h[j:j + n] * _MULTIPLIERS[j]
+    return mixed(runs)
+
+
+def shingles(found: Words, width: int, values: np.ndarray | None = None) -> Iterator:
     """For each row the sorted hashes of its distinct runs of ``width`` words.
 
-    A row of fewer words has one, its whole sequence; a row without words has none.
+    A row of fewer words has one, its whole sequence; a row without words has none. With ``values``, one for each
+    place of ``run_hashes``, also the value of each hash, which is 0 for a row of fewer words.
     """
-    h = found.hashes
-    n = len(h) - width + 1
-    if n > 0:
-        runs = np.zeros(n, np.uint64)
-        for j in range(width):
-            runs += h[j:j + n] * _MULTIPLIERS[j]
-        runs = mixed(runs)
+    h, runs = found.hashes, run_hashes(found.hashes, width)
     for a, b in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist()):
+        value = np.zeros(min(1, b - a), np.uint8)
         if b - a >= width:
-            own = np.sort(runs[a:b - width + 1])
-            if len(own) > 1:
-                own = own[np.concatenate(([True], own[1:] != own[:-1]))]
-            yield own
+            own = runs[a:b - width + 1]
+            if values is None:
+                own = np.sort(own)
+            else:
+                order = np.argsort(own, kind="stable")
+                own, value = own[order], values[a:b - width + 1][order]
+            first = np.ones(len(own), bool)
+            first[1:] = own[1:] != own[:-1]
+            own = own[first]
+            value = value if values is None else value[first]
         elif b > a:
-            short = (h[a:b] * _MULTIPLIERS[:b - a]).sum(dtype=np.uint64) + U64(b - a)
-            yield mixed(np.array([short], np.uint64))
+            own = mixed(np.array([(h[a:b] * _MULTIPLIERS[:b - a]).sum(dtype=np.uint64) + U64(b - a)], np.uint64))
         else:
-            yield np.zeros(0, np.uint64)
+            own = np.zeros(0, np.uint64)
+        yield own if values is None else (own, value)

@@ -13,8 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tradeloom.llm.learning import label_odds, score_texts, training_rows
+from tradeloom.llm.learning import label_odds, score_column, training_rows
 from tradeloom.llm.textarrays import LETTERS, column_bytes, slices, words
 
 BUCKET_BITS = 20
@@ -140,11 +141,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit(*sample_terms(training_rows(docs, labels, key, text, target, rows)), label_odds(labels, key, target))
 
 
-def score(docs: DataFrame, machine: Machine, columns: list[str], text: str = "text", into: str = "score") -> DataFrame:
-    """``columns`` and the probability, 0 to 1, that each whole text is toxic.
+def score(docs: DataFrame, machine: Machine, text: str = "text", into: str = "score") -> DataFrame:
+    """``docs`` with the probability, 0 to 1, that each whole text is toxic, in ``into``.
 
-    A null or empty text, or one without known terms, gets the score of the bias. Repeated rows are scored each;
-    an empty frame stays empty. Columns not named are not carried on, so their names cannot clash.
+    A null or empty text, or one without known terms, gets the score of the bias. Repeated rows are scored each; an empty frame stays
+    empty. Other columns are not looked at; one named as ``into`` is replaced.
     """
-    held = docs.sparkSession.sparkContext.broadcast(machine)  # a few megabytes, whatever the corpus
-    return score_texts(docs, columns, text, lambda column: held.value.score(column), into)
+    return docs.withColumn(into, score_column(F.col(text), machine, docs.sparkSession))
