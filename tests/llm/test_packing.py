@@ -1,0 +1,85 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tradeloom.llm import packing
+from tradeloom.llm.queries import op6_packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return t
+
+
+def ids(tokenizer, text):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\u00a0\u2003\u3000a\u00e9'1.<|"), st.characters(exclude_categories=["Cs"])), max_size=60))
+def test_words_add_up_to_the_text(text):
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    assert np.frombuffer(packing.encoder(PATH).encode([text])[0], "<u4").tolist() == ids(t, text)
+
+
+def test_a_full_memory_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
+    texts = [" ".join(f"word{(i * j) % 9} it's" for i in range(100)) for j in range(5)]
+    encoder = packing.Encoder(PATH)
+    for some in (texts[:2], texts[2:], texts):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(some)] == [ids(tokenizer, t) for t in some]
+
+
+def test_lengths():
+    for tokens in (1, 2, 3, 1023, 1024, 1025, 5000):
+        out = list(packing.binary_lengths(tokens, 1024))
+        assert sum(out) == tokens and all(n & (n - 1) == 0 and n <= 1024 for n in out)
+        assert len(set(n for n in out if n < 1024)) == len([n for n in out if n < 1024])
+
+
+def test_round_trip_nulls_repeats_and_clashing_names(spark, tokenizer):
+    texts = [None, "", "a", "a", "<|endoftext|> x", "long " * 9000, "\u4f60\u597d " * 50]
+    df = spark.createDataFrame([(None if i == 6 else i, t, 9, 9) for i, t in enumerate(texts)], "id int, text string, start int, ids int")
+    out = packing.pieces(df, "id", "text", PATH, 64).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r["id"]].append(r)
+        assert r["offset"] == 0 and len(r["ids"]) == 4 * r["length"]
+    assert len({r["sequence_id"] for r in out}) == len(out)
+    for i, text in enumerate(texts):
+        whole = b"".join(bytes(r["ids"]) for r in sorted(by[None if i == 6 else i], key=lambda r: r["start"]))
+        assert np.frombuffer(whole, "<u4").tolist() == ids(tokenizer, text or "") + [0]
+    assert packing.pieces(df.limit(0), "id", "text", PATH).count() == 0
+    with pytest.raises(ValueError):
+        packing.pieces(df, "id", "text", PATH, 100)
+
+
+def test_buckets_on_disk(spark, tmp_path):
+    df = spark.createDataFrame([(1, "one two three"), (2, "four")], "id long, text string")
+    packing.write_buckets(packing.pieces(df, "id", "text", PATH), str(tmp_path / "b"))
+    held = spark.read.parquet(str(tmp_path / "b"))
+    assert held.count() == packing.pieces(df, "id", "text", PATH).count() and {"length", "ids"} <= set(held.columns)
+
+
+def test_query(spark, sf, tokenizer):
+    by = defaultdict(list)
+    for r in op6_packing(spark, sf).collect():
+        by[r["doc_id"]].append(r)
+    for d in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(150).collect():
+        whole, at = np.array(ids(tokenizer, d["text"]) + [0], "<u4"), 0
+        for r in sorted(by[d["doc_id"]], key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"]) == (at, len(whole))
+            assert r["ids_crc32"] == zlib.crc32(whole[at:at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(whole)

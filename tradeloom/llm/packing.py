@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEPARATOR = 0
+TEXTS_TOGETHER = 1 << 21  # characters of texts encoded together, unless one is longer
 FLUSH_PIECES = 20_000
 FLUSH_BYTES = 8_000_000
-CACHED_WORDS = 400_000
-CACHED_WORD_LENGTH = 48
+WORDS_TOGETHER = 200
+REMEMBERED_WORDS = 300_000
+REMEMBERED_LENGTH = 48
+SPACE = "\u0120"  # a fixed value of byte-level vocabularies: how they write a space
 #: sequence_id holds the bucket, the task and the number in the task, in so many bits from the right.
 TASK_BITS, NUMBER_BITS = 24, 34
 
@@ -32,42 +35,56 @@ RARE_SPACE = re.compile(r"[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-class _Ids(dict):
-    """Token ids of a chunk of text, as bytes of unsigned 32-bit integers; remembers short chunks."""
-
-    def __init__(self, tokenizer, before: str):
-        super().__init__()
-        self.tokenizer, self.before = tokenizer, before
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= CACHED_WORD_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
 class Encoder:
-    """Encodes texts chunk by chunk with a byte-level BPE of the ``tokenizers`` library.
+    """Encodes texts with a byte-level BPE of the ``tokenizers`` library, each word once while it is remembered.
 
-    Such a tokenizer never joins what stands on both sides of a single space, so a text is the sum of its words
-    and each word is encoded once for as long as it is remembered. Texts that look like special tokens are text.
+    Such a tokenizer never joins what stands on both sides of a single space, so a text is the sum of its words.
+    Words that are new in a run of texts are encoded together. Texts that look like special tokens are text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self.first, self.later = _Ids(tokenizer, ""), _Ids(tokenizer, " ")
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        irregular = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or RARE_SPACE.search(text)
-        chunks = CUT.split(text) if irregular else text.split(" ")
-        return self.first[chunks[0]] + b"".join(map(self.later.__getitem__, chunks[1:]))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # whether a token begins with a space
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.young: dict[str, bytes] = {}  # words after a space; the older ones are forgotten when these are many
+        self.old: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of words that follow a space."""
+        groups = [words[i:i + WORDS_TOGETHER] for i in range(0, len(words), WORDS_TOGETHER)]
+        encoded = self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
+        for group, result in zip(groups, encoded):
+            ids = np.array(result.ids, "<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(group):
+                self.young.update((w, self.whole(" " + w)) for w in group)
+                continue
+            flat, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+            self.young.update((w, flat[a:b]) for w, a, b in zip(group, (4 * starts).tolist(), ends))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes of little-endian unsigned 32-bit integers."""
+        split, new, apart = [], set(), set()
+        for text in texts:
+            irregular = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or RARE_SPACE.search(text)
+            words = CUT.split(text) if irregular else text.split(" ")
+            split.append(words)
+            (apart if irregular else new).update(set(words[1:]).difference(self.young))
+        known = {w: self.old[w] for w in new if w in self.old}
+        self.young.update(known)
+        self.learn([w for w in new if w not in known and w not in apart])
+        self.young.update((w, self.whole(" " + w)) for w in apart)
+        out = [self.whole(words[0]) + b"".join(map(self.young.__getitem__, words[1:])) for words in split]
+        if len(self.young) > REMEMBERED_WORDS:
+            self.old, self.young = {w: i for w, i in self.young.items() if len(w) <= REMEMBERED_LENGTH}, {}
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -84,6 +101,21 @@ def binary_lengths(tokens: int, window: int) -> Iterator[int]:
             yield 1 << bit
 
 
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], pa.DataType]]:
+    """(keys, texts, type of the keys) of runs of rows with not many more than TEXTS_TOGETHER characters."""
+    for given in batches:
+        keys, texts, size = [], [], 0
+        for key, value in zip(given.column(0), given.column(1)):
+            keys.append(key.as_py())
+            texts.append(value.as_py() or "")
+            size += len(texts[-1])
+            if size >= TEXTS_TOGETHER:
+                yield keys, texts, given.column(0).type
+                keys, texts, size = [], [], 0
+        if keys:
+            yield keys, texts, given.column(0).type
+
+
 def pieces(df: DataFrame, key: str, text: str, tokenizer: str, window: int = 1024) -> DataFrame:
     """The pieces of every document: key, start, length, ids, doc_tokens, sequence_id, offset.
 
@@ -115,16 +147,15 @@ def pieces(df: DataFrame, key: str, text: str, tokenizer: str, window: int = 102
             types = [kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=schema.names)
 
-        for given in batches:
-            kind = given.column(0).type
-            for doc, value in zip(given.column(0), given.column(1)):
-                ids = encode(value.as_py() or "") + end
+        for docs, texts, kind in runs(batches):
+            for doc, ids in zip(docs, encode(texts)):
+                ids += end
                 tokens, start = len(ids) // 4, 0
                 for length in binary_lengths(tokens, window):
                     bucket = length.bit_length() - 1
                     sequence = (bucket << TASK_BITS | task) << NUMBER_BITS | numbers[bucket]
                     numbers[bucket] += 1
-                    rows.append((doc.as_py(), start, length, ids[4 * start:4 * (start + length)], tokens, sequence, 0))
+                    rows.append((doc, start, length, ids[4 * start:4 * (start + length)], tokens, sequence, 0))
                     start, size = start + length, size + 4 * length
                     if len(rows) >= FLUSH_PIECES or size >= FLUSH_BYTES:
                         yield batch(kind)
