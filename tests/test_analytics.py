@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,14 +82,14 @@ def test_trades_are_aggregated_by_hash(spark, trades):
 def test_coverage_counts_windows_of_one_side(spark, sf, trades, silver):
     bronze = registry.bronze(spark, sf)
     r = vwap.vwap_reconcile_coverage(bronze, silver.where("ticker <> 'TK01'"), registry.DAY).first()
-    assert (r["matched"], r["batch_only"], r["stream_only"]) == (216, 9, 0)
+    assert (r["matched"], r["batch_only"], r["stream_only"]) == (96, 4, 0)
     r = vwap.vwap_reconcile_coverage(bronze.where("ticker <> 'TK01'"), silver, registry.DAY).first()
-    assert (r["matched"], r["batch_only"], r["stream_only"]) == (216, 0, 9)
+    assert (r["matched"], r["batch_only"], r["stream_only"]) == (96, 0, 4)
 
 
 def test_reconcile_reads_one_day(spark, sf, silver):
     bronze = bronze_enrich(registry.trades(spark, sf))
-    assert vwap.vwap_reconcile(bronze, silver, date(2026, 6, 7)).count() == 0
+    assert vwap.vwap_reconcile(bronze, silver, date(2026, 6, 8)).count() == 0
 
 
 def test_bucket_join_has_no_range_condition(silver, silver5):
@@ -131,24 +131,40 @@ def test_digest_keeps_alerts_without_ticker_in_the_total(spark):
     g = gold(
         spark, ("f1", "a", "X", 11.0, 10.0, 0.1), ("f1", "b", None, 11.0, 10.0, 0.1), ("f2", "c", None, 1.0, 1.0, 0.2),
     )
-    got = {r["file"]: r for r in alerts.alert_digest(g, "file").collect()}
-    assert got["f1"]["subject"] == "Price alert: 2 trades flagged across 1 tickers"
-    assert "X: 1 alerts" in got["f1"]["body"] and "10.00% on average" in got["f1"]["body"]
-    assert got["f2"]["subject"] == "Price alert: 1 trades flagged across 0 tickers"
+    got = {(r["file"], r["ticker"]): r for r in alerts.alert_digest(g, "file").collect()}
+    assert set(got) == {("f1", None), ("f1", "X"), ("f2", None)}
+    assert got["f1", None]["subject"] == "Off-average prices: 1 tickers, 2 trades"
+    assert got["f1", "X"]["body"].startswith("X: 1 alerts") and "10.00% on average" in got["f1", "X"]["body"]
+    assert got["f2", None]["body"].startswith("f2\n1 alerts on 0 tickers")
 
 
-def test_digest_of_many_tickers_comes_in_parts_and_loses_none(spark):
-    g = gold(spark, *[("f", f"t{i}", f"X{i:03d}", 11.0, 10.0, 0.1) for i in range(25)], ("f", "n", None, 1.0, 1.0, 0.2))
-    parts = alerts.alert_digest(g, "file", tickers_per_part=10).orderBy("part").collect()
-    assert [r["part"] for r in parts] == [0, 1, 2]
-    named = [line.split(":")[0] for r in parts for line in r["body"].splitlines() if line.startswith("X")]
-    assert named == [f"X{i:03d}" for i in range(25)]
-    assert {r["subject"] for r in parts} == {"Price alert: 26 trades flagged across 25 tickers"}
+@pytest.mark.parametrize("tickers", [3, 700])
+def test_digest_has_one_form_at_any_size(spark, tickers):
+    g = gold(spark, *[("f", f"t{i}", f"X{i:03d}", 11.0, 10.0, 0.1) for i in range(tickers)], ("f", "n", None, 1.0, 1.0, 0.2))
+    got = alerts.alert_digest(g, "file").collect()
+    assert sorted(r["ticker"] for r in got if r["ticker"]) == [f"X{i:03d}" for i in range(tickers)]
+    heads = [r for r in got if r["ticker"] is None]
+    assert [r["subject"] for r in heads] == [f"Off-average prices: {tickers} tickers, {tickers + 1} trades"]
 
 
 def test_digest_threshold_comes_from_the_setting(spark):
     g = gold(spark, ("f", "a", "X", 11.0, 10.0, 0.1))
-    assert "Threshold: 2.5% from" in alerts.alert_digest(g, "file", threshold=0.025).first()["body"]
+    assert "by more than 2.5%" in alerts.alert_digest(g, "file", threshold=0.025).where("ticker IS NULL").first()["body"]
+
+
+def test_newest_windows_by_hash_aggregate(spark, silver, tmp_path):
+    silver.write.parquet(str(tmp_path / "silver"))
+    df = vwap.vwap_latest(spark.read.parquet(str(tmp_path / "silver")))
+    assert "SortAggregate" not in plan(df)
+    assert df.count() == 25 and df.select("window_start").distinct().count() == 1
+
+
+def test_coverage_ends_with_the_day_and_knows_windows_without_ticker(spark, trades):
+    late = trades.withColumn("ticker", F.when(F.col("ticker") != "TK03", F.col("ticker")))
+    bronze, own = bronze_enrich(late), window_flatten(vwap.vwap(late, "1 minute"))
+    for day, n in ((registry.DAY, 4 * 25), (registry.DAY + timedelta(days=1), 5 * 25)):
+        assert tuple(vwap.vwap_reconcile_coverage(bronze, own, day).first()) == (n, 0, 0)
+        assert vwap.reconcile_windows(bronze, own, day).count() == n
 
 
 def test_summary_leaves_rows_without_ticker_out(spark):

@@ -38,6 +38,6 @@ def test_percent_columns(spark):
 def test_subject_drops_tickers_when_long(spark):
     n, k = F.lit(12), F.lit(3)
     full = value(spark, fn.alert_subject(n, k))
-    assert full == "Price alert: 12 trades flagged across 3 tickers"
+    assert full == "Off-average prices: 3 tickers, 12 trades"
     assert value(spark, fn.alert_subject(n, k, limit=len(full))) == full
-    assert value(spark, fn.alert_subject(n, k, limit=len(full) - 1)) == "Price alert: 12 trades flagged"
+    assert value(spark, fn.alert_subject(n, k, limit=len(full) - 1)) == "Off-average prices: 12 trades"

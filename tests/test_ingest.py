@@ -9,7 +9,7 @@ from tradeloom.operators.projections import bronze_enrich
 from tradeloom.operators.quality import dq_schema_complete
 from tradeloom.operators.vwap import vwap
 from tradeloom.schema import WIRE
-from tradeloom.sources.feed import parse_trade_json, quarantine, resolve_payload, stream_source
+from tradeloom.sources.feed import parse_trade_json, payload_column, quarantine, resolve_payload, stream_source, wire_rows
 from tradeloom.sources.vendor import normalize_vendor_trades
 
 
@@ -57,23 +57,36 @@ def test_resolve_takes_parsed_columns_in_schema_order(spark):
     assert resolve_payload(shuffled).columns == WIRE.names
 
 
-@pytest.mark.parametrize("name", ["$json$data_infer_schema$_temporary$", "my_temporary", "data_infer_x"])
-def test_resolve_finds_the_marked_column(spark, name):
-    df = raw(spark, trade(7), name=name).select(F.lit(0).alias("first"), F.col(f"`{name}`"))
-    assert resolve_payload(df).first()["trade_id"] == "t7"
+@pytest.mark.parametrize("fmt, column", [("kafka", "value"), ("kinesis", "data"), ("text", "value")])
+def test_the_format_names_the_payload_column(spark, fmt, column):
+    df = raw(spark, trade(7), name=column).select(F.lit("k").alias("key"), column, F.lit("x").alias("source"))
+    assert resolve_payload(df, fmt).first()["trade_id"] == "t7"
 
 
-def test_resolve_falls_back_to_the_first_column(spark):
-    df = raw(spark, trade(7), name="data").withColumn("other", F.lit(1))
-    assert resolve_payload(df).first()["trade_id"] == "t7"
+def test_one_column_of_text_or_bytes_is_the_payload(spark):
+    df = raw(spark, trade(7), name="body").withColumn("offset", F.lit(1))
+    assert payload_column(df) == "body" and resolve_payload(df).first()["trade_id"] == "t7"
+    as_bytes = df.select(F.col("body").cast("binary").alias("$body$"), "offset")
+    assert resolve_payload(as_bytes).first()["trade_id"] == "t7"
 
 
-def test_a_name_with_dollar_is_no_data_column(spark):
-    """All eleven names, one of them spelled with $: the payload has to be parsed after all."""
-    df = raw(spark, trade(7), name="payload")
-    for n in WIRE.names[:-1]:
-        df = df.withColumn(n, F.lit(None))
-    assert resolve_payload(df.withColumn("source$", F.lit("x"))).first()["trade_id"] == "t7"
+def test_a_feed_with_wire_fields_is_parsed(spark):
+    df = spark.createDataFrame([("t1", "A", 5)], "trade_id string, ticker string, quantity long")
+    assert payload_column(df) is None
+    got = resolve_payload(df)
+    assert [(f.name, f.dataType) for f in got.schema.fields] == [(f.name, f.dataType) for f in WIRE.fields]
+    assert (got.first()["quantity"], got.first()["price"]) == (5, None)
+
+
+@pytest.mark.parametrize("columns", ["a string, b binary", "a long, b double"])
+def test_an_unclear_payload_is_an_error(spark, columns):
+    with pytest.raises(ValueError, match="name the payload column"):
+        payload_column(spark.createDataFrame([], columns))
+
+
+def test_the_caller_may_name_the_payload(spark):
+    df = raw(spark, trade(7), name="b c").withColumn("a", F.lit("x"))
+    assert wire_rows(df, "b c").first()["trade_id"] == "t7"
 
 
 def test_vendor_messages(spark):
@@ -82,16 +95,23 @@ def test_vendor_messages(spark):
         {"s": "AAPL", "p": 1.6, "v": 0.25, "t": 1780740600123},
         {"s": "V", "p": 2, "v": 7.0, "t": 1780740600000},
     ]}
-    df = normalize_vendor_trades(raw(spark, msg, {"type": "ping"}, {"type": "news", "data": msg["data"]}, "{oops"), "value")
+    text = json.dumps(msg).replace("7.0", "7.00e0")
+    df = normalize_vendor_trades(raw(spark, text, {"type": "ping"}, {"type": "news", "data": msg["data"]}, "{oops"), "value")
     got = df.orderBy("item").collect()
     assert [r["trade_id"] for r in got] == ["fh-1780740600123-AAPL"] * 2 + ["fh-1780740600000-V"]
-    assert [(r["quantity"], r["quantity_raw"]) for r in got] == [(100, 100.0), (None, 0.25), (None, 7.0)]
+    assert [(r["quantity"], r["quantity_raw"]) for r in got] == [(100, 100.0), (None, 0.25), (7, 7.0)]
     assert [r["item"] for r in got] == [0, 1, 2]
     assert got[0]["timestamp"] == "2026-06-06T10:10:00.123000+00:00"
     assert {(r["side"], r["trade_type"], r["bid_price"], r["ask_price"]) for r in got} == {("unknown", "market", None, None)}
     assert df.columns[:11] == WIRE.names
 
 
+@pytest.mark.parametrize("volume, quantity", [("100", 100), ("100.0", 100), ("1e2", 100), ("1.5", None), ("3e9", None), ("-1e10", None), ("0", 0), ("null", None)])
+def test_vendor_volumes(spark, volume, quantity):
+    text = '{"type":"trade","data":[{"s":"A","p":1.0,"v":%s,"t":0}]}' % volume
+    assert normalize_vendor_trades(raw(spark, text), "value").first()["quantity"] == quantity
+
+
 def test_quarantine_names_what_was_lost(spark):
     df = raw(spark, trade(1), trade(2, quantity=1.5), trade(3, timestamp="bad"), "{oops", None)
     got = sorted(tuple(r["lost_fields"]) for r in quarantine(df, "value").collect())

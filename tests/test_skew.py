@@ -20,7 +20,7 @@ def lopsided(spark, sf):
 def always_shuffle(monkeypatch):
     plain = skew.join_group_stats
     monkeypatch.setattr(
-        anomaly, "join_group_stats", lambda *a: plain(*a, broadcast_bytes=-1, hot_groups=20)
+        anomaly, "join_group_stats", lambda *a, **k: plain(*a, broadcast_bytes=-1, hot_groups=20, **k)
     )
 
 

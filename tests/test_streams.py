@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -20,6 +23,14 @@ def feed(spark, folder, per_batch=1):
     return resolve_payload(stream_source(spark, "text", options))
 
 
+@pytest.fixture
+def progress(spark, tmp_path):
+    log = sinks.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    yield log
+    spark.streams.removeListener(log)
+
+
 def silver_of(spark, tmp, duration="1 minute"):
     q = sinks.silver_sink(feed(spark, tmp / "feed"), str(tmp / "silver"), str(tmp / "cp_silver"), duration, trigger=None)
     q.awaitTermination()
@@ -45,7 +56,7 @@ def late_rows(folder):
         ("false", [(0, "A", 1), (4, "A", 1), (5, "B", 1)], [0, 1, 1, 1]),
     ],
 )
-def test_late_rows(spark, tmp_path, multiple, want, dropped):
+def test_late_rows(spark, tmp_path, progress, multiple, want, dropped):
     late_rows(tmp_path / "feed")
     key = "spark.sql.streaming.statefulOperator.allowMultiple"
     spark.conf.set(key, multiple)
@@ -55,12 +66,22 @@ def test_late_rows(spark, tmp_path, multiple, want, dropped):
         spark.conf.unset(key)
     out = read_table(spark, str(tmp_path / "silver"), "silver_vwap_1min")
     assert rows(out, F.minute("window_start"), "ticker", "trade_count") == want
-    counts = sinks.batch_written_counts(q).groupBy().agg(F.sum("rows_late"), F.sum("rows_written"), F.sum("rows_read")).first()
+    progress.settle(q)
+    counted = sinks.batch_written_counts(spark, progress.path)
+    counts = counted.groupBy().agg(F.sum("rows_late"), F.sum("rows_written"), F.sum("rows_read")).first()
     assert tuple(counts) == (sum(dropped), len(want), 9)
-    late = [r["rows_late"] for r in sinks.batch_written_counts(q).orderBy("batch_id").collect()]
+    late = [r["rows_late"] for r in counted.orderBy("batch_id").collect()]
     assert [x for x in late if x] == [x for x in dropped if x]
 
 
+def test_streamed_trades_are_aggregated_by_hash(spark, tmp_path):
+    """The text column must not force a sort of all trades: it is a key of the first aggregate."""
+    late_rows(tmp_path / "feed")
+    text = silver_of(spark, tmp_path)._jsq.explainInternal(False)
+    below = text[text.rindex("partial_sum(notional"):]
+    assert "HashAggregate" in text and "Sort" not in below.split("Scan")[0]
+
+
 @pytest.fixture(scope="module")
 def bucket_files(spark, sf, tmp_path_factory):
     """The replayed trades as one payload file per 30 seconds, in time order."""
@@ -116,15 +137,24 @@ def test_gold_batch_can_run_twice(spark, tmp_path):
     write(batch, 4)
     found = read_table(spark, path, "gold_anomaly_alerts")
     assert rows(found, "batch_id", "trade_id") == [(3, "a"), (3, "b"), (4, "a"), (4, "b")]
+    sinks.foreach_batch_anomaly(path, threshold=0.5)(batch, 3)  # repeated with another threshold
+    assert rows(read_table(spark, path, "gold_anomaly_alerts"), "batch_id", "trade_id") == [(4, "a"), (4, "b")]
 
 
-def test_nothing_flagged_nothing_written(spark, tmp_path):
+def test_nothing_flagged_no_file(spark, tmp_path):
     path = tmp_path / "gold"
     batch = micro_batch(spark, ("a", "X", 100.0))
     write = sinks.foreach_batch_anomaly(str(path))
     write(batch, 0)
     write(batch.limit(0), 1)
-    assert not path.exists()
+    assert not list(path.rglob("*.parquet"))
+
+
+def test_a_batch_leaves_nothing_under_the_checkpoint_folder(spark, tmp_path):
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    sinks.foreach_batch_anomaly(str(tmp_path / "gold"))(micro_batch(spark, ("a", "X", 100.0), ("b", "X", 110.0)), 0)
+    assert set(os.listdir(folder)) == before
 
 
 def test_bronze_resumes_where_it_stopped(spark, tmp_path):
@@ -213,11 +243,27 @@ def test_bounded_run_reports_a_failed_query(spark, tmp_path):
     assert not ok.isActive
 
 
+def test_bounded_run_reports_a_failure_within_seconds(spark, tmp_path):
+    deliver(tmp_path / "feed", 0, [trade(1)])
+
+    def broken(df, n):
+        raise RuntimeError("no")
+
+    wire = feed(spark, tmp_path / "feed")
+    ok = sinks.bronze_append(wire, str(tmp_path / "b"), str(tmp_path / "c1"), "1 second")
+    bad = wire.writeStream.foreachBatch(broken).option("checkpointLocation", str(tmp_path / "c2")).start()
+    began = time.monotonic()
+    with pytest.raises(StreamingQueryException):
+        sinks.bounded_run([ok, bad], 600)
+    assert time.monotonic() - began < 60 and not ok.isActive
+
+
 def test_empty_files_and_markers_hold_no_alerts(spark, tmp_path):
     path = tmp_path / "gold"
     sinks.foreach_batch_anomaly(str(path))(micro_batch(spark, ("a", "X", 100.0), ("b", "X", 110.0)), 0)
-    (path / "batch_id=0" / "part-empty.parquet").touch()
-    (path / "batch_id=1").mkdir()
+    day = next(path.glob("alert_day=*"))
+    (day / "batch_id=0" / "part-empty.parquet").touch()
+    (day / "batch_id=1").mkdir()
     (path / "_SUCCESS").touch()
     assert rows(alert_file_scan(spark, str(path)), "batch_id", "trade_id") == [(0, "a"), (0, "b")]
 
@@ -243,6 +289,7 @@ def test_medallion_run(spark, small_sf, tmp_path):
     assert got["bronze_raw_trades"] == (1000, "WRITTEN")
     assert got["gold_anomaly_alerts"] == (flagged, "WRITTEN")
     assert got["quality_gate"] == (0, "ALL_DQ_CHECKS_PASSED")
+    assert got["alert_digest"][0] > 0 and got["alert_digest"][1] == "WRITTEN"
 
 
 def test_medallion_run_fails_on_violations(spark, tmp_path):
@@ -250,6 +297,8 @@ def test_medallion_run_fails_on_violations(spark, tmp_path):
     with pytest.raises(DataQualityError) as e:
         medallion_run(spark, feed(spark, tmp_path / "feed"), config(tmp_path), 600)
     assert sorted(e.value.failures) == [("duplicate_ids", 1), ("negative_price", 1)]
+    left = {r["stage"]: r["status"] for f in tmp_path.glob("*/run_report") for r in spark.read.parquet(str(f)).collect()}
+    assert (left["quality_gate"], left["alert_digest"]) == ("DQ_FAILED", "SKIPPED")
     report = medallion_run(spark, feed(spark, tmp_path / "feed"), config(tmp_path), 600, strict=False)
     assert report.where("stage = 'quality_gate'").first()["status"] == "DQ_FAILED"
 

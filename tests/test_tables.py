@@ -55,6 +55,7 @@ def test_describe_a_streamed_table(spark, tmp_path):
     assert tables.table_register(spark, cfg) == tables.table_register(spark, cfg)
     got = tables.table_describe(spark, "db_streamed.bronze_raw_trades").collect()
     assert {r["col_name"] for r in got if r["is_partition"]} == {"year", "month", "day", "ticker"}
+    assert [(r["col_name"], r["data_type"]) for r in got if r["col_name"] == "ticker"] == [("ticker", "string")]
     assert "MetadataLogFileIndex" in plan(tables.partition_pruned_scan(spark, "db_streamed.bronze_raw_trades", 2026, 6, 6, "A"))
 
 
@@ -70,11 +71,41 @@ def test_tickers_in_partitions(spark, tmp_path):
     }
 
 
+def test_tickers_of_a_streamed_table_in_the_catalog(spark, tmp_path):
+    deliver(tmp_path / "feed", 0, [trade(0, "000"), trade(1, "007", price=120.0), trade(2, "007", price=100.0)])
+    cfg = Config(root=str(tmp_path), trigger=None)
+    wire = resolve_payload(stream_source(spark, "text", {"path": str(tmp_path / "feed")}))
+    sinks.bounded_run(sinks.fan_out(wire, cfg), 600)
+    tables.table_register(spark, cfg)
+    stored = spark.table(f"{cfg.database}.bronze_raw_trades")
+    assert stored.schema["ticker"].dataType.simpleString() == "string"
+    assert {r["ticker"] for r in stored.collect()} == {"000", "007"}
+    assert tables.partition_pruned_scan(spark, f"{cfg.database}.bronze_raw_trades", 2026, 6, 6, "007").count() == 2
+    assert rows(spark.table(f"{cfg.database}.gold_anomaly_alerts"), "ticker") == [("007",)] * 2
+
+
+def test_compaction_merges_micro_batches_and_takes_the_name(spark, tmp_path):
+    for n in range(4):
+        deliver(tmp_path / "feed", n, [trade(f"{n}a", "A", price=100.0), trade(f"{n}b", "A", price=120.0)])
+    cfg = Config(root=str(tmp_path), trigger=None)
+    options = {"path": str(tmp_path / "feed"), "maxFilesPerTrigger": "1"}
+    sinks.bounded_run(sinks.fan_out(resolve_payload(stream_source(spark, "text", options)), cfg), 600)
+    tables.table_register(spark, cfg)
+    for table, files in (("gold_anomaly_alerts", 1), ("bronze_raw_trades", 1)):
+        before = spark.table(f"{cfg.database}.{table}")
+        kept, many = rows(before, "trade_id"), len(before.inputFiles())
+        target = str(tmp_path / f"{table}_compact")
+        tables.compact_table(spark, table, cfg.table_path(table), target)
+        after = spark.table(tables.table_repoint(spark, cfg, table, target))
+        assert (rows(after, "trade_id"), len(after.inputFiles())) == (kept, files) and many >= 4
+        assert after.schema == before.schema or set(after.columns) == set(before.columns)
+
+
 def test_new_partitions_are_found_when_registered_again(spark, stored):
     name = f"{stored.database}.gold_anomaly_alerts"
     before = spark.table(name).count()
-    extra = spark.table(name).drop("batch_id")
-    extra.write.parquet(f"{stored.table_path('gold_anomaly_alerts')}/batch_id=99")
+    extra = spark.table(name).drop("batch_id", "alert_day")
+    extra.write.parquet(f"{stored.table_path('gold_anomaly_alerts')}/alert_day=2026-06-08/batch_id=99")
     tables.table_register(spark, stored)
     assert spark.table(name).count() == 2 * before
 

@@ -71,6 +71,10 @@ class Config:
     anomaly_threshold: float = 0.01
     watermark: str = "10 seconds"
     trigger: str | None = "30 seconds"  # None: process what is there, then stop
+    log_retention: str | None = None  # how long the file sinks' logs remember a file, such as "30 days"
+    # Most that one micro-batch takes of a backlog, by the source's option for it.
+    max_files_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = None
 
     @property
     def database(self) -> str:
@@ -82,5 +86,9 @@ class Config:
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root}/{self.run_id}/checkpoints/{query}"
 
+    def source_options(self) -> dict[str, str]:
+        limits = {"maxFilesPerTrigger": self.max_files_per_trigger, "maxOffsetsPerTrigger": self.max_offsets_per_trigger}
+        return {name: str(n) for name, n in limits.items() if n is not None}
+
     def fresh(self) -> Config:
         return replace(self, run_id=uuid.uuid4().hex[:12])

@@ -47,8 +47,8 @@ def alert_direction_hint(avg_price: Column, avg_window_price: Column) -> Column:
 
 def alert_subject(trades: Column, tickers: Column, limit: int = 100) -> Column:
     """Subject line with both totals; the short form drops the ticker total above ``limit`` characters."""
-    full = F.format_string("Price alert: %d trades flagged across %d tickers", trades, tickers)
-    short = F.format_string("Price alert: %d trades flagged", trades)
+    full = F.format_string("Off-average prices: %d tickers, %d trades", tickers, trades)
+    short = F.format_string("Off-average prices: %d trades", trades)
     return F.when(F.length(full) > limit, short).otherwise(full)
 
 

@@ -1,8 +1,8 @@
-"""Digest of stored alerts, one text per alert file."""
+"""Digest of stored alerts, a head per alert file and a block per ticker."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import alert_direction_hint, alert_subject, money_text, percent_text
@@ -24,14 +24,19 @@ def alert_summary(gold: DataFrame, file_col: str) -> DataFrame:
     return _per_ticker(gold.dropna(subset=["ticker"]), file_col).drop("rows")
 
 
-def alert_digest(gold: DataFrame, file_col: str, threshold: float = 0.01, tickers_per_part: int = 500) -> DataFrame:
-    """(file, part, subject, body): totals of the file and a block per ticker, in ticker order.
+def alert_digest(gold: DataFrame, file_col: str, threshold: float = 0.01) -> DataFrame:
+    """(file, ticker, subject, body): a head for each file, whose ticker is NULL, and a block for each of its tickers.
 
-    Alerts are reduced to one row per ticker before any text is made. A file with more than
-    ``tickers_per_part`` tickers gets several parts, so no row grows without bound and none is cut.
-    Alerts without a ticker count in the file's total and have no block.
+    Alerts are reduced to one row per ticker before any text is made, and the rows of a file are never brought
+    together, so a file may have any number of tickers. Alerts without a ticker count in the head and have no block.
+    The digest reads head first, then the blocks by ticker.
     """
     avg_price, avg_window = F.col("avg_price"), F.col("avg_window_price")
+    by_ticker = _per_ticker(gold, file_col)
+    totals = by_ticker.groupBy(file_col).agg(F.sum("rows").alias("total"), F.count("ticker").alias("tickers"))
+    subject = alert_subject(F.col("total"), F.col("tickers"))
+    head = F.format_string(
+        f"%s\n%d alerts on %d tickers, off the average by more than {threshold * 100:g}%%\n", file_col, "total", "tickers")
     block = F.concat(
         F.format_string("%s: %d alerts\n", "ticker", "alerts"),
         F.lit("  deviation "), percent_text(F.col("avg_deviation")), F.lit(" on average, "),
@@ -39,25 +44,7 @@ def alert_digest(gold: DataFrame, file_col: str, threshold: float = 0.01, ticker
         F.lit("  price "), money_text(avg_price), F.lit(", "), alert_direction_hint(avg_price, avg_window),
         F.lit(" the average of "), money_text(avg_window), F.lit("\n"),
     )
-    whole = Window.partitionBy(file_col)
-    place = F.row_number().over(whole.orderBy(F.asc_nulls_last("ticker")))
-    named = F.col("ticker").isNotNull()
-    parts = (
-        _per_ticker(gold, file_col)
-        .withColumn("total", F.sum("rows").over(whole))
-        .withColumn("tickers", F.count("ticker").over(whole))
-        .withColumn("part", F.when(named, F.floor((place - 1) / tickers_per_part)).otherwise(0).cast("int"))
-        .groupBy(file_col, "total", "tickers", "part")
-        .agg(F.array_sort(F.collect_list(F.when(named, F.struct("ticker", block.alias("block"))))).alias("blocks"))
-    )
-    head = F.concat(
-        F.format_string("%d trades flagged across %d tickers\n", "total", "tickers"),
-        F.lit("File: "), F.col(file_col), F.lit("\n\n"),
-    )
-    foot = F.lit(f"\nThreshold: {threshold * 100:g}% from the average\n")
-    return parts.select(
-        F.col(file_col).alias("file"),
-        "part",
-        alert_subject(F.col("total"), F.col("tickers")).alias("subject"),
-        F.concat(head, F.array_join("blocks.block", "\n"), foot).alias("body"),
-    )
+    heads = totals.select(F.col(file_col).alias("file"), F.lit(None).cast("string").alias("ticker"), subject.alias("subject"), head.alias("body"))
+    blocks = by_ticker.where("ticker IS NOT NULL").select(
+        F.col(file_col).alias("file"), "ticker", F.lit(None).cast("string").alias("subject"), block.alias("body"))
+    return heads.unionByName(blocks)

@@ -24,7 +24,9 @@ def ticker_batch_avg(df: DataFrame, group: tuple[str, ...] = ("ticker",)) -> Dat
     )
 
 
-def _flag(rows: DataFrame, group: list[str], threshold: float, as_of: datetime | None) -> DataFrame:
+def _flag(
+    rows: DataFrame, group: list[str], threshold: float, as_of: datetime | None, held: list[DataFrame] | None = None
+) -> DataFrame:
     """Trades further than ``threshold`` from the average of their group, itself included.
 
     Averages come from a partial aggregation and go back to the rows by a join: a window function
@@ -44,7 +46,7 @@ def _flag(rows: DataFrame, group: list[str], threshold: float, as_of: datetime |
         .drop("low", "high")
     )
     return (
-        join_group_stats(rows, stats, group, "window_trade_count")
+        join_group_stats(rows, stats, group, "window_trade_count", held=held)
         .withColumn("deviation_pct", deviation(price, avg))
         .where(F.col("deviation_pct") > threshold)
         .withColumn("direction", direction(price, avg))
@@ -52,9 +54,14 @@ def _flag(rows: DataFrame, group: list[str], threshold: float, as_of: datetime |
     )
 
 
-def anomaly_self_join(df: DataFrame, threshold: float = 0.01, as_of: datetime | None = None) -> DataFrame:
-    """Alerts against the ticker's average over all of ``df``, which is one micro-batch or one table."""
-    return _flag(gold_project(df), ["ticker"], threshold, as_of)
+def anomaly_self_join(
+    df: DataFrame, threshold: float = 0.01, as_of: datetime | None = None, held: list[DataFrame] | None = None
+) -> DataFrame:
+    """Alerts against the ticker's average over all of ``df``, which is one micro-batch or one table.
+
+    ``held`` gets the averages that are kept for the join, see ``join_group_stats``.
+    """
+    return _flag(gold_project(df), ["ticker"], threshold, as_of, held)
 
 
 def anomaly_by_bucket(

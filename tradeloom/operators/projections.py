@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import notional
+from tradeloom.schema import BRONZE
 
 
 def clock(as_of: datetime | None) -> Column:
@@ -21,15 +22,17 @@ def typed_event_time(df: DataFrame) -> Column:
 
 
 def bronze_enrich(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Typed event time, ingest time and the date columns the table is partitioned by."""
-    return (
-        df.withColumn("event_time", typed_event_time(df))
-        .withColumn("ingested_at", clock(as_of))
-        .withColumn("year", F.year("event_time"))
-        .withColumn("month", F.month("event_time"))
-        .withColumn("day", F.dayofmonth("event_time"))
-        .drop("timestamp")
-    )
+    """The stored table's columns, in its order and types: the wire's fields, typed times, and the event's date.
+
+    A row of a feed that was ingested before keeps its ingest time.
+    """
+    at = typed_event_time(df)
+    computed = {
+        "event_time": at,
+        "ingested_at": F.col("ingested_at") if "ingested_at" in df.columns else clock(as_of),
+        "year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at),
+    }
+    return df.select(*[computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in BRONZE.fields])
 
 
 def silver_project(df: DataFrame) -> DataFrame:

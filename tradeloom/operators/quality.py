@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators.projections import clock, typed_event_time
 from tradeloom.operators.stats import surplus_ids
-from tradeloom.schema import REFERENCE_TICKERS, SIDES, WIRE
+from tradeloom.schema import GATE_FAILED, GATE_PASSED, REFERENCE_TICKERS, SIDES, WIRE
 
 DUPLICATES = "duplicate_ids"
 VALIDATION = (
@@ -81,14 +81,14 @@ def dq_gate(df: DataFrame, checks: Sequence[str] = GATE, as_of: datetime | None
     failures = [(name, n) for name, n in found if n > 0]
     if failures:
         raise DataQualityError(failures)
-    return {"status": "ALL_DQ_CHECKS_PASSED", "checks_run": len(found), "violations": 0}
+    return {"status": GATE_PASSED, "checks_run": len(found), "violations": 0}
 
 
 def gate_report(df: DataFrame, checks: Sequence[str] = GATE, as_of: datetime | None = None) -> DataFrame:
     """What the gate would decide, as one row and without raising."""
     total = F.sum("violations")
     return dq_checks(df, checks, as_of).agg(
-        F.when(total == 0, "ALL_DQ_CHECKS_PASSED").otherwise("DQ_FAILED").alias("status"),
+        F.when(total == 0, GATE_PASSED).otherwise(GATE_FAILED).alias("status"),
         F.count("*").alias("checks_run"),
         F.count_if(F.col("violations") > 0).alias("checks_failed"),
         total.alias("violations"),

@@ -18,17 +18,23 @@ def join_group_stats(
     size: str,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_groups: int = HOT_GROUPS,
+    held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Inner-join ``rows`` with ``stats``, one row per group, where column ``size`` counts the group's rows.
 
-    ``stats`` is written once and measured. If it is small, it is broadcast and ``rows`` do not move.
+    ``stats`` is computed once and measured: written to the shared folder, or, where the caller gives a list ``held``,
+    kept by the executors and added to the list, for the caller to release. If it is small, it is broadcast and ``rows`` do not move.
     Otherwise both sides are shuffled, with the large groups spread over several partitions: a group is
     large when it holds more than one part in ``hot_groups`` of all rows, so there are fewer than
     ``hot_groups`` of them. Their list holds two numbers per group and may be broadcast however large
     the tables are and however long the keys.
     """
-    shared_dir(rows.sparkSession)
-    stats = stats.dropna(subset=keys).checkpoint()
+    stats = stats.dropna(subset=keys)
+    if held is None:
+        shared_dir(rows.sparkSession)
+        stats = stats.checkpoint()
+    else:
+        held.append(stats := stats.persist())
     key_bytes = sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(64))
     total = stats.agg(
         F.coalesce(F.sum(key_bytes), F.lit(0)).alias("bytes"), F.coalesce(F.sum(size), F.lit(0)).alias("rows")

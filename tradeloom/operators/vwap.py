@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
         F.lit(1).cast("long").alias("trades"),
         F.when(F.col("side") == "buy", 1).otherwise(0).cast("long").alias("buys"),
     )
-    if not rows.isStreaming:
+    if not rows.isStreaming or _chained(rows):
         # The least of a text column cannot be kept in a hash aggregate, and sorting all trades for it
         # costs several times the rest. So the trades are first reduced with the source as a key.
         rows = rows.groupBy("window", "ticker", "source").agg(
@@ -43,6 +43,9 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
+    if rows.isStreaming and _chained(rows):
+        # The same window again, in the form in which a second stateful step knows its event time.
+        rows = rows.withColumn("window", F.window(F.window_time("window"), duration))
     return rows.groupBy("window", "ticker").agg(
         F.try_divide(F.sum("notional"), F.sum("volume")).alias("vwap"),
         F.sum("volume").alias("total_volume"),
@@ -54,6 +57,11 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
     )
 
 
+def _chained(rows: DataFrame) -> bool:
+    """Whether the session lets one stateful step of a stream follow another."""
+    return rows.sparkSession.conf.get("spark.sql.streaming.statefulOperator.allowMultiple", "true") == "true"
+
+
 def closed_windows(silver: DataFrame, trades: DataFrame, watermark: str = "10 seconds") -> DataFrame:
     """The windows an append-mode stream over these trades has written: those whose end the
     watermark (latest event time less the delay) has reached."""
@@ -82,7 +90,9 @@ def batch_vwap_recompute(bronze: DataFrame, day: date) -> DataFrame:
 
 
 def _streamed(silver: DataFrame, day: date) -> DataFrame:
-    return silver.where(F.col("window_start") >= F.lit(str(day)).cast("timestamp")).select(
+    """The windows that begin on one day."""
+    first, end = (F.lit(str(d)).cast("timestamp") for d in (day, day + timedelta(days=1)))
+    return silver.where((F.col("window_start") >= first) & (F.col("window_start") < end)).select(
         "ticker",
         F.col("window_start").alias("minute"),
         F.col("vwap").alias("stream_vwap"),
@@ -91,9 +101,17 @@ def _streamed(silver: DataFrame, day: date) -> DataFrame:
     )
 
 
+def _side_by_side(bronze: DataFrame, silver: DataFrame, day: date, how: str) -> DataFrame:
+    """Recomputed and streamed windows of a day; windows without a ticker match each other."""
+    batch = batch_vwap_recompute(bronze, day)
+    stream = _streamed(silver, day).withColumnsRenamed({"ticker": "stream_ticker", "minute": "stream_minute"})
+    same = F.col("ticker").eqNullSafe(F.col("stream_ticker")) & (F.col("minute") == F.col("stream_minute"))
+    return batch.join(stream, same, how)
+
+
 def reconcile_windows(bronze: DataFrame, silver: DataFrame, day: date) -> DataFrame:
     """Streamed against recomputed VWAP for every window both sides have."""
-    joined = batch_vwap_recompute(bronze, day).join(_streamed(silver, day), ["ticker", "minute"])
+    joined = _side_by_side(bronze, silver, day, "inner")
     return joined.select(
         "ticker",
         "minute",
@@ -114,12 +132,11 @@ def vwap_reconcile(bronze: DataFrame, silver: DataFrame, day: date, n: int = 50)
 
 def vwap_reconcile_coverage(bronze: DataFrame, silver: DataFrame, day: date) -> DataFrame:
     """How many windows both sides have and how many only one has, which the inner join hides."""
-    batch = batch_vwap_recompute(bronze, day).select("ticker", "minute", F.lit(True).alias("in_batch"))
-    stream = _streamed(silver, day).select("ticker", "minute", F.lit(True).alias("in_stream"))
-    return batch.join(stream, ["ticker", "minute"], "full_outer").agg(
-        F.count_if(F.col("in_batch") & F.col("in_stream")).alias("matched"),
-        F.count_if(F.col("in_stream").isNull()).alias("batch_only"),
-        F.count_if(F.col("in_batch").isNull()).alias("stream_only"),
+    batch, stream = F.col("batch_trades").isNotNull(), F.col("stream_trades").isNotNull()
+    return _side_by_side(bronze, silver, day, "full_outer").agg(
+        F.count_if(batch & stream).alias("matched"),
+        F.count_if(batch & ~stream).alias("batch_only"),
+        F.count_if(stream & ~batch).alias("stream_only"),
     )
 
 
@@ -171,8 +188,7 @@ def vwap_dashboard(silver: DataFrame, n: int = 50) -> DataFrame:
 
 
 def vwap_latest(silver: DataFrame) -> DataFrame:
-    """The newest window of every ticker, by a mergeable aggregate and not by ranking its windows."""
-    rows = _dashboard_columns(silver)
-    rest = [c for c in rows.columns if c != "ticker"]
-    newest = rows.groupBy("ticker").agg(F.max_by(F.struct(*rest), "window_start").alias("w"))
-    return newest.select("ticker", *[f"w.{c}" for c in rest])
+    """The newest window of every ticker: its start by a hash aggregate, then the row by an equi-join."""
+    newest = silver.groupBy(F.col("ticker").alias("of")).agg(F.max("window_start").alias("newest"))
+    held = silver.join(newest, F.col("ticker").eqNullSafe(F.col("of")) & (F.col("window_start") == F.col("newest")))
+    return _dashboard_columns(held)

@@ -6,9 +6,9 @@ zone and doubles to six decimals, since the order of a distributed sum moves the
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,13 +19,13 @@ from tradeloom.config import SESSION_SETTINGS, Config, shared_dir
 from tradeloom.functions import columns as fn
 from tradeloom.operators import alerts, anomaly, jumps, projections, quality, stats, vwap
 from tradeloom.plans.medallion import medallion_run
-from tradeloom.schema import BRONZE, BRONZE_PARTITIONS, GOLD, SILVER, TABLES
+from tradeloom.schema import BRONZE_PARTITIONS, GOLD, SILVER, TABLES
 from tradeloom.sources import feed, replay, tables, vendor
 from tradeloom.streaming import sinks
 
 DAY = date(2026, 6, 6)
-AS_OF = datetime(2026, 6, 6, 13, 32)
-FROM_TIME = "2026-06-06 13:35:00"
+AS_OF = datetime(2026, 6, 6, 23, 58)
+FROM_TIME = "2026-06-07 00:01:00"
 KNOWN_TICKERS = tuple(f"TK{i:02d}" for i in range(20))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +70,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trades as stored, with the replay's own ingest time."""
-    rows = trades(spark, sf_dir).withColumnRenamed("ingested_at", "replayed_at")
-    return projections.bronze_enrich(rows).withColumn("ingested_at", F.col("replayed_at")).select(*BRONZE.names)
+    return projections.bronze_enrich(trades(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str, duration: str = "1 minute") -> DataFrame:
@@ -107,7 +106,8 @@ def vendor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message of two items per trade; views come as pings and errors with a fractional volume."""
     rows = replay.trades_of(replay.events(spark, sf_dir))
     kind = F.when(F.col("event_type") == "view", "ping").otherwise("trade")
-    volume = F.concat(F.col("quantity").cast("string"), F.when(F.col("event_type") == "error", ".5").otherwise(""))
+    tail = F.when(F.col("event_type") == "error", ".5").when(F.col("event_type") == "click", ".0").otherwise("")
+    volume = F.concat(F.col("quantity").cast("string"), tail)
     ms = F.unix_millis("event_time")
 
     def item(price: Column, at: Column) -> Column:
@@ -123,7 +123,13 @@ def vendor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wire_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trades as a live feed of JSON payloads, parsed."""
     rows = replay.wire_of(replay.trades_of(replay.events_stream(spark, sf_dir)))
-    return feed.resolve_payload(rows.select(feed.trade_payload().alias("value")))
+    return feed.wire_rows(rows.select(feed.trade_payload().alias("value")), "value")
+
+
+def delivered(spark: SparkSession, cfg: Config, files: int | None = None) -> DataFrame:
+    """The feed that a run has in its own folder, parsed; ``files`` limits a micro-batch."""
+    options = replace(cfg, max_files_per_trigger=files).source_options()
+    return feed.wire_rows(feed.stream_source(spark, "text", {"path": cfg.table_path("feed"), **options}), "value")
 
 
 def new_run(spark: SparkSession) -> Config:
@@ -157,7 +163,7 @@ def _(spark, sf):
     cfg = new_run(spark)
     payloads(spark, sf).write.text(cfg.table_path("feed"))
     raw = feed.stream_source(spark, "text", {"path": cfg.table_path("feed")})
-    return _parsed_stream(spark, feed.resolve_payload(raw), cfg)
+    return _parsed_stream(spark, feed.resolve_payload(raw, "text"), cfg)
 
 
 @query("stream_replay_earliest")
@@ -170,10 +176,8 @@ def _(spark, sf):
 
 @query("resolve_payload")
 def _(spark, sf):
-    raw = payloads(spark, sf).select(
-        F.length("value").alias("size"), F.col("value").cast("binary").alias("$json$_temporary$")
-    )
-    return feed.resolve_payload(raw)
+    raw = payloads(spark, sf).select(F.length("value").alias("size"), F.col("value").cast("binary").alias("data"))
+    return feed.resolve_payload(raw, "kinesis")
 
 
 @query("parse_trade_json")
@@ -220,10 +224,29 @@ def _(spark, sf):
 
 @query("batch_written_counts")
 def _(spark, sf):
-    stream, _ = _silver_run(spark, sf, "1 minute")
-    return sinks.batch_written_counts(stream).agg(
-        F.sum("rows_read").alias("rows_read"), F.sum("rows_written").alias("rows_written"), F.sum("rows_late").alias("rows_late")
-    )
+    """The feed comes twice, in one file and then in 120. One stream stores it as it comes, a file a micro-batch, the
+    other its windows, for which most of the second copy is late."""
+    cfg = new_run(spark)
+    log = sinks.ProgressLog(spark, cfg.table_path("progress"))
+    spark.streams.addListener(log)
+    try:
+        for files in (1, 120):
+            payloads(spark, sf).repartition(files).write.mode("append").text(cfg.table_path("feed"))
+            streams = {
+                "rows": sinks.append_rows(delivered(spark, cfg, 1), cfg.table_path("rows"), cfg.checkpoint_path("rows"), None),
+                "windows": sinks.silver_sink(
+                    delivered(spark, cfg), cfg.table_path("silver"), cfg.checkpoint_path("silver"), "1 minute", trigger=None),
+            }
+            finish(*streams.values())
+            for stream in streams.values():
+                log.settle(stream)
+    finally:
+        spark.streams.removeListener(log)
+    counts = sinks.batch_written_counts(spark, log.path)
+    name = reduce(lambda a, item: F.when(F.col("query_id") == str(item[1].id), item[0]).otherwise(a), streams.items(), F.lit("?"))
+    return counts.groupBy(name.alias("stream")).agg(
+        F.count_if(F.col("rows_read") > 0).alias("batches"), F.sum("rows_read").alias("rows_read"),
+        F.sum("rows_written").alias("rows_written"), (F.sum("rows_late") > 0).alias("some_late"))
 
 
 def _gold_run(spark, sf) -> Config:
@@ -234,13 +257,36 @@ def _gold_run(spark, sf) -> Config:
 
 @query("gold_sink")
 def _(spark, sf):
-    return stored(spark, _gold_run(spark, sf), "gold_anomaly_alerts").drop("detected_at")
+    return stored(spark, _gold_run(spark, sf), "gold_anomaly_alerts").drop("detected_at", "alert_day")
+
+
+@query("alert_digest_stream")
+def _(spark, sf):
+    """The blocks of the digests of all new alert files; a file holds the alerts of a day."""
+    cfg = _gold_run(spark, sf)
+    files = tables.alert_file_stream(spark, cfg.table_path("gold_anomaly_alerts"))
+    finish(sinks.digest_sink(files, cfg.table_path("digests"), cfg.checkpoint_path("d"), trigger=None))
+    schema = "file string, ticker string, subject string, body string"
+    return spark.read.schema(schema).parquet(cfg.table_path("digests")).where("ticker IS NOT NULL").select("ticker", "body")
+
+
+@query("stream_profile")
+def _(spark, sf):
+    """Profiles of a feed that comes in three files, one a micro-batch, summed over the batches."""
+    cfg = new_run(spark)
+    payloads(spark, sf).repartition(3).write.text(cfg.table_path("feed"))
+    finish(sinks.profile_sink(delivered(spark, cfg, 1), cfg.table_path("profiles"), cfg.checkpoint_path("p"), None))
+    profiles = spark.read.schema("section string, name string, trades long, batch_id long").parquet(cfg.table_path("profiles"))
+    sampled = F.col("section") == "sample"
+    return profiles.where("section IN ('rows', 'source', 'sample')").groupBy(
+        "section", F.when(~sampled, F.col("name")).alias("name")).agg(
+        F.sum(F.when(sampled, 1).otherwise(F.col("trades"))).alias("trades"), F.count_distinct("batch_id").alias("batches"))
 
 
 @query("alert_file_scan")
 def _(spark, sf):
     found = tables.alert_file_scan(spark, _gold_run(spark, sf).table_path("gold_anomaly_alerts"))
-    return found.groupBy("ticker").agg(F.count_if(F.col("file").contains("batch_id=0/")).alias("alerts"))
+    return found.groupBy("ticker").agg(F.count_if(F.col("file").contains("/batch_id=0/")).alias("alerts"))
 
 
 def _two_drops(spark, sf, start: Callable[[DataFrame, Config], object]) -> Config:
@@ -252,8 +298,7 @@ def _two_drops(spark, sf, start: Callable[[DataFrame, Config], object]) -> Confi
         if side:
             drop = rows.where(F.col("side") == side).select(feed.trade_payload().alias("value"))
             drop.write.mode("append").text(cfg.table_path("feed"))
-        raw = feed.stream_source(spark, "text", {"path": cfg.table_path("feed")})
-        finish(start(feed.resolve_payload(raw), cfg))
+        finish(start(delivered(spark, cfg), cfg))
     return cfg
 
 
@@ -265,26 +310,47 @@ def _(spark, sf):
     return stored(spark, _two_drops(spark, sf, start), "bronze_raw_trades").drop("ingested_at")
 
 
-@query("foreach_batch_anomaly", "skip_empty_batch")
-def _(spark, sf):
-    def start(wire: DataFrame, cfg: Config):
-        return sinks.gold_sink(wire, cfg.table_path("gold_anomaly_alerts"), cfg.checkpoint_path("g"), trigger=None)
+def _gold_into(cfg: Config, wire: DataFrame):
+    return sinks.gold_sink(wire, cfg.table_path("gold_anomaly_alerts"), cfg.checkpoint_path("g"), trigger=None)
 
-    return stored(spark, _two_drops(spark, sf, start), "gold_anomaly_alerts").drop("detected_at")
 
+@query("foreach_batch_anomaly")
+def _(spark, sf):
+    cfg = _two_drops(spark, sf, lambda wire, cfg: _gold_into(cfg, wire))
+    return stored(spark, cfg, "gold_anomaly_alerts").drop("detected_at", "alert_day")
 
-@query("late_drop")
+
+@query("skip_empty_batch")
 def _(spark, sf):
-    """The feed is delivered twice: the second copy is late for every closed window, so silver keeps
-    the first counts while bronze holds both copies."""
+    """Between the buys and the sells comes a delivery without a single row; it makes a micro-batch and no alerts."""
     cfg = new_run(spark)
-    for _ in range(2):
-        payloads(spark, sf).write.mode("append").text(cfg.table_path("feed"))
-        wire = feed.resolve_payload(feed.stream_source(spark, "text", {"path": cfg.table_path("feed")}))
+    rows = replay.wire_of(trades(spark, sf))
+    for part in (F.col("side") == "buy", F.lit(False), F.col("side") == "sell"):
+        rows.where(part).select(feed.trade_payload().alias("value")).coalesce(1).write.mode("append").text(cfg.table_path("feed"))
+        finish(_gold_into(cfg, delivered(spark, cfg)))
+    return stored(spark, cfg, "gold_anomaly_alerts").drop("detected_at", "alert_day")
+
+
+def _late_run(spark, sf) -> Config:
+    """The feed is delivered twice, the second time with sells a tenth dearer: all that is late for a closed window, so
+    silver keeps the first prices while bronze holds both."""
+    cfg = new_run(spark)
+    rows = replay.wire_of(trades(spark, sf))
+    dearer = F.when(F.col("side") == "sell", F.col("price") * 1.1).otherwise(F.col("price"))
+    for delivery in (rows, rows.withColumn("price", dearer)):
+        delivery.select(feed.trade_payload().alias("value")).write.mode("append").text(cfg.table_path("feed"))
+        wire = delivered(spark, cfg)
         finish(
             sinks.bronze_append(wire, cfg.table_path("bronze_raw_trades"), cfg.checkpoint_path("b"), None),
             sinks.silver_sink(wire, cfg.table_path("silver_vwap_1min"), cfg.checkpoint_path("s"), "1 minute", trigger=None),
         )
+    return cfg
+
+
+@query("late_drop")
+def _(spark, sf):
+    """In the feed delivered twice, the trades of each window in bronze and in silver."""
+    cfg = _late_run(spark, sf)
     kept = stored(spark, cfg, "silver_vwap_1min").select("window_start", "ticker", F.col("trade_count").alias("in_silver"))
     all_rows = stored(spark, cfg, "bronze_raw_trades").groupBy(
         F.date_trunc("minute", "event_time").alias("window_start"), "ticker"
@@ -298,8 +364,7 @@ def _(spark, sf):
     stream = sinks.bronze_append(
         wire_stream(spark, sf), cfg.table_path("bronze_raw_trades"), cfg.checkpoint_path("b"), "30 seconds"
     )
-    while stream.isActive and not stream.recentProgress:
-        time.sleep(0.2)
+    stream.processAllAvailable()
     sinks.bounded_run([stream], 0)
     return stored(spark, cfg, "bronze_raw_trades").drop("ingested_at")
 
@@ -341,7 +406,8 @@ def _batch_layer(spark, sf, table: str) -> DataFrame:
     if table == "bronze_raw_trades":
         return bronze(spark, sf).hint("rebalance", *BRONZE_PARTITIONS)
     if table == "gold_anomaly_alerts":
-        return gold(spark, sf).drop("bucket").withColumn("batch_id", F.lit(0).cast("long")).select(*GOLD.names)
+        dated = gold(spark, sf).withColumns({"alert_day": F.to_date("event_time"), "batch_id": F.lit(0).cast("long")})
+        return dated.select(*GOLD.names)
     return silver(spark, sf, "1 minute" if table == "silver_vwap_1min" else "5 minutes")
 
 
@@ -354,37 +420,48 @@ def _stored_batch(spark, sf, *names: str) -> Config:
     return cfg
 
 
+def _stored_stream(spark, sf) -> Config:
+    """Tables written by the four streams, and registered."""
+    cfg = new_run(spark)
+    finish(*sinks.fan_out(wire_stream(spark, sf), cfg))
+    tables.table_register(spark, cfg)
+    return cfg
+
+
 @query("partition_pruned_scan")
 def _(spark, sf):
-    name = f"{_stored_batch(spark, sf, 'bronze_raw_trades').database}.bronze_raw_trades"
-    return tables.partition_pruned_scan(spark, name, 2026, 6, 6, "TK07")
+    name = f"{_stored_stream(spark, sf).database}.bronze_raw_trades"
+    return tables.partition_pruned_scan(spark, name, 2026, 6, 6, "TK07").drop("ingested_at")
 
 
 @query("table_register")
 def _(spark, sf):
-    cfg = _stored_batch(spark, sf, *TABLES)
+    cfg = _stored_stream(spark, sf)
     names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {cfg.database}").collect()]
     return stats.layer_counts({n: spark.table(f"{cfg.database}.{n}") for n in names})
 
 
-@query("table_describe")
-def _(spark, sf):
-    name = f"{_stored_batch(spark, sf, 'bronze_raw_trades').database}.bronze_raw_trades"
-    return tables.table_describe(spark, name).select("position", "col_name", "data_type", "is_partition")
-
-
 @query("compact_bronze")
 def _(spark, sf):
+    """The compacted table under the name of the one that the batch job wrote."""
     cfg = _stored_batch(spark, sf, "bronze_raw_trades")
-    return tables.compact_bronze(spark, cfg.table_path("bronze_raw_trades"), cfg.table_path("bronze_compacted"))
+    tables.compact_bronze(spark, cfg.table_path("bronze_raw_trades"), cfg.table_path("bronze_compacted"))
+    return spark.table(tables.table_repoint(spark, cfg, "bronze_raw_trades", cfg.table_path("bronze_compacted")))
 
 
 # --- projections --------------------------------------------------------------------------------
 
 
-@query("bronze_enrich", "filter_partition")
+@query("bronze_enrich")
 def _(spark, sf):
-    return bronze(spark, sf).where(vwap.on_day(DAY))
+    return bronze(spark, sf)
+
+
+@query("filter_partition")
+def _(spark, sf):
+    """The first of the stored days."""
+    cfg = _stored_batch(spark, sf, "bronze_raw_trades")
+    return spark.table(f"{cfg.database}.bronze_raw_trades").where(vwap.on_day(DAY))
 
 
 @query("notional")
@@ -410,7 +487,7 @@ def _(spark, sf):
         F.concat_ws("-", F.lit("id"), "ticker", "trade_id").alias("joined_id"),
         fn.percent_text(F.col("price") / 10000).alias("as_percent"),
         fn.money_text(F.col("price")).alias("as_money"),
-        fn.alert_subject(F.col("quantity"), F.col("quantity"), 48).alias("subject"),
+        fn.alert_subject(F.col("quantity"), F.col("quantity"), 43).alias("subject"),
         F.col("side").isin("buy", "unknown").alias("listed"),
     )
 
@@ -465,9 +542,14 @@ def _(spark, sf):
     return gold(spark, sf, -1.0).select("trade_id", "direction")
 
 
+def _late_layers(spark, sf) -> tuple[DataFrame, DataFrame]:
+    cfg = _late_run(spark, sf)
+    return stored(spark, cfg, "bronze_raw_trades"), stored(spark, cfg, "silver_vwap_1min")
+
+
 @query("vwap_diff_pct")
 def _(spark, sf):
-    rows = vwap.reconcile_windows(bronze(spark, sf), silver(spark, sf), DAY)
+    rows = vwap.reconcile_windows(*_late_layers(spark, sf), DAY)
     return rows.select("ticker", "minute", "diff_pct")
 
 
@@ -527,6 +609,7 @@ def _check(*checks: str):
 for _name in (*quality.ALL, "spread", "ticker_domain"):
     query(f"dq_{_name}")(_check(_name))
 query("dq_checks")(_check(*quality.ALL))
+query("dq_validation")(_check(*quality.VALIDATION))
 
 
 @query("dq_gate")
@@ -572,13 +655,15 @@ def _(spark, sf):
 
 @query("vwap_reconcile")
 def _(spark, sf):
-    return vwap.vwap_reconcile(bronze(spark, sf), silver(spark, sf), DAY)
+    return vwap.vwap_reconcile(*_late_layers(spark, sf), DAY)
 
 
 @query("vwap_reconcile_coverage")
 def _(spark, sf):
-    closed = vwap.closed_windows(silver(spark, sf), trades(spark, sf))
-    return vwap.vwap_reconcile_coverage(bronze(spark, sf), closed, DAY)
+    """Both stored days; of the second, silver lacks the windows still open."""
+    layers = _late_layers(spark, sf)
+    days = [vwap.vwap_reconcile_coverage(*layers, day).select(F.lit(str(day)).alias("day"), "*") for day in (DAY, DAY + timedelta(days=1))]
+    return reduce(DataFrame.unionByName, days)
 
 
 @query("vwap_1m_vs_5m")
@@ -633,12 +718,8 @@ def _(spark, sf):
 
 @query("layer_counts")
 def _(spark, sf):
-    return stats.layer_counts({
-        "bronze_raw_trades": bronze(spark, sf),
-        "silver_vwap_1min": silver(spark, sf),
-        "silver_vwap_5min": silver(spark, sf, "5 minutes"),
-        "gold_anomaly_alerts": gold(spark, sf),
-    })
+    cfg = _stored_batch(spark, sf, *TABLES)
+    return stats.layer_counts({t: spark.table(f"{cfg.database}.{t}") for t in TABLES})
 
 
 @query("distinct_tickers")
@@ -698,4 +779,4 @@ def _(spark, sf):
 
 @query("alert_subject")
 def _(spark, sf):
-    return alerts.alert_digest(gold_files(spark, sf), "file").where("part = 0").select("file", "subject")
+    return alerts.alert_digest(gold_files(spark, sf), "file").where("ticker IS NULL").select("file", "subject")

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.schema import RAW_COLUMN_MARKS, WIRE
+from tradeloom.schema import WIRE
 
 # File formats list their files and know no offsets; connectors bring their own columns.
 FILE_FORMATS = {"json", "parquet", "text"}
+# The column in which a source delivers an unparsed record.
+PAYLOAD_COLUMNS = {"kafka": "value", "kinesis": "data", "pubsub": "payload", "pulsar": "value", "socket": "value", "text": "value"}
 
 
 def _open(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.StructType) -> DataFrame:
@@ -55,17 +57,39 @@ def _fields(col: str, schema: T.StructType) -> Column:
     return F.inline(F.array(F.from_json(_quoted(col).cast("string"), schema)))
 
 
-def resolve_payload(df: DataFrame, schema: T.StructType = WIRE) -> DataFrame:
-    """Wire columns of a feed that arrives either parsed already or as one raw column.
+def wire_rows(df: DataFrame, payload: str | None = None, schema: T.StructType = WIRE) -> DataFrame:
+    """The wire columns of a feed; ``payload`` names the column to parse, None stands for a feed that is parsed.
 
-    Names with ``$`` are the connector's own and do not count as data. The raw column is the first
-    one that a connector has marked as temporary or inferred, else simply the first.
+    A column that the feed lacks is NULL, columns beyond the wire's are left out.
     """
-    data = {c for c in df.columns if "$" not in c}
-    if data.issuperset(schema.names):
-        return df.select(*schema.names)
-    marked = [c for c in df.columns if any(mark in c for mark in RAW_COLUMN_MARKS)]
-    return parse_trade_json(df, (marked or df.columns)[0], schema)
+    if payload is not None:
+        return parse_trade_json(df, payload, schema)
+    have = set(df.columns)
+    return df.select(*[
+        (_quoted(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+
+
+def payload_column(df: DataFrame, fmt: str | None = None, schema: T.StructType = WIRE) -> str | None:
+    """The column of unparsed records in what a source delivers, or None if it has parsed them.
+
+    The source's format tells. Where it does not, a feed that has a wire field is parsed, and any other feed must have
+    just one column of text or bytes; several leave the choice to the caller, as an error.
+    """
+    known = PAYLOAD_COLUMNS.get(fmt or "")
+    if known in df.columns:
+        return known
+    if any(f.name in schema.names for f in df.schema.fields):
+        return None
+    raw = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    if len(raw) != 1:
+        raise ValueError(f"name the payload column, one of {raw or df.columns}")
+    return raw[0]
+
+
+def resolve_payload(df: DataFrame, fmt: str | None = None, schema: T.StructType = WIRE) -> DataFrame:
+    """Wire columns of a feed whose payload column is not known beforehand."""
+    return wire_rows(df, payload_column(df, fmt, schema), schema)
 
 
 def trade_payload(schema: T.StructType = WIRE) -> Column:

@@ -10,16 +10,21 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-START = datetime(2026, 6, 6, 13, 30)
-START_MICROS = 1_780_752_600_000_000  # START in UTC
+START = datetime(2026, 6, 6, 23, 56)  # so that the trades of all but the smallest tables go on past midnight
+START_MICROS = 1_780_790_160_000_000  # START in UTC
 STEP_MICROS = 50_000
 
-EVENTS = (
-    T.StructType().add("event_id", "long").add("ts", "timestamp_ntz").add("user_id", "long")
-    .add("event_type", "string").add("value", "double").add("props", "string")
-)
+# The given table's columns.
+EVENTS = StructType([
+    StructField("event_id", LongType()),
+    StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()),
+    StructField("event_type", StringType()),
+    StructField("value", DoubleType()),
+    StructField("props", StringType()),
+])
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
@@ -60,7 +65,8 @@ def trades_of(df: DataFrame) -> DataFrame:
         (F.col("price") - 0.02).alias("bid_price"),
         (F.col("price") + 0.02).alias("ask_price"),
         F.lit("TEST").alias("exchange"),
-        F.lit("replay").alias("source"),
+        F.when(F.col("event_type") == "view", "replay-a").when(F.col("event_type") == "click", "replay-b")
+        .otherwise("replay-c").alias("source"),
         "event_time", "ingested_at", "event_type", "value",
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.config import Config
-from tradeloom.schema import TABLES
+from tradeloom.schema import COMPACTED_PARTITIONS, TABLES
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -44,19 +44,40 @@ def table_register(spark: SparkSession, cfg: Config) -> list[str]:
     A name that already stands for another folder is an error: it is never moved under its readers.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.database} LOCATION '{cfg.table_path('catalog')}'")
-    names = []
-    for table, (schema, partitions) in TABLES.items():
-        name, path = f"{cfg.database}.{table}", _qualified(spark, cfg.table_path(table))
+    for table, (_, partitions) in TABLES.items():
+        _declare(spark, f"{cfg.database}.{table}", table, partitions, _qualified(spark, cfg.table_path(table)))
+    return [f"{cfg.database}.{table}" for table in TABLES]
+
+
+def table_repoint(spark: SparkSession, cfg: Config, table: str, target: str) -> str:
+    """Let a run's table stand for its compacted copy in ``target`` from now on. The old files stay where they are."""
+    name = f"{cfg.database}.{table}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    partitions = COMPACTED_PARTITIONS.get(table, TABLES[table][1])
+    _declare(spark, name, table, partitions, _qualified(spark, target))
+    return name
+
+
+def _declare(spark: SparkSession, name: str, table: str, partitions: list[str], path: str) -> None:
+    if not spark.catalog.tableExists(name):
         by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet {by} LOCATION '{path}'")
-        if _location(spark, name) != path:
-            raise ValueError(f"{name} is registered for {_location(spark, name)}, not for {path}")
-        # A run without alerts leaves no gold folder to look into.
-        if any(c.isPartition for c in spark.catalog.listColumns(name)) and _exists(spark, path):
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-        spark.catalog.refreshTable(name)
-        names.append(name)
-    return names
+        # Declared at a place without files, then moved: where a streaming sink has left its log, Spark would drop the
+        # declared columns and guess the types of partition values, so that the ticker 007 would become 7.
+        spark.sql(f"CREATE TABLE {name} ({TABLES[table][0].toDDL()}) USING parquet {by} LOCATION '{path}.declared'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    if _location(spark, name) != path:
+        raise ValueError(f"{name} is registered for {_location(spark, name)}, not for {path}")
+    # A run without alerts leaves no gold folder to look into; a streaming sink's log knows its own partitions.
+    if partitions and folder_exists(spark, path) and not folder_exists(spark, f"{path}/_spark_metadata"):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
+
+
+def remove_folders(spark: SparkSession, pattern: str) -> None:
+    """Remove the folders that a pattern names, on whatever file system they are."""
+    fs, folder = _file_system(spark, pattern)
+    for found in fs.globStatus(folder) or []:
+        fs.delete(found.getPath(), True)
 
 
 def _location(spark: SparkSession, name: str) -> str:
@@ -73,7 +94,7 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(folder).toString()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def folder_exists(spark: SparkSession, path: str) -> bool:
     fs, folder = _file_system(spark, path)
     return fs.exists(folder)
 
@@ -81,9 +102,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def table_describe(spark: SparkSession, name: str) -> DataFrame:
     """Columns of a registered table in order, with type, partition mark and the table's location."""
     location = _location(spark, name)
-    # The catalog holds no columns for a table kept by a streaming sink's log; the log's folders hold them.
-    table = name.rsplit(".", 1)[-1]
-    partitions = {c.name for c in spark.catalog.listColumns(name) if c.isPartition} or set(TABLES[table][1])
+    partitions = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}
     rows = [
         (i, f.name, f.dataType.simpleString(), f.name in partitions, name, location)
         for i, f in enumerate(spark.table(name).schema.fields)
@@ -97,9 +116,10 @@ def compact_table(spark: SparkSession, table: str, source: str, target: str) ->
     """Rewrite a stored table into few files, at a new path.
 
     The rebalance step merges the many small pieces that streams leave and splits what is large, to about
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each, within the table's partitions.
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each, within the table's partitions; those of gold are then the
+    days, so that micro-batches merge. ``table_repoint`` lets the table's name stand for the result.
     """
-    partitions = TABLES[table][1]
+    partitions = COMPACTED_PARTITIONS.get(table, TABLES[table][1])
     df = read_table(spark, source, table).hint("rebalance", *partitions)
     df.write.partitionBy(*partitions).parquet(target)
     return read_table(spark, target, table)

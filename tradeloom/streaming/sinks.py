@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-import logging
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tradeloom.config import Config
+from tradeloom.operators.alerts import alert_digest
 from tradeloom.operators.anomaly import anomaly_self_join
+from tradeloom.operators.stats import batch_profile, batch_sample
 from tradeloom.operators.projections import bronze_enrich, gold_project, window_flatten
 from tradeloom.operators.vwap import vwap
-from tradeloom.schema import BRONZE, BRONZE_PARTITIONS, SILVER
-
-log = logging.getLogger(__name__)
+from tradeloom.schema import BRONZE_PARTITIONS, SILVER
+from tradeloom.sources.tables import remove_folders
 
 WRITTEN = "written"
 
@@ -25,13 +26,21 @@ def _trigger(trigger: str | None) -> dict:
     return {"availableNow": True} if trigger is None else {"processingTime": trigger}
 
 
-def _append_parquet(
-    df: DataFrame, path: str, checkpoint: str, trigger: str | None, name: str, partitions: Sequence[str] = ()
+def append_rows(
+    df: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", name: str | None = None, partitions: Sequence[str] = (),
+    retention: str | None = None,
 ) -> StreamingQuery:
-    """Append through the file sink, whose log makes a repeated batch count once."""
+    """Append through the file sink, whose log makes a repeated batch count once.
+
+    The log lists every file, and readers load it whole. ``retention``, such as "30 days", lets it forget older files:
+    a stream that runs for months needs it, together with a compaction (``compact_table``) of what is about to be
+    forgotten.
+    """
     writer = df.observe(WRITTEN, F.count("*").alias("rows")).writeStream.format("parquet")
     if name:
         writer = writer.queryName(name)
+    if retention:
+        writer = writer.option("retention", retention)
     return (
         writer.outputMode("append")
         .option("path", path)
@@ -43,7 +52,8 @@ def _append_parquet(
 
 
 def bronze_append(
-    wire: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", name: str | None = None
+    wire: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", name: str | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """Store every trade, partitioned by day and ticker.
 
@@ -51,8 +61,8 @@ def bronze_append(
     partition together, merges quiet tickers into one task and splits busy ones over several, by the
     sizes measured in the batch (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
-    rows = bronze_enrich(wire).select(*BRONZE.names).hint("rebalance", *BRONZE_PARTITIONS)
-    return _append_parquet(rows, path, checkpoint, trigger, name, BRONZE_PARTITIONS)
+    rows = bronze_enrich(wire).hint("rebalance", *BRONZE_PARTITIONS)
+    return append_rows(rows, path, checkpoint, trigger, name, BRONZE_PARTITIONS, retention)
 
 
 def silver_sink(
@@ -63,32 +73,36 @@ def silver_sink(
     watermark: str = "10 seconds",
     trigger: str | None = "30 seconds",
     name: str | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """Store each window once, after the watermark has reached its end. Later rows for it are dropped
     here and stay in bronze."""
     rows = window_flatten(vwap(wire, duration, watermark)).select(*SILVER.names)
-    return _append_parquet(rows, path, checkpoint, trigger, name)
+    return append_rows(rows, path, checkpoint, trigger, name, retention=retention)
 
 
 def foreach_batch_anomaly(path: str, threshold: float = 0.01) -> Callable[[DataFrame, int], None]:
-    """Writer of one micro-batch's alerts to its own ``batch_id`` folder.
+    """Writer of one micro-batch's alerts to folders of its own, by day of the trade and ``batch_id``.
 
-    A batch that is run again after a failure overwrites its folder, so its alerts appear once. The batch
-    is read twice, for the averages and for the trades, rather than cached: a replay may make it as
-    large as the feed.
+    A batch that is run again after a failure, with whatever threshold, replaces its folders, so its alerts appear
+    once. The batch is read twice, for the averages and for the trades, rather than cached: a replay may make it as
+    large as the feed. The averages are kept for the join and released after the write; a batch without alerts writes
+    no file.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        alerts = anomaly_self_join(batch, threshold)
-        if alerts.isEmpty():
-            return
-        flagged = Observation(f"alerts of batch {batch_id}")
-        # Alerts are few: gather them, rather than leave one file per task of the join.
-        counted = alerts.observe(flagged, F.count("*").alias("rows")).hint("rebalance")
-        counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        log.info("batch %d: %d trades flagged", batch_id, flagged.get["rows"])
+        held: list[DataFrame] = []
+        try:
+            alerts = anomaly_self_join(batch, threshold, held=held)
+            dated = alerts.withColumns({"alert_day": F.to_date("event_time"), "batch_id": F.lit(batch_id).cast("long")})
+            remove_folders(batch.sparkSession, f"{path}/alert_day=*/batch_id={batch_id}")
+            # Alerts are few: gather them, rather than leave one file per task of the join.
+            dated.hint("rebalance").write.mode("append").partitionBy("alert_day", "batch_id").parquet(path)
+        finally:
+            for stats in held:
+                stats.unpersist()
 
     return write
 
@@ -108,6 +122,30 @@ def gold_sink(
     return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(trigger)).start()
 
 
+def profile_sink(wire: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", sample: int = 5) -> StreamingQuery:
+    """Store a profile of every micro-batch (``batch_profile``), with a few of its rows as JSON, in a folder of its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch_sample(batch, sample).select(
+            F.lit("sample").alias("section"), F.to_json(F.struct(*batch.columns)).alias("name"), F.lit(None).cast("long").alias("trades"))
+        batch_profile(batch).unionByName(rows).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = wire.writeStream.foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(trigger)).start()
+
+
+def digest_sink(
+    alert_files: DataFrame, path: str, checkpoint: str, threshold: float = 0.01, trigger: str | None = "30 seconds"
+) -> StreamingQuery:
+    """Store the digest of every new alert file; ``alert_files`` is ``alert_file_stream``. A file comes in one micro-batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        alert_digest(batch, "file", threshold).hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = alert_files.writeStream.foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(trigger)).start()
+
+
 def fan_out(wire: DataFrame, cfg: Config) -> list[StreamingQuery]:
     """Start the four queries over one feed, each with its own checkpoint."""
 
@@ -115,34 +153,71 @@ def fan_out(wire: DataFrame, cfg: Config) -> list[StreamingQuery]:
         return cfg.table_path(table), cfg.checkpoint_path(table)
 
     return [
-        bronze_append(wire, *where("bronze_raw_trades"), cfg.trigger),
-        silver_sink(wire, *where("silver_vwap_1min"), "1 minute", cfg.watermark, cfg.trigger),
-        silver_sink(wire, *where("silver_vwap_5min"), "5 minutes", cfg.watermark, cfg.trigger),
+        bronze_append(wire, *where("bronze_raw_trades"), cfg.trigger, retention=cfg.log_retention),
+        silver_sink(wire, *where("silver_vwap_1min"), "1 minute", cfg.watermark, cfg.trigger, retention=cfg.log_retention),
+        silver_sink(wire, *where("silver_vwap_5min"), "5 minutes", cfg.watermark, cfg.trigger, retention=cfg.log_retention),
         gold_sink(wire, *where("gold_anomaly_alerts"), cfg.anomaly_threshold, cfg.trigger),
     ]
 
 
 def bounded_run(queries: Sequence[StreamingQuery], seconds: float) -> None:
-    """Let the queries run for at most ``seconds`` in all, then stop them. A failed query raises."""
+    """Let the queries run for at most ``seconds`` in all, then stop them. A query that fails is raised at once."""
     end = time.monotonic() + seconds
     try:
-        for query in queries:
-            query.awaitTermination(max(0.001, end - time.monotonic()))
+        while True:
+            for query in queries:
+                failure = query.exception()
+                if failure is not None:
+                    raise failure
+            if time.monotonic() >= end or not any(query.isActive for query in queries):
+                return
+            time.sleep(min(0.2, max(0.0, end - time.monotonic())))
     finally:
         for query in queries:
             query.stop()
 
 
-def batch_written_counts(query: StreamingQuery) -> DataFrame:
-    """Rows read, written and dropped as late per micro-batch, as (batch_id, rows_read, rows_written, rows_late).
+class ProgressLog(StreamingQueryListener):
+    """Appends what each micro-batch read, wrote and dropped to a table, as the session itself forgets all but the last.
 
-    Works on the progress reports the session keeps, see ``spark.sql.streaming.numRecentProgressUpdates``.
+    Register it with ``spark.streams.addListener``. Reports arrive a little after their batch: ``settle`` waits for the
+    last one of a query that has ended.
     """
-    rows = []
-    for p in query.recentProgress:
-        observed = p.observedMetrics.get(WRITTEN) if p.observedMetrics else None
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.reported: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        observed = (p.observedMetrics or {}).get(WRITTEN)
         late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
-        rows.append((p.batchId, p.numInputRows, observed["rows"] if observed else None, late))
-    return SparkSession.active().createDataFrame(
-        rows, "batch_id long, rows_read long, rows_written long, rows_late long"
-    )
+        row = (str(p.id), p.batchId, p.numInputRows, observed["rows"] if observed else None, late)
+        schema = "query_id string, batch_id long, rows_read long, rows_written long, rows_late long"
+        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(self.path)
+        self.reported[str(p.id)] = p.batchId
+
+    def settle(self, query: StreamingQuery, seconds: float = 60) -> None:
+        last, end = query.lastProgress, time.monotonic() + seconds
+        while last is not None and self.reported.get(str(query.id), -1) < last["batchId"]:
+            if time.monotonic() > end:
+                raise TimeoutError("the report of the last micro-batch did not arrive")
+            time.sleep(0.05)
+
+
+def batch_written_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows read, written and dropped as late per micro-batch, from the table of a ``ProgressLog``.
+
+    (query_id, batch_id, rows_read, rows_written, rows_late). A batch that was reported again counts once.
+    """
+    counts = ("rows_read", "rows_written", "rows_late")
+    return spark.read.parquet(path).groupBy("query_id", "batch_id").agg(*[F.max(c).alias(c) for c in counts])
