@@ -2,6 +2,32 @@
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+#: Jump hashing step by step in exact integers, and CRC-32 byte by byte over a table built from its polynomial.
+SHARDING = """
+WITH RECURSIVE bits AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t
+), content AS (
+    SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), sums AS (
+    SELECT doc_id, n, xor(list_reduce(
+        list_transform(range(n), lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) AS text_crc32
+    FROM content CROSS JOIN bits
+), jumps(doc_id, shards, state, landed, following) AS (
+    SELECT doc_id, shards, (CAST(doc_id AS HUGEINT) + 18446744073709551616) % 18446744073709551616, CAST(-1 AS BIGINT), CAST(0 AS BIGINT)
+    FROM documents CROSS JOIN (VALUES (24), (25)) AS counts(shards)
+    UNION ALL
+    SELECT doc_id, shards, next, following, CAST(floor((following + 1) * (2147483648.0 / CAST(next // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+    FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM jumps WHERE following < shards)
+), placed AS (
+    SELECT doc_id, max(landed) FILTER (shards = 24) AS shard, max(landed) FILTER (shards = 25) AS grown_shard
+    FROM jumps WHERE following >= shards GROUP BY doc_id
+)
+SELECT doc_id, CAST(n + 8 AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+FROM sums JOIN placed USING (doc_id)
+"""
+
 URLFILTER = f"""
 WITH cut AS (
     SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -83,4 +109,4 @@ WITH RECURSIVE held AS (
 SELECT doc_id, source, tokens, round(weight, 9) AS weight, epochs, CAST(unnest(range(1, times + 1)) AS INTEGER) AS pass FROM passes
 """
 
-ORACLE = {"op5_mixing": MIXING, "op7_urlfilter": URLFILTER, "op9_simjoin": SIMJOIN}
+ORACLE = {"op1_sharding": SHARDING, "op5_mixing": MIXING, "op7_urlfilter": URLFILTER, "op9_simjoin": SIMJOIN}
