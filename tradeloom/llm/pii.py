@@ -123,18 +123,16 @@ def contexts(left: Column, right: Column) -> Column:
 
 
 def occurrences() -> Column:
-    """Seeds and other identifier-like strings with their contexts; others that overlap a span of base are left out."""
+    """Seeds and other identifier-like strings with the text around them; others that overlap a span of base are left out."""
     def held(x: Column, kind: Column) -> Column:
-        return F.struct(kind.cast("int").alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-                        F.lower(x["surface"]).alias("instance"), contexts(x["left"], x["right"]).alias("patterns"))
+        return F.struct(kind.cast("int").alias("kind"), *[x[c].alias(c) for c in ("start", "end", "surface", "left", "right")])
 
     def seen(kind: int) -> Column:
         return F.transform(KINDS[kind], lambda x: held(x, F.lit(kind)))
 
     apart = F.filter("other", lambda x: ~F.exists("base", lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
     others = F.transform(apart, lambda x: held(x, F.lit(None).cast("int")))
-    kind = "array<struct<kind:int,start:bigint,end:bigint,instance:string,patterns:array<string>>>"
-    return F.concat(*[c.cast(kind) for c in (*map(seen, range(len(KINDS))), others)])
+    return F.concat(*[c.cast(FOUND.replace("<start", "<kind:int,start")) for c in (*map(seen, range(len(KINDS))), others)])
 
 
 def bootstrap(places: DataFrame) -> DataFrame:
@@ -180,6 +178,8 @@ def examined(df: DataFrame, key: str, text: str) -> DataFrame:
 def discovered(rows: DataFrame) -> DataFrame:
     """(key, content, more): the spans that ``bootstrap`` adds to a document, for those that have any."""
     places = rows.select("key", "content", F.explode("places").alias("place")).select("key", "content", "place.*")
+    places = keep(places.select("key", "content", "kind", "start", "end", F.lower("surface").alias("instance"),
+                                contexts(F.col("left"), F.col("right")).alias("patterns")))
     known = bootstrap(places.select("kind", "instance", "patterns")).withColumnRenamed("kind", "found_kind")
     return (
         places.where("kind IS NULL").join(known, "instance")
