@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from tradeloom import build_session
@@ -34,6 +35,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+        "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="tradeloom-bench-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
 
