@@ -127,6 +127,12 @@ def test_no_linked_pair_without_a_common_signature():
             assert bound.may_link(min(len(x), len(y)))
 
 
+def test_bounds_that_prefixes_cannot_keep():
+    for percent in (0, 59, 101):
+        with pytest.raises(ValueError):
+            simjoin.Bound(percent)
+
+
 def test_bit_maps_bound_the_difference():
     pick = np.random.default_rng(1)
     for _ in range(50):
@@ -160,3 +166,4 @@ def test_components(spark):
 def test_query(spark, sf):
     docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in op9_simjoin(spark, sf).collect()) == plain(docs, 4, 85)
+

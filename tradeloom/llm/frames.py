@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,18 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def kept_table(df: DataFrame) -> DataFrame:
+    """As ``keep`` for wider or longer intermediate tables: as Parquet, which is compressed, in the shared folder."""
+    path = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df``, to be broadcast in a join if it has at most ``rows`` rows, of bounded width."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -32,6 +45,14 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let texts go to Python in batches of so many rows, unless the session says how many: Spark's own 10,000 rows of
+    long texts would take more memory than the work on them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A to Z and leave every other letter alone."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

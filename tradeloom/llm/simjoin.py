@@ -2,15 +2,15 @@
 
 The tokens of a document are its distinct word shingles. Two documents are linked when their tokens' Jaccard
 similarity reaches a bound; then each lacks few of the other's tokens, and the rarest tokens of both, their
-prefixes, have something in common. Tokens in all of which nothing is frequent are indexed one by one. Frequent
-tokens are dealt into classes and indexed as pairs within a class, for which the prefix is longer: it goes on until
+prefixes, have something in common. Rare tokens are indexed one by one. Frequent tokens are dealt into classes and indexed as pairs within a class, for which the prefix is longer: it goes on until
 taking away as many tokens as a linked document may lack leaves a single rare token or a pair. So a frequent token
 alone never makes a candidate, and no link is lost.
 
 Candidates are found per signature, verified exactly on the tokens, and joined to components:
 
 1. Each signature's documents are held against its most central one (the one with most frequent tokens), which
-   joins nearly all of a large group of copies at the cost of one pair a document.
+   joins nearly all of a large group of copies at the cost of one pair a document; then those still apart are held
+   against one more.
 2. What shares a signature and is still in two components is compared pair by pair, after a bit-map bound on the
    number of tokens that two documents do not share.
 
@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tradeloom.llm.components import components
-from tradeloom.llm.frames import keep, partitions
+from tradeloom.llm.frames import bounded_batches, keep, kept_table, partitions, small
 from tradeloom.llm.textarrays import column_bytes, mixed, shingles, slices, words
 
 U64 = np.uint64
 CELL_BITS = 20  # of the sketch of token counts
-WORD_BITS = 16  # of the sketch of word counts
-PART = 4096  # cells of a sketch that travel together
-BAND = 0.84  # sizes of linked documents differ by a smaller factor than two bands
+PART = 4096  # cells of the sketch that travel together
+LEVELS = 64  # of rank up to what chance puts into a cell
+MORE_HEADS = 1  # rounds in which a signature's documents are held against one more of them
 SALTS = 16  # by which the documents of a frequent signature are spread
 MAP_WORDS = 8  # 64-bit words of a document's bit map
 FILTER_WORDS = 1 << 18  # of the 2 MB filter of documents whose tokens are needed
@@ -46,14 +46,25 @@ FILTER_WORDS = 1 << 18  # of the 2 MB filter of documents whose tokens are neede
 
 @dataclass(frozen=True)
 class Bound:
-    """Jaccard similarity of at least ``percent`` hundredths."""
+    """Jaccard similarity of at least ``percent`` hundredths, 60 to 100; below, prefixes need not be long enough."""
 
     percent: int
 
+    def __post_init__(self):
+        if not 60 <= self.percent <= 100:
+            raise ValueError("the bound must be 60 to 100 percent")
+
     def may_lack(self, n: np.ndarray | int):
         """How many of n tokens a linked document may lack."""
         return n - -(-self.percent * n // 100)
 
+    def band(self, n: int) -> int:
+        """Sizes of linked sets lie in the same band or in neighbouring ones."""
+        return int(np.floor(np.log(n) / -np.log((self.percent - 1) / 100)))
+
+    def band_size(self, band: int) -> int:
+        return int(((self.percent - 1) / 100) ** -band)
+
     def may_link(self, n: int) -> bool:
         """Whether a set of n tokens can be linked to a larger one."""
         return 100 * n >= self.percent * (n + 1)
@@ -61,31 +72,25 @@ class Bound:
 
 @dataclass
 class Frequencies:
-    """Counts of tokens and words in hashed cells; small, of fixed size."""
+    """What is known of tokens by their hashed cell in a sketch of all counts; small, of fixed size.
 
-    order: np.ndarray  # by token cell: twice the binary logarithm of the count beyond what chance puts there
-    frequent: np.ndarray  # by token cell: whether its count is far beyond chance
-    word_share: np.ndarray  # by word cell: binary logarithm of its share of all words
-    total: float  # binary logarithm of the number of words
+    A cell holds the counts of all its tokens, so a token is no more frequent than its cell. Tokens alone in their
+    documents lie in cells of about the same count, and one that many documents share stands out.
+    """
 
-    def keys(self, tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
-        """Sort keys, rarest first: how frequent a token is, by its cell and its words, then its hash."""
-        rank = np.maximum(self.order[(tokens >> U64(64 - CELL_BITS)).astype(np.int64)], common)
-        return rank.astype(np.uint64) << U64(56) | tokens >> U64(8)
+    rank: np.ndarray  # by cell: its count in levels, 0 to 255
+    frequent: np.ndarray  # by cell: whether its count is far beyond chance
 
+    def cells(self, tokens: np.ndarray) -> np.ndarray:
+        return (tokens >> U64(64 - CELL_BITS)).astype(np.int64)
 
-def _shares(found, freq: Frequencies, width: int) -> np.ndarray:
-    """For each run of ``width`` words how frequent its words make it, 0 to 255; as ``Frequencies.order``."""
-    share = freq.word_share[(found.hashes >> U64(64 - WORD_BITS)).astype(np.int64)]
-    n = len(share) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint8)
-    expected = freq.total + sum(share[j:j + n] for j in range(width))
-    return np.clip(2 * expected, 0, 255).astype(np.uint8)
+    def keys(self, tokens: np.ndarray) -> np.ndarray:
+        """Sort keys, rarest first: the rank of a token, then its hash."""
+        return self.rank[self.cells(tokens)].astype(np.uint64) << U64(56) | tokens >> U64(8)
 
 
-def _rows(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
-    """(row position, words, their hashes' runs) slice by slice."""
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(first row, end, words) of the texts of a batch, slice by slice."""
     data, offsets = column_bytes(batch.column("text"))
     for i, j in slices(offsets):
         yield i, j, words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -99,34 +104,36 @@ def fingerprint(tokens: np.ndarray) -> int:
 
 
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """(key, n, class, part, counts): a row for each document, and each task's share of the two sketches."""
+    """(key, n, class, bits, part, counts): a row for each document, and rows of each task's share of the sketch."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, common = np.zeros(1 << CELL_BITS, np.int64), np.zeros(1 << WORD_BITS, np.int64)
+        cells = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
-            sizes, prints = [], []
-            for _, _, found in _rows(batch, width):
-                common += np.bincount((found.hashes >> U64(64 - WORD_BITS)).astype(np.int64), minlength=len(common))
+            sizes, prints, bits = [], [], []
+            for _, _, found in _rows(batch):
                 held = list(shingles(found, width))
                 sizes += [len(t) for t in held]
                 prints += [fingerprint(t) for t in held]
+                bits += [bit_map(t) for t in held]
                 flat = np.concatenate(held) if held else np.zeros(0, np.uint64)
                 cells += np.bincount((flat >> U64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()),
-                 none.cast(pa.int32()), none.cast(pa.binary())], names=names)
-        if common.any():
-            parts = np.concatenate([cells, common]).astype("<u4").reshape(-1, PART)
+                 pa.array(bits, pa.list_(pa.int64())), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+        if cells.any():
+            parts = cells.astype("<u4").reshape(-1, PART)
             none = pa.nulls(len(parts)).cast(pa.int64())
             packed = pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(len(parts)), pa.int32()), packed], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [none, none, none, pa.nulls(len(parts)).cast(pa.list_(pa.int64())), pa.array(range(len(parts)), pa.int32()), packed],
+                names=names)
 
-    names = ["key", "n", "class", "part", "counts"]
-    return docs.mapInArrow(read, "key long, n long, class long, part int, counts binary")
+    names = ["key", "n", "class", "bits", "part", "counts"]
+    return docs.mapInArrow(read, "key long, n long, class long, bits array<long>, part int, counts binary")
 
 
 def frequencies(described: DataFrame) -> Frequencies:
-    """Sum the tasks' sketches, part by part in a stream; the driver gets their fixed size of about 9 MB."""
+    """Sum the tasks' sketches, part by part in a stream; the driver gets their fixed size of 8 MB."""
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -138,16 +145,12 @@ def frequencies(described: DataFrame) -> Frequencies:
 
     shares = described.where("part IS NOT NULL").select("part", "counts")
     summed = shares.repartition(partitions(described.sparkSession), "part").mapInArrow(total, "part int, counts binary")
-    flat = np.zeros((1 << CELL_BITS) + (1 << WORD_BITS))
+    cells = np.zeros(1 << CELL_BITS)
     for row in summed.collect():
-        flat[row["part"] * PART:(row["part"] + 1) * PART] = np.frombuffer(row["counts"], "<i8")
-    cells, common = flat[:1 << CELL_BITS], flat[1 << CELL_BITS:]
+        cells[row["part"] * PART:(row["part"] + 1) * PART] = np.frombuffer(row["counts"], "<i8")
     chance = cells.mean()
-    beyond = np.maximum(cells - 2 * chance - 8, 1)
-    number = max(common.sum(), 1.0)
-    return Frequencies(
-        np.clip(2 * np.log2(beyond), 0, 255).astype(np.uint8), cells > 2 * chance + 64,
-        np.log2(np.maximum(common, 1) / number).astype(np.float32), float(np.log2(number)))
+    rank = np.minimum(LEVELS * cells / max(chance, 1), 255).astype(np.uint8)
+    return Frequencies(rank, cells > 2 * chance + 64)
 
 
 def _pairs(tokens: np.ndarray, classes: np.ndarray, band: int) -> np.ndarray:
@@ -175,9 +178,9 @@ def signatures(keys: np.ndarray, frequent: np.ndarray, bound: Bound) -> tuple[np
         return keys[:need], keys[:0]
     tokens = keys << U64(8)  # the rank is left out, so a token looks alike everywhere
     rare, paired = 0, []
-    band = int(np.floor(np.log(n) / -np.log(BAND)))
+    band = bound.band(n)
     for tag in (band, band + 1):
-        groups = U64(max(1, int(bound.may_lack(int(BAND ** -tag))) // 3))
+        groups = U64(max(1, int(bound.may_lack(bound.band_size(tag))) // 3))
         group = (mixed(tokens) % groups).astype(np.int64)
         gain = np.ones(n, np.int64)
         seen: set[int] = set()
@@ -193,30 +196,29 @@ def signatures(keys: np.ndarray, frequent: np.ndarray, bound: Bound) -> tuple[np
 
 
 def index(docs: DataFrame, width: int, bound: Bound, freq) -> DataFrame:
-    """(sig, class, central, salt) for each signature of each document.
+    """(sig, class, central, salt) for each signature of each document; ``freq`` is the broadcast ``Frequencies``.
 
-    ``central`` is the share of frequent tokens in thousandths. Documents with a pair as signature are spread by a
+    ``central`` grows with the number, and the share, of tokens in cells of twice the count that chance puts there. Documents with a pair as signature are spread by a
     salt; those of a single token are not, since a rare token's count is bounded by its cell of the sketch.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Frequencies = freq.value
         for batch in batches:
-            for _, _, found in _rows(batch, width):
-                runs = _shares(found, known, width)
+            for _, _, found in _rows(batch):
                 sigs, classes, central, salts = [], [], [], []
-                for tokens, common in shingles(found, width, runs):
+                for tokens in shingles(found, width):
                     n = len(tokens)
                     if not n or not bound.may_link(n):
                         continue
-                    keys = known.keys(tokens, common)
+                    keys = known.keys(tokens)
                     order = np.argsort(keys, kind="stable")
-                    keys, often = keys[order], known.frequent[(tokens[order] >> U64(64 - CELL_BITS)).astype(np.int64)]
+                    keys, often = keys[order], known.frequent[known.cells(tokens[order])]
                     single, paired = signatures(keys, often, bound)
                     name, size = fingerprint(tokens), len(single) + len(paired)
-                    share = int(1000 * ((keys >> U64(56)) > 0).mean())
+                    common = int(((keys >> U64(56)) >= 2 * LEVELS).sum())
                     sigs += [mixed(single), paired]
                     classes.append(np.full(size, name, np.int64))
-                    central.append(np.full(size, share, np.int32))
+                    central.append(np.full(size, 16 * common * common // n, np.int32))
                     salt = np.zeros(size, np.int32)
                     salt[len(single):] = 1 + name % SALTS
                     salts.append(salt)
@@ -237,21 +239,30 @@ def bit_map(tokens: np.ndarray) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
-    """(key, class, n, tokens, bits) of the documents that the filter ``wanted`` lets through."""
+    """(key, class, tokens) of the documents that the broadcast filter ``wanted`` lets through.
+
+    A null key is 0 here. Rows that repeat within a task are left out.
+    """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = wanted.value
+        done = set()
         for batch in batches:
-            keys = batch.column("key").fill_null(0).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(_passes(filled, keys)))
-            keys = batch.column("key")
-            for i, j, found in _rows(batch, width):
-                held = list(shingles(found, width))
-                yield pa.RecordBatch.from_arrays(
-                    [keys[i:j], pa.array([fingerprint(t) for t in held], pa.int64()), pa.array([len(t) for t in held], pa.int64()),
-                     pa.array([t.view(np.int64) for t in held], pa.list_(pa.int64())),
-                     pa.array([bit_map(t) for t in held], pa.list_(pa.int64()))], names=["key", "class", "n", "tokens", "bits"])
+            keys = batch.column("key").fill_null(0)
+            passed = pa.array(_passes(wanted.value, keys.to_numpy(zero_copy_only=False)))
+            batch, keys = batch.filter(passed), keys.filter(passed).to_pylist()
+            for i, j, found in _rows(batch):
+                rows = []
+                for key, tokens in zip(keys[i:j], shingles(found, width)):
+                    row = (key, fingerprint(tokens), tokens.view(np.int64))
+                    if row[:2] not in done:
+                        done.add(row[:2])
+                        rows.append(row)
+                if rows:
+                    columns = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                        names=["key", "class", "tokens"])
 
-    return docs.mapInArrow(read, "key long, class long, n long, tokens array<long>, bits array<long>")
+    return docs.mapInArrow(read, "key long, class long, tokens array<long>")
 
 
 def _places(keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -283,21 +294,34 @@ def enough(shared: Column, n: Column, m: Column, bound: Bound) -> Column:
     return shared * 100 >= F.lit(bound.percent) * (n + m - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
-    """The pairs (a, b) of classes that are linked, by their tokens; ``sets`` has class, n, tokens and bits."""
-    a, b = ([F.col(c).alias(f"{side}{c}") for c in ("class", "n", "tokens", "bits")] for side in "ab")
-    light_a = sets.select("class", "n", "bits").select(*[F.col(c).alias(f"a{c}") for c in ("class", "n", "bits")])
-    light_b = sets.select("class", "n", "bits").select(*[F.col(c).alias(f"b{c}") for c in ("class", "n", "bits")])
-    close = (
-        pairs.join(light_a, F.col("a") == F.col("aclass")).join(light_b, F.col("b") == F.col("bclass"))
-        .where(not_apart(F.col("an"), F.col("abits"), F.col("bn"), F.col("bbits"), bound)).select("a", "b")
-    )
-    both = (
-        close.join(sets.select(*a).drop("abits"), F.col("a") == F.col("aclass"))
-        .join(sets.select(*b).drop("bbits"), F.col("b") == F.col("bclass"))
-    )
-    shared = F.size(F.array_intersect("atokens", "btokens")).cast("long")
-    return both.where(enough(shared, F.col("an"), F.col("bn"), bound)).select("a", "b")
+def close_pairs(pairs: DataFrame, classes: DataFrame, bound: Bound) -> DataFrame:
+    """The pairs (a, b) that their sizes and bit maps do not rule out."""
+    a, b = ([F.col(c).alias(f"{side}_{c}") for c in ("class", "n", "bits")] for side in "ab")
+    both = pairs.join(classes.select(*a), F.col("a") == F.col("a_class")).join(classes.select(*b), F.col("b") == F.col("b_class"))
+    return both.where(not_apart(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), bound)).select("a", "b")
+
+
+def verified(close: DataFrame, classes: DataFrame, docs: DataFrame, width: int, bound: Bound) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by their tokens.
+
+    Only the texts of classes in a pair are split into tokens again, one for each class: a filter of fixed size on the
+    keys leaves the others out, an exact join removes what it lets through too much. The tokens move once, to their
+    pair.
+    """
+    spark = docs.sparkSession
+    close = keep(close)
+    key = F.coalesce("key", F.lit(0).cast("long")).alias("key")
+    ends = keep(close.select("a", "b", F.explode(F.array("a", "b")).alias("class")).join(classes.select("class", key), "class"))
+    wanted = spark.sparkContext.broadcast(key_filter(ends.select("key")))
+    sent = token_sets(docs, width, wanted).join(small(ends), ["class", "key"])
+    met = sent.groupBy("a", "b").agg(F.collect_set(F.struct("class", "tokens")).alias("ends"))  # of two classes
+
+    def tokens(side: str) -> Column:
+        return F.filter("ends", lambda e: e["class"] == F.col(side))[0]["tokens"]
+
+    both = met.select("a", "b", tokens("a").alias("a_tokens"), tokens("b").alias("b_tokens"))
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
+    return both.where(enough(shared, F.size("a_tokens"), F.size("b_tokens"), bound)).select("a", "b")
 
 
 def not_apart(n: Column, bits: Column, m: Column, other: Column, bound: Bound) -> Column:
@@ -313,16 +337,14 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
     freq = spark.sparkContext.broadcast(frequencies(described))  # about 2 MB
     entries = index(docs, width, bound, freq)
 
-    order = [F.desc("central"), F.col("class")]
-    bucket = Window.partitionBy("sig", "salt").orderBy(*order)
-    head = F.first("class").over(bucket)
-    other = [F.col("class") != f("class").over(bucket) for f in (F.lag, F.lead)]
-    crowded = reduce(lambda x, y: x | y, [F.coalesce(o, F.lit(False)) for o in other])
-    # a salted document alone under its salt may still share the signature under another
-    met = keep(
-        entries.select("sig", "salt", "class", "central", head.alias("head"), crowded.alias("crowded"))
-        .where("crowded OR salt > 0").distinct()
-    )
+    bucket = Window.partitionBy("sig", "salt").orderBy(F.desc("central"), "class")
+    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    entries = entries.select(
+        "sig", "salt", "class", "central", F.first("class").over(bucket).alias("head"),
+        F.coalesce(F.lag("class").over(bucket) != F.col("class"), F.lit(True)).alias("fresh"),
+        (F.min("class").over(whole) != F.max("class").over(whole)).alias("crowded"))
+    # A salted document alone under its salt may still share the signature under another.
+    met = kept_table(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded"))
     heads = met.where("salt > 0").groupBy("sig").agg(
         F.max(F.struct("central", "head")).alias("top"), F.min("class").alias("low"), F.max("class").alias("high"))
     heads = heads.where("low <> high").select("sig", F.col("top.head").alias("top"))
@@ -330,28 +352,37 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
     across = met.where("salt > 0").join(heads, "sig").select(F.col("top").alias("a"), F.col("head").alias("b")).where("a <> b")
     pairs = keep(first.union(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    names = keep(described.where("n > 0").groupBy("class").agg(F.min("key").alias("key")))
-    needed = names.join(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class")
-    wanted = spark.sparkContext.broadcast(key_filter(needed.select(F.coalesce("key", F.lit(0).cast("long")).alias("key"))))
-    sets = keep(
-        token_sets(docs, width, wanted).join(needed.select("class").distinct(), "class", "left_semi")
-        .dropDuplicates(["class"]).drop("key")
-    )
-    links = keep(verified(pairs, sets, bound))
+    classes = keep(described.where("n > 0").groupBy("class").agg(
+        F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("bits").alias("bits")))
+    links = keep(verified(close_pairs(pairs, classes, bound), classes, docs, width, bound))
     roots = keep(components(links))
 
-    placed = (
-        met.select("sig", "class").distinct().join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("root", F.coalesce("root", "class"))
-    )
-    apart = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    rest = keep(placed.join(apart, "sig").join(sets.select("class", "n", "bits"), "class"))
+    # The head of a signature without salts was held against all others already.
+    rest = met.where("class <> head OR salt > 0").select("sig", "class", "central")
+    for _ in range(MORE_HEADS):
+        again = Window.partitionBy("sig").orderBy(F.desc("central"), "class")
+        rest = kept_table(still_apart(rest, roots).withColumns({
+            "head": F.first("class").over(again), "head_root": F.first("root").over(again)}))
+        tried = rest.where("root <> head_root").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b"))
+        tried = keep(tried.distinct().join(pairs, ["a", "b"], "left_anti"))
+        links = keep(links.union(verified(close_pairs(tried, classes, bound), classes, docs, width, bound)))
+        roots, pairs = keep(components(links)), pairs.union(tried)
+        rest = rest.where("class <> head").select("sig", "class", "central")
+
+    rest = kept_table(still_apart(rest, roots).drop("central").join(small(classes.select("class", "n", "bits")), "class"))
     left, right = (rest.select("sig", *[F.col(c).alias(f"{side}_{c}") for c in ("class", "root", "n", "bits")]) for side in "ab")
     may = not_apart(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), bound)
     more = left.join(right, (left["sig"] == right["sig"]) & (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root")) & may)
     more = more.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    further = verified(keep(more), sets, bound)
-    return components(links.union(further))
+    return components(links.union(verified(more, classes, docs, width, bound)))
+
+
+def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` (sig, class, ...) with the root of their class, of the signatures that are still in several components."""
+    placed = rows.join(small(roots).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    by_sig = Window.partitionBy("sig")
+    apart = placed.withColumns({"low": F.min("root").over(by_sig), "high": F.max("root").over(by_sig)}).where("low <> high")
+    return apart.drop("low", "high")
 
 
 def join_groups(df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -364,6 +395,7 @@ def join_groups(df: DataFrame, key: str, text: str, width: int, percent: int) ->
     lend no id: a component of only such rows has a null id. Repeated rows are kept and share a component.
     An empty frame gives none. Other columns are not looked at.
     """
+    bounded_batches(df.sparkSession)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     bound = Bound(percent)
     described = keep(describe(docs, width))
