@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.frames import keep, partitions
+from tradeloom.llm.frames import bounded_batches, keep, partitions
 
 OCTAVES = 40
 FIRST = 64  # steps of the first octave; each further octave ends at twice the step of the one before
@@ -152,6 +152,7 @@ def fingerprint_documents(df: DataFrame, key: str, text: str) -> DataFrame:
     range is also sent to the range before it. Very long texts pass through one at a time.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     parts = partitions(spark)
     kind = df.schema[key].dataType
     place = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)).cast("long"))

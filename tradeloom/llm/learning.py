@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.llm.frames import bounded_batches
+
 FOLDS = 5
 
 
@@ -21,6 +23,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, targe
     Only folds 1 to 4 are taken. A key with several labels has the highest. The chosen labels are bounded by
     ``rows`` and so are broadcast; the documents are read once and do not move.
     """
+    bounded_batches(docs.sparkSession)
     known = (
         labels.where(F.col(key).isNotNull() & F.col(target).isin(0, 1) & (fold(F.col(key)) != 0))
         .groupBy(key).agg(F.max(target).cast("int").alias("label"))
@@ -40,6 +43,7 @@ def label_odds(labels: DataFrame, key: str, target: str) -> float:
 
 def score_column(text: Column, model, spark: SparkSession) -> Column:
     """``model.score`` of a column of texts, a double; the model travels once to each executor."""
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

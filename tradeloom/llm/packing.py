@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.llm.frames import bounded_batches
+
 SEPARATOR = 0
-TEXTS_TOGETHER = 1 << 21  # characters of texts encoded together, unless one is longer
+TEXTS_TOGETHER = 1 << 20  # characters of texts encoded together, unless one is longer
 FLUSH_PIECES = 20_000
-FLUSH_BYTES = 8_000_000
+FLUSH_BYTES = 4_000_000
 WORDS_TOGETHER = 200
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 100_000
 REMEMBERED_LENGTH = 48
 SPACE = "\u0120"  # a fixed value of byte-level vocabularies: how they write a space
 #: sequence_id holds the bucket, the task and the number in the task, in so many bits from the right.
@@ -127,6 +129,7 @@ def pieces(df: DataFrame, key: str, text: str, tokenizer: str, window: int = 102
     """
     if window < 1 or window & (window - 1):
         raise ValueError("the window must be a power of two")
+    bounded_batches(df.sparkSession)
     key_type = df.schema[key].dataType
     schema = T.StructType([
         T.StructField(key, key_type), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),

@@ -217,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 def score(docs: DataFrame, field: Field, text: str = "text", into: str = "score") -> DataFrame:
     """``docs`` with the quality, 0 to 1, of each whole text in ``into``.
 
-    A null or empty text is one empty line and gets that line's probability. Repeated rows are scored each; an empty frame stays
-    empty. Other columns are not looked at; one named as ``into`` is replaced.
+    A null or empty text is one empty line and gets that line's probability. Repeated rows are scored each; an empty
+    frame stays empty. Other columns are not looked at; one named as ``into`` is replaced.
     """
     return docs.withColumn(into, score_column(F.col(text), field, docs.sparkSession))

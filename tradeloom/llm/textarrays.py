@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SEGMENT = 1 << 20  # bytes of text that are hashed together
-SLICE = 1 << 22  # bytes of text whose words are held together
+SLICE = 1 << 20  # bytes of text whose words are held together
 
 _random = np.random.default_rng(20240601)
 BYTE_CODES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -131,28 +131,19 @@ def run_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mixed(runs)
 
 
-def shingles(found: Words, width: int, values: np.ndarray | None = None) -> Iterator:
+def shingles(found: Words, width: int) -> Iterator[np.ndarray]:
     """For each row the sorted hashes of its distinct runs of ``width`` words.
 
-    A row of fewer words has one, its whole sequence; a row without words has none. With ``values``, one for each
-    place of ``run_hashes``, also the value of each hash, which is 0 for a row of fewer words.
+    A row of fewer words has one, its whole sequence; a row without words has none.
     """
     h, runs = found.hashes, run_hashes(found.hashes, width)
     for a, b in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist()):
-        value = np.zeros(min(1, b - a), np.uint8)
         if b - a >= width:
-            own = runs[a:b - width + 1]
-            if values is None:
-                own = np.sort(own)
-            else:
-                order = np.argsort(own, kind="stable")
-                own, value = own[order], values[a:b - width + 1][order]
+            own = np.sort(runs[a:b - width + 1])
             first = np.ones(len(own), bool)
             first[1:] = own[1:] != own[:-1]
-            own = own[first]
-            value = value if values is None else value[first]
+            yield own[first]
         elif b > a:
-            own = mixed(np.array([(h[a:b] * _MULTIPLIERS[:b - a]).sum(dtype=np.uint64) + U64(b - a)], np.uint64))
+            yield mixed(np.array([(h[a:b] * _MULTIPLIERS[:b - a]).sum(dtype=np.uint64) + U64(b - a)], np.uint64))
         else:
-            own = np.zeros(0, np.uint64)
-        yield own if values is None else (own, value)
+            yield np.zeros(0, np.uint64)

@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 def score(docs: DataFrame, machine: Machine, text: str = "text", into: str = "score") -> DataFrame:
     """``docs`` with the probability, 0 to 1, that each whole text is toxic, in ``into``.
 
-    A null or empty text, or one without known terms, gets the score of the bias. Repeated rows are scored each; an empty frame stays
-    empty. Other columns are not looked at; one named as ``into`` is replaced.
+    A null or empty text, or one without known terms, gets the score of the bias. Repeated rows are scored each; an
+    empty frame stays empty. Other columns are not looked at; one named as ``into`` is replaced.
     """
     return docs.withColumn(into, score_column(F.col(text), machine, docs.sparkSession))
