@@ -87,3 +87,19 @@ def test_recall_of_the_query(spark, name):
         assert np.allclose(x[at] @ x[q], own["score"], rtol=0, atol=1e-12)
         hits, total = hits + len(want & set(own["vec_id"])), total + 20
     assert hits / total >= 0.9
+
+
+def test_many_blocks_meet_over_many_tasks(spark, monkeypatch):
+    """Each block of the index meets each strip of queries also where tasks are not merged."""
+    monkeypatch.setattr(neighbours, "INDEX_BLOCK", 16)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 8)
+    x = np.random.default_rng(6).normal(size=(150, 5))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        got = found(df, 3, share=1.0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {q: [r[1] for r in v] for q, v in got.items()} == {q: [r[1] for r in exact(list(range(150)), x, q, 3)] for q in range(0, 150, 5)}

@@ -141,7 +141,8 @@ def nearest(
     strips = asked.count() // QUERY_BLOCK + 1
 
     def dealt(name: str, count: int) -> Column:
-        return F.pmod(F.xxhash64(name), F.lit(count))
+        # Of the same type as the numbers of a sequence, or equal numbers would be dealt to different tasks.
+        return F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
 
     index = classes.select("name", "least", "v", F.size("v").alias("width"), dealt("name", blocks).alias("block"),
                            F.explode(F.sequence(F.lit(0), F.lit(strips - 1))).alias("strip"))
