@@ -167,3 +167,9 @@ def test_query(spark, sf):
     docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in op9_simjoin(spark, sf).collect()) == plain(docs, 4, 85)
 
+
+def test_packed_tokens():
+    pick = np.random.default_rng(2)
+    x = np.unique(pick.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
+    assert (simjoin.unpacked(simjoin.packed(x)) >> np.uint64(16) == x >> np.uint64(16)).all()
+    assert len(simjoin.unpacked(b"")) == 0

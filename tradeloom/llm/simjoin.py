@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import LongType
 
 from tradeloom.llm.components import components
 from tradeloom.llm.frames import bounded_batches, keep, kept_table, partitions, small
@@ -41,6 +42,7 @@ LEVELS = 64  # of rank up to what chance puts into a cell
 MORE_HEADS = 1  # rounds in which a signature's documents are held against one more of them
 SALTS = 16  # by which the documents of a frequent signature are spread
 MAP_WORDS = 8  # 64-bit words of a document's bit map
+TOKEN_BYTES = 6  # of a token's hash that two documents are verified by: 48 bits tell their few thousand tokens apart
 FILTER_WORDS = 1 << 18  # of the 2 MB filter of documents whose tokens are needed
 
 
@@ -241,7 +243,8 @@ def bit_map(tokens: np.ndarray) -> np.ndarray:
 def token_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
     """(key, class, tokens) of the documents that the broadcast filter ``wanted`` lets through.
 
-    A null key is 0 here. Rows that repeat within a task are left out.
+    Tokens are sorted and packed, TOKEN_BYTES of their hash each. A null key is 0 here. Rows that repeat within a task are
+    left out.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = set()
@@ -252,17 +255,39 @@ def token_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
             for i, j, found in _rows(batch):
                 rows = []
                 for key, tokens in zip(keys[i:j], shingles(found, width)):
-                    row = (key, fingerprint(tokens), tokens.view(np.int64))
+                    row = (key, fingerprint(tokens), packed(tokens))
                     if row[:2] not in done:
                         done.add(row[:2])
                         rows.append(row)
                 if rows:
                     columns = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
                         names=["key", "class", "tokens"])
 
-    return docs.mapInArrow(read, "key long, class long, tokens array<long>")
+    return docs.mapInArrow(read, "key long, class long, tokens binary")
+
+
+def packed(tokens: np.ndarray) -> bytes:
+    """The highest TOKEN_BYTES of each sorted hash, which stay sorted."""
+    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // TOKEN_BYTES, 8), np.uint8)
+    wide[:, :TOKEN_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
+    return wide.reshape(-1).view(">u8")
+
+
+@F.arrow_udf(LongType())
+def shared_tokens(one: pa.Array, other: pa.Array) -> pa.Array:
+    """How many tokens two packed sets share."""
+    counts = []
+    for a, b in zip(one, other):
+        x, y = unpacked(a.as_py()), unpacked(b.as_py())
+        at = np.searchsorted(y, x)
+        counts.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()))
+    return pa.array(counts, pa.int64())
 
 
 def _places(keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -304,24 +329,28 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, bound: Bound) -> DataFrame
 def verified(close: DataFrame, classes: DataFrame, docs: DataFrame, width: int, bound: Bound) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by their tokens.
 
-    Only the texts of classes in a pair are split into tokens again, one for each class: a filter of fixed size on the
-    keys leaves the others out, an exact join removes what it lets through too much. The tokens move once, to their
-    pair.
+    Only the texts of classes in a pair are split into tokens again: a filter of fixed size on the keys leaves the
+    others out, an exact join removes what it lets through too much. Of a pair, the class with more pairs is the hub:
+    the other's tokens move to it, and its own move once for all its pairs.
     """
     spark = docs.sparkSession
     close = keep(close)
-    key = F.coalesce("key", F.lit(0).cast("long")).alias("key")
-    ends = keep(close.select("a", "b", F.explode(F.array("a", "b")).alias("class")).join(classes.select("class", key), "class"))
-    wanted = spark.sparkContext.broadcast(key_filter(ends.select("key")))
-    sent = token_sets(docs, width, wanted).join(small(ends), ["class", "key"])
-    met = sent.groupBy("a", "b").agg(F.collect_set(F.struct("class", "tokens")).alias("ends"))  # of two classes
-
-    def tokens(side: str) -> Column:
-        return F.filter("ends", lambda e: e["class"] == F.col(side))[0]["tokens"]
-
-    both = met.select("a", "b", tokens("a").alias("a_tokens"), tokens("b").alias("b_tokens"))
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
-    return both.where(enough(shared, F.size("a_tokens"), F.size("b_tokens"), bound)).select("a", "b")
+    degree = close.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("degree"))
+    known = keep(degree.join(classes.select("class", F.coalesce("key", F.lit(0).cast("long")).alias("key")), "class"))
+    a, b = (known.select(F.col("class").alias(side), F.struct("degree", "class", "key").alias(f"{side}_end")) for side in "ab")
+    ends = close.join(a, "a").join(b, "b").select(
+        F.greatest("a_end", "b_end").alias("hub"), F.least("a_end", "b_end").alias("member"))
+    ends = keep(ends.select(F.col("hub.class").alias("hub"), F.col("hub.key").alias("hub_key"), F.col("member.class").alias("class"),
+                            F.col("member.key").alias("key")))
+    wanted = spark.sparkContext.broadcast(key_filter(known.select("key")))
+    sent = token_sets(docs, width, wanted)
+    members = sent.join(small(ends.drop("hub_key")), ["class", "key"])
+    hubs = ends.select(F.col("hub").alias("class"), F.col("hub_key").alias("key")).distinct()
+    hubs = sent.join(small(hubs), ["class", "key"]).select(F.col("class").alias("hub"), F.col("tokens").alias("hub_tokens")).dropDuplicates(["hub"])
+    both = members.join(hubs, "hub")
+    n, m = (F.floor(F.octet_length(c) / TOKEN_BYTES) for c in ("tokens", "hub_tokens"))
+    linked = both.where(enough(shared_tokens("tokens", "hub_tokens"), n, m, bound))
+    return linked.select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))
 
 
 def not_apart(n: Column, bits: Column, m: Column, other: Column, bound: Bound) -> Column:
