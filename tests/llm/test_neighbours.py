@@ -103,3 +103,39 @@ def test_many_blocks_meet_over_many_tasks(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert {q: [r[1] for r in v] for q, v in got.items()} == {q: [r[1] for r in exact(list(range(150)), x, q, 3)] for q in range(0, 150, 5)}
+
+
+def own_recall(spark, x):
+    """Recall of the 20 nearest, over the queries that get 20 answers; the number of queries that do not."""
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = found(df, 20)
+    hits = [len({r[1] for r in exact(list(range(len(x))), x, q, 20)} & {r[1] for r in got.get(q, [])}) for q in range(0, len(x), 5)]
+    return sum(hits) / (20 * len(hits)), sum(len(got.get(q, [])) < 20 for q in range(0, len(x), 5))
+
+
+@pytest.mark.parametrize("times", [3, 10, 100])
+def test_recall_where_lengths_differ(spark, times):
+    random = np.random.default_rng(times)
+    x = random.normal(size=(1200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    one, half, spread = x.copy(), x.copy(), x * times ** random.random((1200, 1))
+    one[17] *= times
+    half[::2] *= times
+    for lengths in (one, half, spread):
+        share, short = own_recall(spark, lengths)
+        assert share >= 0.9 and short == 0
+
+
+def test_answers_of_no_positive_product_are_exact(spark):
+    x = np.abs(np.random.default_rng(8).normal(size=(700, 6))) + 0.1
+    x[0] = -1
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    out = neighbours.nearest(df, "id", "v", F.col("id") == 0, k=20).collect()
+    assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"])] == [r[1] for r in exact(list(range(700)), x, 0, 20)]
+
+
+def test_no_more_candidates_than_asked_for_are_all_answers(spark):
+    x = np.random.default_rng(7).normal(size=(21, 64))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = found(df, 20)
+    assert {q: [r[1] for r in v] for q, v in got.items()} == {q: [r[1] for r in exact(list(range(21)), x, q, 20)] for q in range(0, 21, 5)}

@@ -1,9 +1,14 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Fast pseudo-rotations (random signs and a Hadamard transform, three times over) turn each unit vector, and its
-bucket in a table is the signed axis nearest to it. A query probes the buckets of its best axes in several
+Fast pseudo-rotations (random signs and a Hadamard transform, three times over) turn the direction of each vector, and
+its bucket in a table is the signed axis nearest to it. A query probes the buckets of its best axes in several
 tables; what it finds there is ranked by exact inner products.
 
+Directions say little of inner products where lengths differ, so rows are taken in bands of nearly equal length. In a
+band of many rows the largest products are at small angles and the tables find them; a band of few rows, where they
+need not be, is scanned. Queries with fewer answers than asked for, or with one of no positive product, for which small
+angles say nothing, pass over all rows of their width.
+
 Every row is in the index. The index is dealt into blocks by a hash of the vector, each with all tables of its own
 rows, so no bucket, however common, meets in one task; queries visit the blocks in blocks of their own.
 """
@@ -15,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.frames import keep
+from tradeloom.llm.frames import keep, small
 
 TABLES = 6
 PROBES = 0.2  # share of a table's buckets that a query looks into
@@ -24,6 +29,8 @@ SEED = 11
 INDEX_BLOCK = 4096
 QUERY_BLOCK = 1024
 STRIP = 128  # queries scored at once
+BANDS = 4  # bands of length in each doubling
+SCANNED = 25  # a band of fewer rows than this times k is scanned, not hashed
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -45,17 +52,11 @@ def rotations(x: np.ndarray, table: int) -> np.ndarray:
     return x
 
 
-def padded(x: np.ndarray, reach: float, candidate: bool) -> np.ndarray:
-    """Unit vectors, one axis longer and then zeros up to a power of two.
-
-    The added axis lifts every candidate to the length of the longest, ``reach``, and is zero for a query, so that
-    the largest inner product is the smallest angle.
-    """
+def padded(x: np.ndarray) -> np.ndarray:
+    """The directions of the rows: unit vectors, with zeros up to a power of two above their width."""
     n, width = x.shape
     out = np.zeros((n, 1 << width.bit_length()))
-    out[:, :width] = x
-    if candidate:
-        out[:, width] = np.sqrt(np.maximum(reach ** 2 - (x ** 2).sum(1), 0))
+    out[:, :width] = x / np.abs(x).max(1, keepdims=True)  # no square of a tiny or huge component is lost
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
@@ -78,20 +79,22 @@ def probed(x: np.ndarray, table: int, share: float) -> np.ndarray:
 
 
 def best_in_block(
-    index: np.ndarray, keys: np.ndarray, queries: np.ndarray, reach: float, k: int, tables: int, share: float,
+    index: np.ndarray, keys: np.ndarray, always: np.ndarray, queries: np.ndarray, k: int, tables: int, share: float,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query position, index position, score) of at most ``k`` best candidates of each query in a block of the index.
 
-    Ties go to the smaller of ``keys``.
+    Rows that ``always`` holds for are candidates of every query. Ties go to the smaller of ``keys``.
     """
     index, queries = index.astype(float), queries.astype(float)
-    padded_index, padded_queries = padded(index, reach, True), padded(queries, reach, False)
-    buckets = [bucket_of(padded_index, t) for t in range(tables)]
+    hashed = not always.all()
+    if hashed:
+        padded_index, padded_queries = padded(index), padded(queries)
+        buckets = [bucket_of(padded_index, t) for t in range(tables)]
     found = []
     for low in range(0, len(queries), STRIP):
         strip = slice(low, low + STRIP)
-        candidate = np.zeros((len(queries[strip]), len(index)), bool)
-        for t in range(tables):
+        candidate = np.tile(always, (len(queries[strip]), 1))
+        for t in range(tables if hashed else 0):
             candidate |= probed(padded_queries[strip], t, share)[:, buckets[t]]
         scores = np.where(candidate, queries[strip] @ index.T, -np.inf)
         if k < len(index):
@@ -113,6 +116,17 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def log_length(vector: Column) -> Column:
+    """The binary logarithm of a vector's length; the largest component is taken out first, so that no square is lost."""
+    top = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
+
+    def squares(most: Column) -> Column:
+        return F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x.cast("double") / most) * (x.cast("double") / most))
+
+    # A lambda's variable is computed once, where a column would be for every component.
+    return F.get(F.transform(F.array(top), lambda most: F.log2(most) + F.log2(squares(most)) / 2), 0)
+
+
 def nearest(
     df: DataFrame, key: str, vector: str, is_query: Column, k: int = 20, tables: int = TABLES, share: float = PROBES,
 ) -> DataFrame:
@@ -121,8 +135,9 @@ def nearest(
     Nearest is the largest inner product, in double precision; ties go to the smaller key. A query's own key is no
     answer to it. Rows with a null key, or a vector that is null, empty, zero or has null or non-finite components,
     take no part; vectors of different widths never meet. Equal vectors are one class in the index and keep their
-    ``k`` + 1 smallest keys, which is all that any answer can name, so copies cost nothing. Fewer than ``k``
-    candidates give fewer rows and an empty frame gives none. Other columns are not looked at.
+    ``k`` + 1 smallest keys, which is all that any answer can name, so copies cost nothing. A query of a width with no
+    more than ``k`` other rows gets them all, every other query ``k``. An empty frame gives none. Other columns are not
+    looked at.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
@@ -130,47 +145,60 @@ def nearest(
     classes = keep(
         rows.select("id", "v").distinct().withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= k + 1)
         .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        .select(F.monotonically_increasing_id().alias("name"), F.col("ids")[0].alias("least"), "ids", "v")
+        .select(F.monotonically_increasing_id().alias("name"), F.col("ids")[0].alias("least"), "ids", "v",
+                F.size("v").alias("width"), F.floor(log_length(F.col("v")) * BANDS + 0.5).alias("band"))
     )
     asking = keep(rows.where("asks").select("id", "v").distinct().join(classes.select("name", "v"), "v").select("id", "name", "v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("reach")).first()
+    bands = keep(classes.groupBy("width", "band").agg(F.count(F.lit(1)).alias("n")))
     asked = asking.select("name", "v").distinct()
-    reach = size["reach"] or 1.0
-    blocks = size["n"] // INDEX_BLOCK + 1
+    blocks = (bands.agg(F.sum("n").alias("n")).first()["n"] or 0) // INDEX_BLOCK + 1
     strips = asked.count() // QUERY_BLOCK + 1
+    scanned = small(bands.select("width", "band", (F.col("n") < SCANNED * k).alias("always")))
 
     def dealt(name: str, count: int) -> Column:
         # Of the same type as the numbers of a sequence, or equal numbers would be dealt to different tasks.
         return F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
 
-    index = classes.select("name", "least", "v", F.size("v").alias("width"), dealt("name", blocks).alias("block"),
-                           F.explode(F.sequence(F.lit(0), F.lit(strips - 1))).alias("strip"))
-    searching = asked.select("name", "v", F.size("v").alias("width"), dealt("name", strips).alias("strip"),
-                             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    index = classes.join(scanned, ["width", "band"]).select(
+        "name", "least", "v", "width", "always", dealt("name", blocks).alias("block"))
 
     def search(held: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if held.empty or asks.empty:
             return pd.DataFrame({"name": [], "found": [], "least": [], "score": []})
         least = held["least"].to_numpy()
         asker, found, score = best_in_block(
-            np.stack(held["v"].to_numpy()), least, np.stack(asks["v"].to_numpy()), reach, k + 1, tables, share)
+            np.stack(held["v"].to_numpy()), least, held["always"].to_numpy(bool), np.stack(asks["v"].to_numpy()), k + 1, tables, share)
         return pd.DataFrame({"name": asks["name"].to_numpy()[asker], "found": held["name"].to_numpy()[found],
                              "least": least[found], "score": score})
 
     together = ["width", "block", "strip"]
     best = Window.partitionBy("name").orderBy(F.desc("score"), "least")
-    found = (
-        index.groupBy(*together).cogroup(searching.groupBy(*together))
-        .applyInPandas(search, "name long, found long, least long, score double")
-        .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-    )
-    named = (
-        found.join(classes.select(F.col("name").alias("found"), "ids"), "found")
-        .select("name", "score", F.explode("ids").alias("vec_id"))
-        .withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "vec_id")))
-        .where(F.col("n") <= k + 1).select("name", "score", "vec_id")
-    )
+
+    def met(index: DataFrame, asked: DataFrame, strips: int) -> DataFrame:
+        """(name, score, vec_id): the best of all blocks for each asking class, as many as answers can name."""
+        index = index.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+        searching = asked.select(F.col("name").alias("name"), F.col("v").alias("v"), F.size("v").alias("width"), dealt("name", strips).alias("strip"),
+                                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        found = (
+            index.groupBy(*together).cogroup(searching.groupBy(*together))
+            .applyInPandas(search, "name long, found long, least long, score double")
+            .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+        )
+        return (
+            found.join(classes.select(F.col("name").alias("found"), "ids"), "found")
+            .select("name", "score", F.explode("ids").alias("vec_id"))
+            .withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "vec_id")))
+            .where(F.col("n") <= k + 1).select("name", "score", "vec_id")
+        )
+
+    named = keep(met(index, asked, strips))
+    enough = named.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("last")).where(
+        (F.col("n") > k) & (F.col("last") > 0))
+    left = keep(asked.join(enough, "name", "left_anti"))
+    again = left.count()
+    if again:
+        whole = met(index.withColumn("always", F.lit(True)), left, again // QUERY_BLOCK + 1)
+        named = named.join(left.select("name"), "name", "left_anti").unionByName(whole)
     answer = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         asking.select(F.col("id").alias("query_id"), "name").distinct().join(named, "name").where("vec_id <> query_id")
