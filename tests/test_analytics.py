@@ -167,6 +167,19 @@ def test_coverage_ends_with_the_day_and_knows_windows_without_ticker(spark, trad
         assert vwap.reconcile_windows(bronze, own, day).count() == n
 
 
+def test_coverage_has_every_stored_day(spark, monkeypatch, trades):
+    """A week of trades: days after the second count as well."""
+    days = trades.withColumn("event_time", F.col("event_time") + F.make_dt_interval(F.col("quantity") % 7))
+    bronze, own = bronze_enrich(days), window_flatten(vwap.vwap(days, "1 minute"))
+    lacking = own.where("window_start < timestamp'2026-06-10' OR ticker <> 'TK01'")
+    monkeypatch.setattr(registry, "_late_layers", lambda spark, sf: (bronze, lacking))
+    got = {r["day"]: tuple(r)[1:] for r in registry.QUERIES["vwap_reconcile_coverage"](spark, "").collect()}
+    assert sorted(got) == [f"2026-06-{d:02d}" for d in range(6, 14)]
+    for day, counts in got.items():
+        assert counts == tuple(vwap.vwap_reconcile_coverage(bronze, lacking, date.fromisoformat(day)).first())
+    assert sum(c[1] for c in got.values()) > 0
+
+
 def test_summary_leaves_rows_without_ticker_out(spark):
     g = gold(spark, ("f", "a", "X", 11.0, 10.0, 0.1), ("f", None, "X", 13.0, 10.0, 0.3), ("f", "c", None, 1.0, 1.0, 0.2))
     r = alerts.alert_summary(g, "file").collect()

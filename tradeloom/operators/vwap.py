@@ -140,6 +140,25 @@ def vwap_reconcile_coverage(bronze: DataFrame, silver: DataFrame, day: date) ->
     )
 
 
+def vwap_reconcile_coverage_by_day(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """``vwap_reconcile_coverage`` of every day that either side has, one pass over both for all of them."""
+    minutes = bronze.where(F.col("event_time").isNotNull()).groupBy("ticker", F.date_trunc("minute", "event_time").alias("minute")).agg(
+        F.count("*").alias("batch_trades"))
+    stream = silver.select(F.col("ticker").alias("stream_ticker"), F.col("window_start").alias("stream_minute"),
+                           F.col("trade_count").alias("stream_trades"))
+    same = F.col("ticker").eqNullSafe(F.col("stream_ticker")) & (F.col("minute") == F.col("stream_minute"))
+    has_batch, has_stream = F.col("batch_trades").isNotNull(), F.col("stream_trades").isNotNull()
+    return (
+        minutes.join(stream, same, "full_outer")
+        .groupBy(F.to_date(F.coalesce("minute", "stream_minute")).cast("string").alias("day"))
+        .agg(
+            F.count_if(has_batch & has_stream).alias("matched"),
+            F.count_if(has_batch & ~has_stream).alias("batch_only"),
+            F.count_if(has_stream & ~has_batch).alias("stream_only"),
+        )
+    )
+
+
 def window_divergence(silver_1min: DataFrame, silver_5min: DataFrame) -> DataFrame:
     """Every 1-minute window against the 5-minute window it lies in.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -660,10 +660,8 @@ def _(spark, sf):
 
 @query("vwap_reconcile_coverage")
 def _(spark, sf):
-    """Both stored days; of the second, silver lacks the windows still open."""
-    layers = _late_layers(spark, sf)
-    days = [vwap.vwap_reconcile_coverage(*layers, day).select(F.lit(str(day)).alias("day"), "*") for day in (DAY, DAY + timedelta(days=1))]
-    return reduce(DataFrame.unionByName, days)
+    """Every stored day; of the last, silver lacks the windows still open."""
+    return vwap.vwap_reconcile_coverage_by_day(*_late_layers(spark, sf))
 
 
 @query("vwap_1m_vs_5m")
