@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tradeloom.llm import editprint
-from tradeloom.llm.queries import op10_editprint
+from tradeloom.llm.queries import op10_editprint, op10_nearprints
 
 
 def plain_walk(text):
@@ -97,3 +97,57 @@ def test_query(spark, sf):
     assert np.allclose([g[5:] for g in got], [p[5:] for p in plain(docs)])
     near, following = np.array([g[5] for g in got if g[1] > 400]), np.array([g[6] for g in got if g[1] > 400])
     assert abs(np.median(near) - 0.75) < 0.1 and np.median(following) < 0.15
+
+
+def varied(base):
+    """A print with one digit of every band of its last two octaves changed, except the last band."""
+    return "".join("123456789abcdef0"[int(c, 16)] if 64 <= i < 124 and i % 4 == 0 else c for i, c in enumerate(base))
+
+
+def grouped(pairs, keys):
+    root = {k: k for k in keys}
+
+    def up(k):
+        return k if root[k] == k else up(root[k])
+
+    for a, b in pairs:
+        a, b = sorted((up(a), up(b)))
+        root[b] = a
+    return {k: up(k) for k in keys}
+
+
+def all_pairs(prints):
+    """Pairs that share a band of the last two octaves and are alike, each against each."""
+    digits, out = editprint.DIGITS, []
+
+    def bands(p):
+        top = max(len(p) // digits - 1, 0)
+        return {(o, i, p[o * digits + i:][:4]) for o in {max(top - 1, 0), top} for i in range(0, digits, 4)}
+
+    own = [bands(p) for p in prints]
+    for i in range(len(prints)):
+        for j in range(i):
+            if own[i] & own[j] and editprint.likeness([prints[i]], [prints[j]])[0] >= 0.8:
+                out.append((i, j))
+    return out
+
+
+def test_near_pairs_behind_unrelated_heads(spark, monkeypatch):
+    """All prints share a band, its first members are like nothing else."""
+    monkeypatch.setattr(editprint, "BLOCK", 16)
+    random = np.random.default_rng(5)
+    bases = ["".join(random.choice(list("0123456789abcdef"), 124)) + "aaaa" for _ in range(40)]
+    prints = [*bases, *map(varied, bases[10:])]
+    df = spark.createDataFrame(list(enumerate(prints)), "id long, print string")
+    want = grouped(all_pairs(prints), range(len(prints)))
+    got = editprint.near_pairs(df, "id", "print").collect()
+    assert all(r["likeness"] == editprint.likeness([prints[r["key"]]], [prints[r["near"]]])[0] >= 0.8 and r["key"] > r["near"] for r in got)
+    assert grouped([(r["key"], r["near"]) for r in got], range(len(prints))) == want and len(set(want.values())) == 40
+
+
+def test_groups_of_all_documents(spark, small_sf):
+    got = {r["doc_id"]: r["component_id"] for r in op10_nearprints(spark, small_sf).collect()}
+    docs = sorted(tuple(r) for r in spark.read.parquet(f"{small_sf}/documents.parquet").select("doc_id", "text").collect())
+    ids = [i for i, _ in docs]
+    pairs = all_pairs(editprint.fingerprints([t or "" for _, t in docs]))
+    assert got == grouped([(ids[a], ids[b]) for a, b in pairs], ids)

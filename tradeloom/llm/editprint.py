@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.llm.components import components
 from tradeloom.llm.frames import bounded_batches, keep, partitions
 
 OCTAVES = 40
@@ -32,6 +33,7 @@ BUFFER = 12_000_000  # characters of documents fingerprinted together, unless th
 BUFFER_ROWS = 4000
 CHECK_EVERY = 128
 CHUNKS_PER_PARTITION = 4
+BLOCK = 256  # members of a bucket held against as many others at once
 
 _random = np.random.default_rng(20240602)
 #: By step and character code: whether the walk moves on. Code 0 stands for the end, where it stays.
@@ -205,27 +207,132 @@ def fingerprint_documents(df: DataFrame, key: str, text: str) -> DataFrame:
     return dealt.mapInArrow(read, schema)
 
 
+def _matrix(prints: list[str], end: int, octaves: int) -> np.ndarray:
+    """The digits of prints as rows, ``end`` past their ends."""
+    out = np.full((len(prints), octaves * DIGITS), end, np.uint8)
+    for row, digits in zip(out, prints):
+        row[:len(digits)] = np.frombuffer(digits.encode(), np.uint8)
+    return out
+
+
+def likenesses(some: list[str], others: list[str]) -> np.ndarray:
+    """``likeness`` of each of some prints, none empty, to each of others."""
+    octaves = -(-max(map(len, [*some, *others])) // DIGITS)
+    x, y = _matrix(some, 1, octaves), _matrix(others, 2, octaves)
+    same, live = np.zeros((2, len(some), len(others)))
+    for o in range(octaves):
+        part = slice(o * DIGITS, (o + 1) * DIGITS)
+        same += LENGTHS[o] * (x[:, None, part] == y[None, :, part]).sum(2)
+        live += LENGTHS[o] * np.maximum((x[:, part] != 1).sum(1)[:, None], (y[:, part] != 2).sum(1)[None])
+    return np.clip((same / live - 1 / 16) / (15 / 16), 0, 1)
+
+
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with the smallest class that ``links`` connect each to, itself if none."""
+    roots = components(links.select(F.col("name").alias("a"), F.col("near").alias("b"))).withColumnRenamed("node", "name")
+    return members.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+
+
+def _rest(members: DataFrame, classes: DataFrame, at_least: float) -> DataFrame:
+    """(name, near, likeness): links between members of a bucket that are not connected, from (name, bucket, root).
+
+    The members outside a bucket's most frequent component are held against all, in blocks of bounded size.
+    """
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("main"))
+    sizes = sizes.where(F.col("main.n") < F.col("all")).select(
+        "bucket", F.col("main.root").alias("main"), F.floor(F.col("all") / BLOCK).cast("int").alias("far"),
+        F.floor((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("near_by"))
+    rows = keep(members.join(sizes, "bucket").join(classes.select("name", "print"), "name"))
+
+    def dealt(highest: str, own: str, other: str, to: str) -> list:
+        return [F.pmod(F.xxhash64("name"), F.col(highest) + 1).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other))).alias(to)]
+
+    outside = rows.where("root <> main").select("bucket", "name", "root", "print", *dealt("near_by", "p", "far", "q"))
+    whole = rows.select(F.col("bucket").alias("bucket"), F.col("name").alias("name"), F.col("root").alias("root"),
+                        F.col("print").alias("print"), *dealt("far", "q", "near_by", "p"))
+
+    def verify(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        names, near, like = [], [], []
+        for low in range(0, min(len(one), len(other) and len(one)), 64):
+            part = one.iloc[low:low + 64]
+            score = likenesses(list(part["print"]), list(other["print"]))
+            a, b = part["name"].to_numpy(), other["name"].to_numpy()
+            hit = (score >= at_least) & (part["root"].to_numpy()[:, None] != other["root"].to_numpy()[None])
+            i, j = np.nonzero(hit)
+            names += np.maximum(a[i], b[j]).tolist()
+            near += np.minimum(a[i], b[j]).tolist()
+            like += score[i, j].tolist()
+        return pd.DataFrame({"name": names, "near": near, "likeness": like})
+
+    cells = ["bucket", "p", "q"]
+    return outside.groupBy(*cells).cogroup(whole.groupBy(*cells)).applyInPandas(
+        verify, "name long, near long, likeness double").distinct()
+
+
 def near_pairs(prints: DataFrame, key: str, fingerprint: str, at_least: float = 0.8, width: int = 4) -> DataFrame:
     """(key, near, likeness): documents and a document of smaller key that their fingerprint is like.
 
-    ``width`` digits next to each other, from the last two octaves that a fingerprint fills, are a band. In each
-    band's bucket all documents are held against the one of smallest key, so a bucket of any size gives a pair for
-    each member; pairs found in several bands are verified once. Rows with a null or empty fingerprint or a null key
-    have no pair. A document may be like several others and then has several rows.
+    ``width`` digits next to each other, from the last two octaves that a fingerprint fills, are a band. The rows
+    connect any two documents that are ``at_least`` alike and share a bucket of a band, though not each to each:
+    equal fingerprints are one class and give a row to the smallest key, the members of a bucket are held against one
+    of them, then against one that the first has left apart, and all that are still unconnected against each other.
+    Rows with a null or empty fingerprint or a null key have no pair. A document may be like several others and then
+    has several rows.
     """
     rows = keep(prints.select(F.col(key).alias("key"), F.col(fingerprint).alias("print")).where("key IS NOT NULL AND print <> ''").distinct())
+    classes = keep(rows.groupBy("print").agg(F.min("key").alias("least")).select(F.monotonically_increasing_id().alias("name"), "least", "print"))
     top = F.floor(F.length("print") / DIGITS) - 1
-    bands = rows.select("key", F.explode(F.sequence(F.greatest(top - 1, F.lit(0)), F.greatest(top, F.lit(0)))).alias("octave"), "print").select(
-        "key", "octave", F.posexplode(F.transform(
+    bands = classes.select("name", F.explode(F.sequence(F.greatest(top - 1, F.lit(0)), F.greatest(top, F.lit(0)))).alias("octave"), "print").select(
+        "name", "octave", F.posexplode(F.transform(
             F.sequence(F.lit(0), F.lit(DIGITS // width - 1)),
             lambda i: F.substr("print", (F.col("octave") * DIGITS + i * width + 1).cast("int"), F.lit(width)))).alias("band", "digits"))
-    bands = bands.where(F.length("digits") == width)
-    heads = bands.groupBy("octave", "band", "digits").agg(F.min("key").alias("near"))
-    pairs = bands.join(heads, ["octave", "band", "digits"]).where("key <> near").select("key", "near").distinct()
-    both = pairs.join(rows, "key").join(rows.select(F.col("key").alias("near"), F.col("print").alias("near_print")), "near")
+    members = bands.where(F.length("digits") == width).select("name", F.concat_ws(":", "octave", "band", "digits").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    members = keep(members.join(shared, "bucket"))
 
     @F.pandas_udf("double")
     def alike(one: pd.Series, other: pd.Series) -> pd.Series:
         return pd.Series(likeness(list(one), list(other)))
 
-    return both.select("key", "near", alike("print", "near_print").alias("likeness")).where(F.col("likeness") >= at_least)
+    def held(pairs: DataFrame) -> DataFrame:
+        one = classes.select(F.col("name").alias("name"), F.col("print").alias("print"))
+        other = classes.select(F.col("name").alias("near"), F.col("print").alias("near_print"))
+        both = pairs.join(one, "name").join(other, "near")
+        return both.select("name", "near", alike("print", "near_print").alias("likeness")).where(F.col("likeness") >= at_least)
+
+    def pairs_of(members: DataFrame, heads: DataFrame) -> DataFrame:
+        """Members and heads of their buckets that are not connected, the smaller class second."""
+        both = members.join(heads, "bucket").where("root <> head_root")
+        return both.select(F.greatest("name", "head").alias("name"), F.least("name", "head").alias("near")).distinct()
+
+    def heads_of(members: DataFrame) -> DataFrame:
+        return members.groupBy("bucket").agg(F.min(F.struct("name", "root")).alias("least")).select(
+            "bucket", F.col("least.name").alias("head"), F.col("least.root").alias("head_root"))
+
+    rooted = members.withColumn("root", F.col("name"))
+    links = keep(held(pairs_of(rooted, heads_of(rooted))))
+    rooted = keep(_labelled(members, links))
+    first = heads_of(rooted).withColumnRenamed("head_root", "first_root").select("bucket", "first_root")
+    apart = rooted.join(first, "bucket").where("root <> first_root").select("bucket", "name", "root")
+    links = keep(links.unionByName(held(pairs_of(rooted, heads_of(apart)))))
+    rooted = keep(_labelled(members, links))
+    links = links.unionByName(_rest(rooted, classes, at_least)).dropDuplicates(["name", "near"])
+    least = classes.select("name", "least")
+    named = (
+        links.join(least.select("name", F.col("least").alias("one")), "name")
+        .join(least.select(F.col("name").alias("near"), F.col("least").alias("other")), "near").where("one <> other")
+        .select(F.greatest("one", "other").alias("key"), F.least("one", "other").alias("near"), "likeness")
+    )
+    copies = rows.join(classes.select("print", "least"), "print").where("key <> least").select(
+        "key", F.col("least").alias("near"), F.lit(1.0).alias("likeness"))
+    return named.unionByName(copies).groupBy("key", "near").agg(F.max("likeness").alias("likeness"))
+
+
+def near_groups(prints: DataFrame, key: str, fingerprint: str, at_least: float = 0.8) -> DataFrame:
+    """(key, component_id) of every row: the smallest key that ``near_pairs`` connect it to, itself if none."""
+    pairs = near_pairs(prints, key, fingerprint, at_least).select(F.col("key").alias("a"), F.col("near").alias("b"))
+    roots = components(pairs)
+    rows = prints.select(F.col(key).alias(key))
+    joined = rows.join(roots, F.col(key) == F.col("node"), "left")
+    return joined.select(key, F.coalesce("root", key).alias("component_id"))

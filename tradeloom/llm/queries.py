@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, toxicity, urlfilter
-from tradeloom.llm.frames import table, text_bytes
+from tradeloom.llm.frames import kept_table, table, text_bytes
 from tradeloom.llm.learning import fold
 from tradeloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -98,6 +98,13 @@ def op10_editprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def op10_nearprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document under links of near fingerprints."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    prints = kept_table(editprint.fingerprint_documents(docs, "doc_id", "text").select("doc_id", "fingerprint"))
+    return editprint.near_groups(prints, "doc_id", "fingerprint")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -110,3 +117,6 @@ QUERIES = {
     "op9_simjoin": op9_simjoin,
     "op10_editprint": op10_editprint,
 }
+
+#: Further queries of an operator.
+MORE_QUERIES = {"op10_nearprints": op10_nearprints}
