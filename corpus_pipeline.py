@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.config import shared_dir
 from tradeloom.llm import mixing, packing, pii, quality, simjoin
-from tradeloom.llm.frames import table
+from tradeloom.llm.frames import kept_table, table
 from tradeloom.llm.queries import MOST_PASSES, QUALITY_KEPT, TOKENIZER
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,14 +26,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies: five-word shingles, 0.8 or more.
+    """One row, that of the smallest id, of each group of near copies: five-word shingles, 0.8 or more.
 
-    Rows with a null id stay, rows that repeat an id are one document.
+    Rows have numbers of their own in the join, so rows that share an id but not the text, and rows without an id, are
+    documents like others; an id comes before none. Rows alike in id and text are one document.
     """
-    groups = simjoin.join_groups(docs.select("doc_id", "text"), "doc_id", "text", width=5, percent=80)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return named.union(docs.where("doc_id IS NULL").select(*COLUMNS))
+    rows = kept_table(docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS))
+    groups = simjoin.join_groups(rows.select("row", "text"), "row", "text", width=5, percent=80)
+    places = rows.select("row", "doc_id", F.sha2("text", 256).alias("content"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "row")
+    first = groups.join(places, "row").groupBy("component_id").agg(F.min(place).alias("first")).select("first.*")
+    stay = first.groupBy("doc_id", "content", F.when(F.col("none"), F.col("row")).alias("own")).agg(F.min("row").alias("row"))
+    return rows.join(stay.select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,6 +89,15 @@ def test_odd_documents(spark, sf):
                 assert out.columns == corpus_pipeline.COLUMNS
 
 
+def test_near_copies_of_rows_that_share_an_id_or_have_none(spark, sf):
+    one, other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in "xyz")
+    rows = [(1, one), (5, one + " more"), (5, other), (None, third), (None, third + " more"), (None, "alone " + other[:20]), (7, "again"), (7, "again")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SCHEMA)
+    got = Counter((r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, sf).collect())
+    assert got.pop((None, third), 0) + got.pop((None, third + " more"), 0) == 1
+    assert got == Counter([(1, one), (5, other), (None, "alone " + other[:20]), (7, "again")])
+
+
 def test_every_operator_is_registered():
     assert [n for n in QUERIES] == sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and len(QUERIES) == 10
     assert set(ORACLE) <= set(QUERIES) and 4 <= len(corpus_pipeline.STAGES) <= 5
