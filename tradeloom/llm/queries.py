@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, toxicity, urlfilter
+from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, superkmers, toxicity, urlfilter
 from tradeloom.llm.frames import kept_table, table, text_bytes
 from tradeloom.llm.learning import fold
 from tradeloom.llm.oracle import ORACLE  # noqa: F401
@@ -105,6 +105,12 @@ def op10_nearprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.near_groups(prints, "doc_id", "fingerprint")
 
 
+def op11_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word windows that also start in a document of smaller id."""
+    left = superkmers.drop_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -116,6 +122,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_simjoin": op9_simjoin,
     "op10_editprint": op10_editprint,
+    "op11_superkmers": op11_superkmers,
 }
 
 #: Further queries of an operator.

@@ -36,6 +36,7 @@ def byte_table(members: bytes) -> np.ndarray:
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+SAME = np.arange(256, dtype=np.uint8)
 
 #: Characters of words as split by white space: all but space and the controls 9 to 13.
 NOT_SPACE = ~byte_table(bytes([32, 9, 10, 11, 12, 13]))
@@ -77,20 +78,22 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
 
 @dataclass
 class Words:
-    """Words of some rows: a hash each, and for each row the range of its words."""
+    """Words of some rows: a hash each, where they lie, and for each row the range of its words."""
 
     hashes: np.ndarray
     bounds: np.ndarray  # row i has the words bounds[i] to bounds[i + 1]
+    starts: np.ndarray
+    ends: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_SPACE) -> Words:
-    """The words of each row: longest runs of ``member`` bytes, A to Z in lower case.
+def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_SPACE, letters: np.ndarray = LOWER) -> Words:
+    """The words of each row: longest runs of ``member`` bytes, as ``letters`` shows them (A to Z in lower case).
 
     Equal words have equal hashes; different ones differ but for chance (64 bits).
     """
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets] = True
-    hashes, starts_all = [], []
+    hashes, starts_all, ends_all = [], [], []
     low = 0
     while low < len(data):
         high = min(low + SEGMENT, len(data))
@@ -100,7 +103,7 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_SPACE)
                 high += int(np.argmax(ahead))
                 break
             high = min(high + 4096, len(data))
-        part = LOWER[data[low:high]]
+        part = letters[data[low:high]]
         inside = member[part]
         first = begins[low:high]
         start = inside.copy()
@@ -113,10 +116,11 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_SPACE)
         np.cumsum(BYTE_CODES[part] * _power("up", BASE, n), out=sums[1:])
         hashes.append(mixed((sums[ends] - sums[starts]) * _power("down", INVERSE, n)[starts] + (ends - starts).astype(np.uint64)))
         starts_all.append(starts + low)
+        ends_all.append(ends + low)
         low = high
     flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    where = np.concatenate(starts_all) if starts_all else np.zeros(0, np.int64)
-    return Words(flat, np.searchsorted(where, offsets))
+    where, until = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts_all, ends_all))
+    return Words(flat, np.searchsorted(where, offsets), where, until)
 
 
 _MULTIPLIERS = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
