@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, superkmers, toxicity, urlfilter
+from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, superkmers, tokenalign, toxicity, urlfilter
 from tradeloom.llm.frames import kept_table, table, text_bytes
 from tradeloom.llm.learning import fold
 from tradeloom.llm.oracle import ORACLE  # noqa: F401
@@ -16,6 +16,7 @@ QUALITY_KEPT = 0.3
 TOXIC_FROM = 0.5
 MOST_PASSES = 2.0
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
@@ -111,6 +112,12 @@ def op11_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_tokenalign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokenalign.align_corpus(docs, "doc_id", "text", public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -123,6 +130,7 @@ QUERIES = {
     "op9_simjoin": op9_simjoin,
     "op10_editprint": op10_editprint,
     "op11_superkmers": op11_superkmers,
+    "op13_tokenalign": op13_tokenalign,
 }
 
 #: Further queries of an operator.
