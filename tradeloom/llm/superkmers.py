@@ -41,6 +41,7 @@ CELLS = 64  # of a bucket
 HOT = 8  # times the mean cell
 HOT_LEAST = 4096  # super-k-mers that a cell may always hold
 HOT_CELLS = 1_000_000  # at most, 8 MB: the others then hold less than a millionth of all
+HELD_CELLS = 200_000  # of a task, before they are sent on
 FLUSH_BYTES = 4 << 20  # of text packed together
 CODEC = pa.Codec("zstd", 1)
 
@@ -179,13 +180,19 @@ def _opened(payload: bytes) -> tuple[np.ndarray, ...]:
 def count_cells(docs: DataFrame, cells: int, window: int) -> DataFrame:
     """(cell, n): super-k-mers of each cell, those that repeat within a run of texts once."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             data, offsets = column_bytes(batch.column("text"))
             for i, j in slices(offsets):
                 pieces = super_kmers(words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], letters=SAME), window)
                 _, first = np.unique(pieces.hashes, return_index=True)
-                cell, n = np.unique((pieces.minimiser[first] % U64(cells)).astype(np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], names=["cell", "n"])
+                cell = (pieces.minimiser[first] % U64(cells)).astype(np.int64)
+                held, at = np.unique(np.concatenate([held, cell]), return_inverse=True)
+                sums = np.bincount(at, np.concatenate([sums, np.ones(len(cell), np.int64)]), len(held)).astype(np.int64)
+            if len(held) >= HELD_CELLS:
+                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(sums)], names=["cell", "n"])
+                held, sums = held[:0], sums[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(sums)], names=["cell", "n"])
 
     return docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
