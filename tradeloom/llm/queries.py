@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, shards, simjoin, superkmers, tokenalign, toxicity, urlfilter
+from tradeloom.llm import editprint, mixing, neighbours, packing, pii, quality, repair, shards, simjoin, superkmers, tokenalign, toxicity, urlfilter
 from tradeloom.llm.frames import kept_table, table, text_bytes
 from tradeloom.llm.learning import fold
 from tradeloom.llm.oracle import ORACLE  # noqa: F401
@@ -112,6 +112,12 @@ def op11_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a hash of its rows, with its faults, its cheapest edits and the repaired text's hash."""
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair_conversations(rows, "conv_id", "turn", "role", "text")
+
+
 def op13_tokenalign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two tokenizers align in every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_simjoin": op9_simjoin,
     "op10_editprint": op10_editprint,
     "op11_superkmers": op11_superkmers,
+    "op12_repair": op12_repair,
     "op13_tokenalign": op13_tokenalign,
 }
 
