@@ -1,0 +1,103 @@
+"""Alerts are there whole or not at all, whatever fails between their write and their commit."""
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from helpers import deliver, rows, trade
+from tradeloom.operators.anomaly import batch_rates
+from tradeloom.sources import commits
+from tradeloom.sources.feed import resolve_payload, stream_source
+from tradeloom.sources.tables import alert_file_scan, read_table
+from tradeloom.streaming import sinks
+
+GOLD = "gold_anomaly_alerts"
+
+
+def feed(spark, folder):
+    return resolve_payload(stream_source(spark, "text", {"path": str(folder), "maxFilesPerTrigger": "1"}))
+
+
+def alerts(spark, path):
+    return rows(read_table(spark, str(path), GOLD), "batch_id", "trade_id")
+
+
+def run(spark, tmp_path):
+    sinks.gold_sink(feed(spark, tmp_path / "feed"), str(tmp_path / "g"), str(tmp_path / "c"), trigger=None).awaitTermination()
+
+
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["move_staged", "commit"])
+@pytest.mark.parametrize("done", [False, True])
+def test_a_failure_shows_no_alert_and_a_retry_each_one_once(spark, tmp_path, monkeypatch, step, done):
+    """The writer is lost before or after it moves its files, or before or after it commits them."""
+    deliver(tmp_path / "feed", 0, [trade(1, price=100.0), trade(2, price=110.0)])
+    run(spark, tmp_path)
+    first = [(0, "t1"), (0, "t2")]
+    assert alerts(spark, tmp_path / "g") == first
+    deliver(tmp_path / "feed", 1, [trade(3, price=100.0), trade(4, price=120.0), trade(5, price=110.0)])
+    real = getattr(commits, step)
+
+    def fails(*args):
+        if done:
+            real(*args)
+        raise Lost
+
+    monkeypatch.setattr(commits, step, fails)
+    with pytest.raises(StreamingQueryException):
+        run(spark, tmp_path)
+    second = [(1, "t3"), (1, "t4")]
+    assert alerts(spark, tmp_path / "g") == (first + second if (step, done) == ("commit", True) else first)
+    monkeypatch.setattr(commits, step, real)
+    run(spark, tmp_path)
+    assert alerts(spark, tmp_path / "g") == first + second
+    assert rows(alert_file_scan(spark, str(tmp_path / "g")), "batch_id", "trade_id") == first + second
+    # What the lost attempt had moved is gone, so readers that know no commits agree.
+    assert spark.read.parquet(str(tmp_path / "g")).count() == 4
+
+
+def test_a_reader_in_the_middle_keeps_the_old_batch(spark, tmp_path):
+    """While a batch is written again, its former commit counts until the new one replaces it."""
+    path = str(tmp_path / "g")
+    schema = "trade_id string, ticker string, price double, quantity int, side string, source string, event_time timestamp"
+    batch = spark.createDataFrame([("a", "X", 100.0, 1, "buy", "s", None), ("b", "X", 110.0, 1, "buy", "s", None)], schema)
+    sinks.foreach_batch_anomaly(path)(batch, 7)
+    staged = commits.staging_folder(path, 7)
+    read_table(spark, path, GOLD).drop("batch_id").write.partitionBy("alert_day").parquet(staged)
+    assert alerts(spark, path) == [(7, "a"), (7, "b")]
+    files = commits.move_staged(spark, staged, path, 7)
+    assert alerts(spark, path) == [(7, "a"), (7, "b")]
+    commits.commit(spark, path, 7, files, 2, 2)
+    assert alerts(spark, path) == [(7, "a"), (7, "b")]
+
+
+def test_commits_fold_into_one_file(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "g")
+    monkeypatch.setattr(commits, "FOLD_EVERY", 4)
+    for n in range(10):
+        commits.commit(spark, path, n, [f"part-{n}"], 10 + n, n)
+    commits.commit(spark, path, 2, ["part-again"], 12, 1)
+    assert len(list((tmp_path / "g" / "_commits").glob("*.json"))) == 4
+    found = {r["batch_id"]: r for r in commits.commits(spark, path).collect()}
+    assert sorted(found) == list(range(10))
+    assert (found[2]["files"], found[2]["flagged"]) == (["part-again"], 1)
+    commits.fold(spark, path)
+    assert {r["batch_id"]: r for r in commits.commits(spark, path).collect()} == found
+    assert len(list((tmp_path / "g" / "_commits").glob("*.json"))) == 1
+
+
+def test_rates_count_every_trade_of_a_batch(spark, tmp_path):
+    """Trades without a ticker count; a batch without alerts has a rate of nought, one without trades none at all."""
+    deliver(tmp_path / "feed", 0, [trade(1, price=100.0), trade(2, price=110.0), trade(3, ticker=None)])
+    deliver(tmp_path / "feed", 1, [trade(4), trade(5)])
+    deliver(tmp_path / "feed", 2, [])
+    deliver(tmp_path / "feed", 3, [trade(6, price=100.0), trade(7, price=102.0), trade(8, price=101.0)])
+    run(spark, tmp_path)
+    rates = batch_rates(commits.commits(spark, str(tmp_path / "g")))
+    wanted = [(0, 3, 2), (1, 2, 0), (3, 3, 0)]
+    got = [r for r in rows(rates, "batch_id", "trades", "flagged") if r[1]]
+    assert [r for r in got if r[0] != 2] == wanted
+    assert rates.agg(F.sum("flagged")).first()[0] == read_table(spark, str(tmp_path / "g"), GOLD).count()

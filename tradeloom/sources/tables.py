@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tradeloom.config import Config
 from tradeloom.schema import COMPACTED_PARTITIONS, TABLES
+from tradeloom.sources.commits import file_system, only_committed
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A stored table with its declared schema; partition values are not left to inference, so a ticker
-    of digits stays text."""
-    return spark.read.schema(TABLES[table][0]).parquet(path)
+    of digits stays text. Of a table that keeps commits, the files that are committed."""
+    return only_committed(spark, path, spark.read.schema(TABLES[table][0]).parquet(path))
 
 
 def partition_pruned_scan(
@@ -24,16 +25,14 @@ def partition_pruned_scan(
 
 
 def alert_file_scan(spark: SparkSession, path: str, table: str = "gold_anomaly_alerts") -> DataFrame:
-    """All stored alerts with the file they are in. Folder markers and empty files hold no rows."""
-    return (
-        read_table(spark, path, table)
-        .where(F.col("_metadata.file_size") > 0)
-        .withColumn("file", F.col("_metadata.file_path"))
-    )
+    """All committed alerts with the file they are in. Folder markers and empty files hold no rows."""
+    stored = spark.read.schema(TABLES[table][0]).parquet(path).where(F.col("_metadata.file_size") > 0)
+    named = stored.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata"))
+    return only_committed(spark, path, named).drop("_metadata")
 
 
 def alert_file_stream(spark: SparkSession, path: str, table: str = "gold_anomaly_alerts") -> DataFrame:
-    """The same for files as they arrive."""
+    """The same for files as they arrive, each of them whole; it may come a moment before its commit."""
     stream = spark.readStream.schema(TABLES[table][0]).parquet(path)
     return stream.where(F.col("_metadata.file_size") > 0).withColumn("file", F.col("_metadata.file_path"))
 
@@ -73,29 +72,17 @@ def _declare(spark: SparkSession, name: str, table: str, partitions: list[str],
     spark.catalog.refreshTable(name)
 
 
-def remove_folders(spark: SparkSession, pattern: str) -> None:
-    """Remove the folders that a pattern names, on whatever file system they are."""
-    fs, folder = _file_system(spark, pattern)
-    for found in fs.globStatus(folder) or []:
-        fs.delete(found.getPath(), True)
-
-
 def _location(spark: SparkSession, name: str) -> str:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
 
 
-def _file_system(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
 def _qualified(spark: SparkSession, path: str) -> str:
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     return fs.makeQualified(folder).toString()
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     return fs.exists(folder)
 
 

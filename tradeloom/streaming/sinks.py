@@ -5,19 +5,19 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tradeloom.config import Config
 from tradeloom.operators.alerts import alert_digest
-from tradeloom.operators.anomaly import anomaly_self_join
+from tradeloom.operators.anomaly import anomaly_by_bucket_stream, flag_batch
 from tradeloom.operators.stats import batch_profile, batch_sample
 from tradeloom.operators.projections import bronze_enrich, gold_project, window_flatten
 from tradeloom.operators.vwap import vwap
 from tradeloom.schema import BRONZE_PARTITIONS, SILVER
-from tradeloom.sources.tables import remove_folders
+from tradeloom.sources import commits
 
 WRITTEN = "written"
 
@@ -84,22 +84,28 @@ def silver_sink(
 def foreach_batch_anomaly(path: str, threshold: float = 0.01) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch's alerts to folders of its own, by day of the trade and ``batch_id``.
 
-    A batch that is run again after a failure, with whatever threshold, replaces its folders, so its alerts appear
-    once. The batch is read twice, for the averages and for the trades, rather than cached: a replay may make it as
-    large as the feed. The averages are kept for the join and released after the write; a batch without alerts writes
-    no file.
+    The files are staged, moved to their place and then committed by name (``sources/commits.py``), with the numbers of
+    trades and of alerts, so readers see a batch whole or not at all, whenever the writer fails. A batch that is run
+    again, with whatever threshold, replaces its commit; files of other attempts are removed afterwards. The batch is read
+    twice, for the averages and for the trades, rather than cached: a replay may make it as large as the feed. The
+    averages are kept for the join and released after the write; a batch without alerts leaves its commit and no file,
+    one without trades nothing at all.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        spark = batch.sparkSession
         held: list[DataFrame] = []
         try:
-            alerts = anomaly_self_join(batch, threshold, held=held)
-            dated = alerts.withColumns({"alert_day": F.to_date("event_time"), "batch_id": F.lit(batch_id).cast("long")})
-            remove_folders(batch.sparkSession, f"{path}/alert_day=*/batch_id={batch_id}")
+            alerts, trades = flag_batch(batch, held, threshold)
+            if not trades:
+                return
+            staged, found = commits.staging_folder(path, batch_id), Observation()
+            dated = alerts.withColumn("alert_day", F.to_date("event_time")).observe(found, F.count("*").alias("flagged"))
             # Alerts are few: gather them, rather than leave one file per task of the join.
-            dated.hint("rebalance").write.mode("append").partitionBy("alert_day", "batch_id").parquet(path)
+            dated.hint("rebalance").write.partitionBy("alert_day").parquet(staged)
+            files = commits.move_staged(spark, staged, path, batch_id)
+            commits.commit(spark, path, batch_id, files, trades, found.get["flagged"])
+            commits.remove_uncommitted(spark, path, batch_id, files)
         finally:
             for stats in held:
                 stats.unpersist()
@@ -122,6 +128,15 @@ def gold_sink(
     return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(trigger)).start()
 
 
+def bucket_alerts_sink(
+    wire: DataFrame, path: str, checkpoint: str, bucket: str = "30 seconds", threshold: float = 0.01, watermark: str = "10 seconds",
+    trigger: str | None = "30 seconds", name: str | None = None, retention: str | None = None,
+) -> StreamingQuery:
+    """Store the alerts of every bucket of event time (``anomaly_by_bucket_stream``), which do not depend on where
+    micro-batches were cut."""
+    return append_rows(anomaly_by_bucket_stream(wire, bucket, threshold, watermark), path, checkpoint, trigger, name, retention=retention)
+
+
 def profile_sink(wire: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds", sample: int = 5) -> StreamingQuery:
     """Store a profile of every micro-batch (``batch_profile``), with a few of its rows as JSON, in a folder of its own."""
 
