@@ -7,8 +7,8 @@ tells the least document of each.
 
 What moves is kept in proportion to the texts:
 
-1. A first pass counts super-k-mers by cells of the minimiser, of which a bucket has CELLS. Cells that hold far more than
-   their share, such as that of a line in a third of all documents, are hot: their windows travel one by one to the
+1. A first pass counts super-k-mers by cells of the minimiser, CELLS for what a bucket should hold. Cells that hold far
+   more than their share, such as that of a line in a third of all documents, are hot: their windows travel one by one to the
    bucket of their own hash.
 2. Copies of a super-k-mer within a run of texts are sent once, by the least document; that the others lose it is known
    there and then.
@@ -114,12 +114,16 @@ def _joined(*parts: Pieces) -> Pieces:
     return Pieces(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("row", "word", "size", "hashes", "minimiser")))
 
 
+def cell_of(minimiser: np.ndarray, cells: int) -> np.ndarray:
+    return ((minimiser >> U64(20)) % U64(cells)).astype(np.int64)
+
+
 def all_pieces(found: Words, cells: int, hot: np.ndarray, window: int = WINDOW) -> Pieces:
     """Super-k-mers, those of hot cells (sorted) as single windows."""
     pieces = super_kmers(found, window)
     if not len(hot) or not len(pieces.row):
         return pieces
-    cell = (pieces.minimiser % U64(cells)).astype(np.int64)
+    cell = cell_of(pieces.minimiser, cells)
     is_hot = hot[np.minimum(np.searchsorted(hot, cell), len(hot) - 1)] == cell
     if not is_hot.any():
         return pieces
@@ -186,7 +190,7 @@ def count_cells(docs: DataFrame, cells: int, window: int) -> DataFrame:
             for i, j in slices(offsets):
                 pieces = super_kmers(words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], letters=SAME), window)
                 _, first = np.unique(pieces.hashes, return_index=True)
-                cell = (pieces.minimiser[first] % U64(cells)).astype(np.int64)
+                cell = cell_of(pieces.minimiser[first], cells)
                 held, at = np.unique(np.concatenate([held, cell]), return_inverse=True)
                 sums = np.bincount(at, np.concatenate([sums, np.ones(len(cell), np.int64)]), len(held)).astype(np.int64)
             if len(held) >= HELD_CELLS:
@@ -216,7 +220,7 @@ def deal(docs: DataFrame, buckets: int, cells: int, hot, window: int) -> DataFra
         text, begins = joined_words(data, found)
         start = begins[pieces.word]
         end = begins[pieces.word + pieces.size + window - 1] - 1
-        bucket = (pieces.minimiser % U64(cells) % U64(buckets)).astype(np.int64)
+        bucket = (pieces.minimiser % U64(buckets)).astype(np.int64)
         sent, lost = (w[np.argsort(bucket[w], kind="stable")] for w in (sent, lost))
         names = np.unique(np.concatenate([bucket[sent], bucket[lost]]))
         cuts = [np.append(np.searchsorted(bucket[w], names), len(w)) for w in (sent, lost)]
@@ -320,8 +324,8 @@ def drop_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW) -> Da
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     known = docs.where("key IS NOT NULL")
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(partitions(spark), -(-GROWTH * size // BUCKET_BYTES))
-    cells = CELLS * buckets
+    wanted = -(-GROWTH * size // BUCKET_BYTES)
+    buckets, cells = max(partitions(spark), wanted), CELLS * max(wanted, 1)
     hot = spark.sparkContext.broadcast(hot_cells(known, cells, window))
     lost = answers(deal(known, buckets, cells, hot, window), buckets, window)
     lost = lost.groupBy("key").agg(F.collect_list(F.struct("piece", "bits")).alias("lost"))
