@@ -185,3 +185,18 @@ def test_summary_leaves_rows_without_ticker_out(spark):
     r = alerts.alert_summary(g, "file").collect()
     assert len(r) == 1 and r[0]["alerts"] == 1
     assert (r[0]["avg_price"], r[0]["max_deviation"]) == (12.0, 0.3)
+
+
+def test_reconciliation_grows_with_the_table(spark, sf, small_sf):
+    """All stored days are compared: the windows of bronze that silver has, on both sides of midnight."""
+    counts = {}
+    for folder in (small_sf, sf):
+        bronze, silver = registry.bronze(spark, folder), registry.silver(spark, folder)
+        found = vwap.reconcile_all_windows(bronze, silver)
+        counts[folder] = found.count()
+        assert counts[folder] == silver.count()
+        days = [r["day"] for r in found.selectExpr("CAST(to_date(minute) AS string) AS day").distinct().orderBy("day").collect()]
+        by_day = sum(vwap.reconcile_windows(bronze, silver, date.fromisoformat(d)).count() for d in days)
+        assert by_day == counts[folder]
+    assert len(days) == 2 and counts[sf] > 5 * counts[small_sf]
+    assert vwap.vwap_reconcile(bronze, silver).count() == 50

@@ -74,10 +74,10 @@ def on_day(day: date) -> Column:
     return (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
 
 
-def batch_vwap_recompute(bronze: DataFrame, day: date) -> DataFrame:
-    """VWAP per (ticker, minute) of one day, from the stored trades."""
+def batch_vwap_recompute(bronze: DataFrame, day: date | None = None) -> DataFrame:
+    """VWAP per (ticker, minute) of one stored day, or of all, from the stored trades. Trades without a time have no minute."""
     return (
-        bronze.where(on_day(day))
+        bronze.where(F.col("event_time").isNotNull() if day is None else on_day(day))
         .groupBy("ticker", F.date_trunc("minute", "event_time").alias("minute"))
         .agg(
             F.try_divide(F.sum(F.col("price") * F.col("quantity")), F.sum(F.col("quantity").cast("double"))).alias(
@@ -89,10 +89,12 @@ def batch_vwap_recompute(bronze: DataFrame, day: date) -> DataFrame:
     )
 
 
-def _streamed(silver: DataFrame, day: date) -> DataFrame:
-    """The windows that begin on one day."""
-    first, end = (F.lit(str(d)).cast("timestamp") for d in (day, day + timedelta(days=1)))
-    return silver.where((F.col("window_start") >= first) & (F.col("window_start") < end)).select(
+def _streamed(silver: DataFrame, day: date | None) -> DataFrame:
+    """The windows that begin on one day, or all."""
+    if day is not None:
+        first, end = (F.lit(str(d)).cast("timestamp") for d in (day, day + timedelta(days=1)))
+        silver = silver.where((F.col("window_start") >= first) & (F.col("window_start") < end))
+    return silver.select(
         "ticker",
         F.col("window_start").alias("minute"),
         F.col("vwap").alias("stream_vwap"),
@@ -101,17 +103,15 @@ def _streamed(silver: DataFrame, day: date) -> DataFrame:
     )
 
 
-def _side_by_side(bronze: DataFrame, silver: DataFrame, day: date, how: str) -> DataFrame:
-    """Recomputed and streamed windows of a day; windows without a ticker match each other."""
+def _side_by_side(bronze: DataFrame, silver: DataFrame, day: date | None, how: str) -> DataFrame:
+    """Recomputed and streamed windows; windows without a ticker match each other."""
     batch = batch_vwap_recompute(bronze, day)
     stream = _streamed(silver, day).withColumnsRenamed({"ticker": "stream_ticker", "minute": "stream_minute"})
     same = F.col("ticker").eqNullSafe(F.col("stream_ticker")) & (F.col("minute") == F.col("stream_minute"))
     return batch.join(stream, same, how)
 
 
-def reconcile_windows(bronze: DataFrame, silver: DataFrame, day: date) -> DataFrame:
-    """Streamed against recomputed VWAP for every window both sides have."""
-    joined = _side_by_side(bronze, silver, day, "inner")
+def _compared(joined: DataFrame) -> DataFrame:
     return joined.select(
         "ticker",
         "minute",
@@ -125,9 +125,20 @@ def reconcile_windows(bronze: DataFrame, silver: DataFrame, day: date) -> DataFr
     )
 
 
-def vwap_reconcile(bronze: DataFrame, silver: DataFrame, day: date, n: int = 50) -> DataFrame:
-    """The ``n`` windows where streamed and recomputed VWAP differ most."""
-    return reconcile_windows(bronze, silver, day).orderBy(F.desc("diff_pct"), F.asc_nulls_last("ticker"), "minute").limit(n)
+def reconcile_windows(bronze: DataFrame, silver: DataFrame, day: date) -> DataFrame:
+    """Streamed against recomputed VWAP for every window of a day that both sides have."""
+    return _compared(_side_by_side(bronze, silver, day, "inner"))
+
+
+def reconcile_all_windows(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """The same for all stored days at once: each side is read once, whatever the number of days."""
+    return _compared(_side_by_side(bronze, silver, None, "inner"))
+
+
+def vwap_reconcile(bronze: DataFrame, silver: DataFrame, day: date | None = None, n: int = 50) -> DataFrame:
+    """The ``n`` windows where streamed and recomputed VWAP differ most, of one day or of all."""
+    rows = reconcile_all_windows(bronze, silver) if day is None else reconcile_windows(bronze, silver, day)
+    return rows.orderBy(F.desc("diff_pct"), F.asc_nulls_last("ticker"), "minute").limit(n)
 
 
 def vwap_reconcile_coverage(bronze: DataFrame, silver: DataFrame, day: date) -> DataFrame:

@@ -20,7 +20,7 @@ from tradeloom.functions import columns as fn
 from tradeloom.operators import alerts, anomaly, jumps, projections, quality, stats, vwap
 from tradeloom.plans.medallion import medallion_run
 from tradeloom.schema import BRONZE_PARTITIONS, GOLD, SILVER, TABLES
-from tradeloom.sources import feed, replay, tables, vendor
+from tradeloom.sources import commits, feed, replay, tables, vendor
 from tradeloom.streaming import sinks
 
 DAY = date(2026, 6, 6)
@@ -324,13 +324,40 @@ def _(spark, sf):
 def _(spark, sf):
     """Between the buys and the sells comes a delivery without a single row; it makes a micro-batch and no alerts."""
     cfg = new_run(spark)
-    rows = replay.wire_of(trades(spark, sf))
-    for part in (F.col("side") == "buy", F.lit(False), F.col("side") == "sell"):
-        rows.where(part).select(feed.trade_payload().alias("value")).coalesce(1).write.mode("append").text(cfg.table_path("feed"))
+    rows = replay.wire_of(trades(spark, sf)).select("side", feed.trade_payload().alias("value"))
+    for part in (rows.where("side = 'buy'"), rows.limit(0), rows.where("side = 'sell'")):
+        # A frame without rows still leaves a file, so that there is something to deliver.
+        part.select("value").write.mode("append").text(cfg.table_path("feed"))
         finish(_gold_into(cfg, delivered(spark, cfg)))
     return stored(spark, cfg, "gold_anomaly_alerts").drop("detected_at", "alert_day")
 
 
+@query("anomaly_rate_stream")
+def _(spark, sf):
+    """Flagged and all trades of each micro-batch, buys before sells, as the gold sink has counted and committed them."""
+    cfg = _two_drops(spark, sf, lambda wire, cfg: _gold_into(cfg, wire))
+    return anomaly.batch_rates(commits.commits(spark, cfg.table_path("gold_anomaly_alerts")))
+
+
+def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The trades up to the middle of their time, and those after it."""
+    rows = trades(spark, sf)
+    ends = rows.agg(F.min(F.unix_micros("event_time")).alias("a"), F.max(F.unix_micros("event_time")).alias("b")).first()
+    first = F.unix_micros("event_time") <= (ends["a"] + ends["b"]) // 2
+    return rows.where(first), rows.where(~first)
+
+
+@query("anomaly_by_bucket_stream")
+def _(spark, sf):
+    """The first half of the feed, a restart, the second half, and a restart that finds nothing new."""
+    cfg = new_run(spark)
+    for half in (*_halves(spark, sf), None):
+        if half is not None:
+            replay.wire_of(half).select(feed.trade_payload().alias("value")).write.mode("append").text(cfg.table_path("feed"))
+        finish(sinks.bucket_alerts_sink(delivered(spark, cfg), cfg.table_path("bucket_alerts"), cfg.checkpoint_path("ba"), trigger=None))
+    return spark.read.parquet(cfg.table_path("bucket_alerts")).drop("detected_at")
+
+
 def _late_run(spark, sf) -> Config:
     """The feed is delivered twice, the second time with sells a tenth dearer: all that is late for a closed window, so
     silver keeps the first prices while bronze holds both."""
@@ -549,7 +576,7 @@ def _late_layers(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 @query("vwap_diff_pct")
 def _(spark, sf):
-    rows = vwap.reconcile_windows(*_late_layers(spark, sf), DAY)
+    rows = vwap.reconcile_all_windows(*_late_layers(spark, sf))
     return rows.select("ticker", "minute", "diff_pct")
 
 
@@ -655,7 +682,8 @@ def _(spark, sf):
 
 @query("vwap_reconcile")
 def _(spark, sf):
-    return vwap.vwap_reconcile(*_late_layers(spark, sf), DAY)
+    """The 50 windows of all stored days that differ most."""
+    return vwap.vwap_reconcile(*_late_layers(spark, sf))
 
 
 @query("vwap_reconcile_coverage")
@@ -676,7 +704,7 @@ def _(spark, sf):
 
 @query("batch_vwap_recompute")
 def _(spark, sf):
-    return vwap.batch_vwap_recompute(bronze(spark, sf), DAY)
+    return vwap.batch_vwap_recompute(bronze(spark, sf))
 
 
 @query("anomaly_summary")
