@@ -86,8 +86,13 @@ def dq_gate(df: DataFrame, checks: Sequence[str] = GATE, as_of: datetime | None
 
 def gate_report(df: DataFrame, checks: Sequence[str] = GATE, as_of: datetime | None = None) -> DataFrame:
     """What the gate would decide, as one row and without raising."""
+    return report_of(dq_checks(df, checks, as_of))
+
+
+def report_of(found: DataFrame) -> DataFrame:
+    """What the gate decides from (check_name, violations), whether counted now or taken from profiles."""
     total = F.sum("violations")
-    return dq_checks(df, checks, as_of).agg(
+    return found.agg(
         F.when(total == 0, GATE_PASSED).otherwise(GATE_FAILED).alias("status"),
         F.count("*").alias("checks_run"),
         F.count_if(F.col("violations") > 0).alias("checks_failed"),

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tradeloom.config import SESSION_SETTINGS, Config, shared_dir
 from tradeloom.functions import columns as fn
-from tradeloom.operators import alerts, anomaly, jumps, projections, quality, stats, vwap
+from tradeloom.operators import alerts, anomaly, jumps, profiles, projections, quality, stats, vwap
 from tradeloom.plans.medallion import medallion_run
 from tradeloom.schema import BRONZE_PARTITIONS, GOLD, SILVER, TABLES
 from tradeloom.sources import commits, feed, replay, tables, vendor
@@ -648,6 +648,40 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, reports)
 
 
+def _profiled(spark, sf) -> str:
+    """The dirty trades stored in three deliveries, each of all days; after each, the days that it touched are profiled."""
+    cfg = new_run(spark)
+    table, path = cfg.table_path("bronze_raw_trades"), cfg.table_path("quality_profiles")
+    rows = projections.bronze_enrich(dirty(spark, sf))
+    side = F.coalesce("side", F.lit("none"))
+    for part in (side == "buy", side == "sell", ~side.isin("buy", "sell")):
+        drop = rows.where(part)
+        drop.hint("rebalance", *BRONZE_PARTITIONS).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(table)
+        touched = [r["day"] for r in drop.select(F.to_date("event_time").alias("day")).distinct().collect()]  # a row a day
+        profiles.profile_days(stored(spark, cfg, "bronze_raw_trades"), touched, path, AS_OF, KNOWN_TICKERS)
+    return path
+
+
+@query("dq_checks_profiled")
+def _(spark, sf):
+    return profiles.profiled_checks(spark, _profiled(spark, sf), [*quality.ALL, "spread", "ticker_domain"])
+
+
+@query("dq_gate_profiled")
+def _(spark, sf):
+    return quality.report_of(profiles.profiled_checks(spark, _profiled(spark, sf), quality.GATE))
+
+
+@query("table_describe")
+def _(spark, sf):
+    """The columns of the four registered tables; of their place, what does not depend on the run."""
+    cfg = _stored_batch(spark, sf, *TABLES)
+    found = [tables.table_describe(spark, f"{cfg.database}.{t}") for t in TABLES]
+    rows = reduce(DataFrame.unionByName, found)
+    name, place = (F.element_at(F.split(c, "[./]" if c == "table_name" else "/"), -1).alias(c) for c in ("table_name", "location"))
+    return rows.select("position", "col_name", "data_type", "is_partition", name, place)
+
+
 @query("dq_schema_complete")
 def _(spark, sf):
     return quality.dq_schema_complete(rough_payloads(spark, sf), "value")
