@@ -120,40 +120,49 @@ def groups(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
 
     Ends rise, and the last ones are equal.
     """
-    i = shift = 0
-    cut_a, cut_b = [], []
-    while i < len(a):
-        step, start = 1, i
-        while a[i:i + step] == b[i + shift:i + shift + step] and i < len(a):  # ever longer slices at one shift
-            i += step
-            step *= 2
-        i = min(i, len(a))
-        while step > 1 and i < len(a):  # back to the end of the stretch by halves
-            step //= 2
-            if a[i:i + step] == b[i + shift:i + shift + step]:
-                i += step
-        i = min(i, len(a))
-        if i > start:
-            cut_a.append(np.arange(start + 1, i + 1))
-            cut_b.append(np.arange(start + 1 + shift, i + 1 + shift))
-        if i == len(a):
-            break
-        p, q = i, i + shift
-        while a[p] != b[q]:
-            if a[p] < b[q]:
-                p += 1
-            else:
-                q += 1
-        cut_a.append([p + 1])
-        cut_b.append([q + 1])
-        i, shift = p + 1, q - p
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(cut_a or none), np.concatenate(cut_b or none)
+    i, n, shift = 0, len(a), 0
+    last_a, last_b, lengths = [], [], []  # of stretches, the irregular groups being stretches of one
+    while i < n:
+        j, start = i + shift, i
+        if a[i] == b[j]:
+            i, j, step = i + 1, j + 1, 2
+            while i < n and a[i:i + step] == b[j:j + step]:  # ever longer slices at one shift
+                i, j, step = i + step, j + step, 2 * step
+            if i >= n:
+                i, j = n, len(b)
+            while step > 2 and i < n:  # back to the end of the stretch by halves
+                step //= 2
+                if a[i:i + step] == b[j:j + step]:
+                    i, j = i + step, j + step
+            if i < n and a[i] == b[j]:
+                i, j = i + 1, j + 1
+            last_a.append(i)
+            last_b.append(j)
+            lengths.append(i - start)
+        if i < n:
+            x, y = a[i], b[j]
+            while x != y:
+                if x < y:
+                    i += 1
+                    x = a[i]
+                else:
+                    j += 1
+                    y = b[j]
+            i, j = i + 1, j + 1
+            last_a.append(i)
+            last_b.append(j)
+            lengths.append(1)
+        shift = j - i
+    size = np.array(lengths, np.int64)
+    back = np.repeat(np.cumsum(size), size) - 1 - np.arange(size.sum())  # groups to the end of the stretch
+    return np.repeat(np.array(last_a, np.int64), size) - back, np.repeat(np.array(last_b, np.int64), size) - back
 
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The tokens (A, B) of every link: one for each stretch of bytes in which no token of either side ends."""
-    ends = np.union1d(ends_a, ends_b)
+    both = np.concatenate([ends_a, ends_b])
+    both.sort(kind="stable")  # two sorted runs, so a merge
+    ends = both[np.append(both[1:] != both[:-1], True)]
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
