@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +201,21 @@ def test_reconciliation_grows_with_the_table(spark, sf, small_sf):
         assert by_day == counts[folder]
     assert len(days) == 2 and counts[sf] > 5 * counts[small_sf]
     assert vwap.vwap_reconcile(bronze, silver).count() == 50
+
+
+def test_longer_windows_merge_from_partials(spark, sf):
+    """The same rows as from the trades, for lengths that the stored ones divide; partial results may be split at will."""
+    trades = registry.trades(spark, sf)
+    partials = vwap.vwap_partials(trades)
+    pieces = [vwap.vwap_partials(trades.where(F.pmod(F.xxhash64("trade_id"), F.lit(3)) == i)) for i in range(3)]
+    columns = ["window.start", "ticker", "round(vwap, 6)", "total_volume", "trade_count", "low_price", "high_price", "round(buy_ratio, 9)", "source"]
+    for duration in ("1 minute", "2 minutes", "5 minutes", "1 hour"):
+        want = rows(vwap.vwap(trades, duration).selectExpr(*columns))
+        for given in (partials, reduce(lambda a, b: a.unionByName(b), pieces)):
+            assert rows(vwap.merge_partials(given, duration).selectExpr(*columns)) == want
+
+
+def test_both_window_lengths_read_the_trades_once(spark, sf):
+    """Both come from partial results that are written down; the trades are in no plan any more."""
+    df = vwap.window_divergence(*registry.silver_pair(spark, sf))
+    assert plan(df).count("Scan ExistingRDD") == 2 and "FileScan" not in plan(df)

@@ -16,6 +16,7 @@ from tradeloom.sources import replay
 from tradeloom.sources.feed import resolve_payload, stream_source, trade_payload
 from tradeloom.sources.tables import alert_file_scan, alert_file_stream, read_table
 from tradeloom.streaming import sinks
+from tradeloom.streaming.progress import ProgressLog, batch_written_counts
 
 
 def feed(spark, folder, per_batch=1):
@@ -25,7 +26,7 @@ def feed(spark, folder, per_batch=1):
 
 @pytest.fixture
 def progress(spark, tmp_path):
-    log = sinks.ProgressLog(spark, str(tmp_path / "progress"))
+    log = ProgressLog(spark, str(tmp_path / "progress"))
     spark.streams.addListener(log)
     yield log
     spark.streams.removeListener(log)
@@ -67,7 +68,7 @@ def test_late_rows(spark, tmp_path, progress, multiple, want, dropped):
     out = read_table(spark, str(tmp_path / "silver"), "silver_vwap_1min")
     assert rows(out, F.minute("window_start"), "ticker", "trade_count") == want
     progress.settle(q)
-    counted = sinks.batch_written_counts(spark, progress.path)
+    counted = batch_written_counts(spark, progress.path)
     counts = counted.groupBy().agg(F.sum("rows_late"), F.sum("rows_written"), F.sum("rows_read")).first()
     assert tuple(counts) == (sum(dropped), len(want), 9)
     late = [r["rows_late"] for r in counted.orderBy("batch_id").collect()]

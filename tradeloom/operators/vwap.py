@@ -11,17 +11,15 @@ from tradeloom.functions.columns import buy_pct, divergence_pct, vwap_diff_pct
 from tradeloom.operators.projections import silver_project
 
 
-def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> DataFrame:
-    """One row per (clock-aligned window, ticker).
+PARTIAL_KEYS = ("window", "ticker", "source")
 
-    Every aggregate merges from partial results, so a ticker with most of the trades costs one small
-    row per task in the shuffle. ``source`` is the least one of the window: unlike the first one seen
-    it does not depend on row order. Rows without an event time belong to no window.
-    """
+
+def _window_rows(trades: DataFrame, duration: str, watermark: str | None) -> DataFrame:
+    """A row for each trade, in the form of a partial result of its window."""
     rows = silver_project(trades)
     if watermark:
         rows = rows.withWatermark("event_time", watermark)
-    rows = rows.select(
+    return rows.select(
         F.window("event_time", duration).alias("window"),
         "ticker",
         "source",
@@ -32,20 +30,22 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
         F.lit(1).cast("long").alias("trades"),
         F.when(F.col("side") == "buy", 1).otherwise(0).cast("long").alias("buys"),
     )
-    if not rows.isStreaming or _chained(rows):
-        # The least of a text column cannot be kept in a hash aggregate, and sorting all trades for it
-        # costs several times the rest. So the trades are first reduced with the source as a key.
-        rows = rows.groupBy("window", "ticker", "source").agg(
-            F.sum("notional").alias("notional"),
-            F.sum("volume").alias("volume"),
-            F.sum("trades").alias("trades"),
-            F.sum("buys").alias("buys"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-        )
-    if rows.isStreaming and _chained(rows):
-        # The same window again, in the form in which a second stateful step knows its event time.
-        rows = rows.withColumn("window", F.window(F.window_time("window"), duration))
+
+
+def _reduced(rows: DataFrame) -> DataFrame:
+    """Partial results of the same window, ticker and source brought into one."""
+    return rows.groupBy(*PARTIAL_KEYS).agg(
+        F.sum("notional").alias("notional"),
+        F.sum("volume").alias("volume"),
+        F.sum("trades").alias("trades"),
+        F.sum("buys").alias("buys"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+
+
+def _finished(rows: DataFrame) -> DataFrame:
+    """The VWAP row of each window from its partial results."""
     return rows.groupBy("window", "ticker").agg(
         F.try_divide(F.sum("notional"), F.sum("volume")).alias("vwap"),
         F.sum("volume").alias("total_volume"),
@@ -57,6 +57,46 @@ def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> Data
     )
 
 
+def vwap(trades: DataFrame, duration: str, watermark: str | None = None) -> DataFrame:
+    """One row per (clock-aligned window, ticker).
+
+    Every aggregate merges from partial results, so a ticker with most of the trades costs one small
+    row per task in the shuffle. ``source`` is the least one of the window: unlike the first one seen
+    it does not depend on row order. Rows without an event time belong to no window.
+    """
+    rows = _window_rows(trades, duration, watermark)
+    if not rows.isStreaming or _chained(rows):
+        # The least of a text column cannot be kept in a hash aggregate, and sorting all trades for it
+        # costs several times the rest. So the trades are first reduced with the source as a key.
+        rows = _reduced(rows)
+    if rows.isStreaming and _chained(rows):
+        # The same window again, in the form in which a second stateful step knows its event time.
+        rows = rows.withColumn("window", F.window(F.window_time("window"), duration))
+    return _finished(rows)
+
+
+def vwap_partials(trades: DataFrame, duration: str = "1 minute", watermark: str | None = None) -> DataFrame:
+    """Partial results of short windows, (window_start, window_end, ticker, source, low, high, notional, volume, trades, buys),
+    from which the rows of every longer window are merged. From a stream, each once the watermark has reached its end."""
+    parts = _reduced(_window_rows(trades, duration, watermark))
+    return parts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                        *[c for c in parts.columns if c != "window"])
+
+
+def merge_partials(partials: DataFrame, duration: str | None = None) -> DataFrame:
+    """``vwap`` of windows of ``duration``, a multiple of the partials' windows, without another look at the trades; of
+    the partials' own windows if there is none. Several partial results of one window add up."""
+    own = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
+    window = own if duration is None else F.window("window_start", duration)
+    return _finished(partials.withColumn("window", window).drop("window_start", "window_end"))
+
+
+def closed_by_partials(silver: DataFrame, partials: DataFrame) -> DataFrame:
+    """The windows that a streamed table of partials holds in full: the newest of its own windows has reached their end."""
+    reached = partials.agg(F.max("window_end")).scalar()
+    return silver.where(F.col("window_end") <= reached)
+
+
 def _chained(rows: DataFrame) -> bool:
     """Whether the session lets one stateful step of a stream follow another."""
     return rows.sparkSession.conf.get("spark.sql.streaming.statefulOperator.allowMultiple", "true") == "true"

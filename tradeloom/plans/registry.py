@@ -19,9 +19,9 @@ from tradeloom.config import SESSION_SETTINGS, Config, shared_dir
 from tradeloom.functions import columns as fn
 from tradeloom.operators import alerts, anomaly, jumps, profiles, projections, quality, stats, vwap
 from tradeloom.plans.medallion import medallion_run
-from tradeloom.schema import BRONZE_PARTITIONS, GOLD, SILVER, TABLES
-from tradeloom.sources import commits, feed, replay, tables, vendor
-from tradeloom.streaming import sinks
+from tradeloom.schema import BRONZE_PARTITIONS, GOLD, PARTIALS, SILVER, TABLES
+from tradeloom.sources import commits, feed, replay, state, tables, vendor
+from tradeloom.streaming import progress, sinks
 
 DAY = date(2026, 6, 6)
 AS_OF = datetime(2026, 6, 6, 23, 58)
@@ -77,6 +77,16 @@ def silver(spark: SparkSession, sf_dir: str, duration: str = "1 minute") -> Data
     return projections.window_flatten(vwap.vwap(trades(spark, sf_dir), duration), AS_OF)
 
 
+def silver_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """1-minute and 5-minute windows, merged from the same partial results: one pass over the trades for both.
+
+    The partial results are written down: filters that a join pushes into each side would keep Spark from reusing a shuffle.
+    """
+    shared_dir(spark)
+    partials = vwap.vwap_partials(trades(spark, sf_dir)).checkpoint()
+    return tuple(projections.window_flatten(vwap.merge_partials(partials, d), AS_OF) for d in ("1 minute", "5 minutes"))
+
+
 def gold(spark: SparkSession, sf_dir: str, threshold: float = 0.01) -> DataFrame:
     return anomaly.anomaly_by_bucket(trades(spark, sf_dir), "30 seconds", threshold, AS_OF)
 
@@ -140,6 +150,14 @@ def stored(spark: SparkSession, cfg: Config, table: str) -> DataFrame:
     return tables.read_table(spark, cfg.table_path(table), table)
 
 
+def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The trades up to the middle of their time, and those after it."""
+    rows = trades(spark, sf)
+    ends = rows.agg(F.min(F.unix_micros("event_time")).alias("a"), F.max(F.unix_micros("event_time")).alias("b")).first()
+    first = F.unix_micros("event_time") <= (ends["a"] + ends["b"]) // 2
+    return rows.where(first), rows.where(~first)
+
+
 def finish(*streams) -> None:
     for s in streams:
         s.awaitTermination()
@@ -217,6 +235,21 @@ def _(spark, sf):
     return _silver_run(spark, sf, "5 minutes")[1]
 
 
+@query("vwap_from_partials")
+def _(spark, sf):
+    """The closed windows of both lengths out of one stream of partial results, in two deliveries."""
+    cfg = new_run(spark)
+    for half in _halves(spark, sf):
+        replay.wire_of(half).select(feed.trade_payload().alias("value")).write.mode("append").text(cfg.table_path("feed"))
+        finish(sinks.partials_sink(delivered(spark, cfg), cfg.table_path("partials"), cfg.checkpoint_path("partials"), trigger=None))
+    partials = spark.read.schema(PARTIALS).parquet(cfg.table_path("partials"))
+    merged = [
+        vwap.closed_by_partials(projections.window_flatten(vwap.merge_partials(partials, d), AS_OF).drop("computed_at"), partials)
+        .withColumn("minutes", F.lit(n)) for n, d in ((1, "1 minute"), (5, "5 minutes"))
+    ]
+    return reduce(DataFrame.unionByName, merged)
+
+
 @query("watermark")
 def _(spark, sf):
     return _silver_run(spark, sf, "1 minute", "90 seconds")[1]
@@ -224,13 +257,13 @@ def _(spark, sf):
 
 @query("batch_written_counts")
 def _(spark, sf):
-    """The feed comes twice, in one file and then in 120. One stream stores it as it comes, a file a micro-batch, the
+    """The feed comes twice, in 8 files and then in 120. One stream stores it as it comes, a file a micro-batch, the
     other its windows, for which most of the second copy is late."""
     cfg = new_run(spark)
-    log = sinks.ProgressLog(spark, cfg.table_path("progress"))
+    log = progress.ProgressLog(spark, cfg.table_path("progress"))
     spark.streams.addListener(log)
     try:
-        for files in (1, 120):
+        for files in (8, 120):
             payloads(spark, sf).repartition(files).write.mode("append").text(cfg.table_path("feed"))
             streams = {
                 "rows": sinks.append_rows(delivered(spark, cfg, 1), cfg.table_path("rows"), cfg.checkpoint_path("rows"), None),
@@ -242,7 +275,7 @@ def _(spark, sf):
                 log.settle(stream)
     finally:
         spark.streams.removeListener(log)
-    counts = sinks.batch_written_counts(spark, log.path)
+    counts = progress.batch_written_counts(spark, log.path)
     name = reduce(lambda a, item: F.when(F.col("query_id") == str(item[1].id), item[0]).otherwise(a), streams.items(), F.lit("?"))
     return counts.groupBy(name.alias("stream")).agg(
         F.count_if(F.col("rows_read") > 0).alias("batches"), F.sum("rows_read").alias("rows_read"),
@@ -339,14 +372,6 @@ def _(spark, sf):
     return anomaly.batch_rates(commits.commits(spark, cfg.table_path("gold_anomaly_alerts")))
 
 
-def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """The trades up to the middle of their time, and those after it."""
-    rows = trades(spark, sf)
-    ends = rows.agg(F.min(F.unix_micros("event_time")).alias("a"), F.max(F.unix_micros("event_time")).alias("b")).first()
-    first = F.unix_micros("event_time") <= (ends["a"] + ends["b"]) // 2
-    return rows.where(first), rows.where(~first)
-
-
 @query("anomaly_by_bucket_stream")
 def _(spark, sf):
     """The first half of the feed, a restart, the second half, and a restart that finds nothing new."""
@@ -396,6 +421,40 @@ def _(spark, sf):
     return stored(spark, cfg, "bronze_raw_trades").drop("ingested_at")
 
 
+@query("trigger_cadence")
+def _(spark, sf):
+    """Five deliveries to a stream that starts its micro-batches on the second: what it read, and how many starts lay off
+    the interval (by more than half of it) or came sooner than it after the one before."""
+    cfg = new_run(spark)
+    rows = replay.wire_of(trades(spark, sf)).select(F.pmod(F.xxhash64("trade_id"), F.lit(5)).alias("part"), feed.trade_payload().alias("value"))
+    rows.limit(0).select("value").write.text(cfg.table_path("feed"))
+    log = progress.ProgressLog(spark, cfg.table_path("progress"))
+    spark.streams.addListener(log)
+    try:
+        stream = sinks.append_rows(delivered(spark, cfg), cfg.table_path("rows"), cfg.checkpoint_path("rows"), "1 second")
+        for part in range(5):
+            rows.where(F.col("part") == part).select("value").write.mode("append").text(cfg.table_path("feed"))
+            stream.processAllAvailable()
+        log.settle(stream)
+        sinks.bounded_run([stream], 0)
+    finally:
+        spark.streams.removeListener(log)
+    starts = progress.trigger_starts(spark, log.path, 1000)
+    return starts.where("rows_read > 0").agg(
+        F.sum("rows_read").alias("rows_read"), (F.count("*") >= 5).alias("a_batch_for_each"),
+        # The first micro-batch starts with the stream, whatever the time.
+        F.count_if((F.col("batch_id") > 0) & (F.col("after_ms") > 500)).alias("off_interval"),
+        F.count_if((F.col("batch_id") > 1) & (F.col("since_ms") < 500)).alias("too_soon"))
+
+
+@query("open_windows")
+def _(spark, sf):
+    """The windows that a stopped stream has not closed yet."""
+    cfg = new_run(spark)
+    finish(sinks.silver_sink(wire_stream(spark, sf), cfg.table_path("silver"), cfg.checkpoint_path("s"), "1 minute", trigger=None))
+    return state.open_windows(spark, cfg.checkpoint_path("s"))
+
+
 @query("bounded_run")
 def _(spark, sf):
     cfg = new_run(spark)
@@ -583,13 +642,13 @@ def _(spark, sf):
 @query("reconcile_verdict")
 def _(spark, sf):
     """The 5-minute VWAP in the place of the streamed one, so that the verdicts differ."""
-    rows = vwap.window_divergence(silver(spark, sf), silver(spark, sf, "5 minutes"))
+    rows = vwap.window_divergence(*silver_pair(spark, sf))
     return rows.select("ticker", "minute", fn.reconcile_verdict(F.col("divergence_pct") * 5).alias("verdict"))
 
 
 @query("divergence_pct")
 def _(spark, sf):
-    return vwap.window_divergence(silver(spark, sf), silver(spark, sf, "5 minutes"))
+    return vwap.window_divergence(*silver_pair(spark, sf))
 
 
 @query("normalize_vendor_trades", "filter_message_type")
@@ -728,7 +787,7 @@ def _(spark, sf):
 
 @query("vwap_1m_vs_5m")
 def _(spark, sf):
-    return vwap.vwap_1m_vs_5m(silver(spark, sf), silver(spark, sf, "5 minutes"))
+    return vwap.vwap_1m_vs_5m(*silver_pair(spark, sf))
 
 
 @query("ticker_batch_avg")
@@ -778,8 +837,9 @@ def _(spark, sf):
 
 @query("layer_counts")
 def _(spark, sf):
+    """From the footers of the stored files."""
     cfg = _stored_batch(spark, sf, *TABLES)
-    return stats.layer_counts({t: spark.table(f"{cfg.database}.{t}") for t in TABLES})
+    return tables.footer_counts(spark, {t: cfg.table_path(t) for t in TABLES})
 
 
 @query("distinct_tickers")

@@ -68,6 +68,20 @@ SILVER = StructType([
     StructField("computed_at", TimestampType()),
 ])
 
+# Own table: what windows of any length are merged from.
+PARTIALS = StructType([
+    StructField("window_start", TimestampType()),
+    StructField("window_end", TimestampType()),
+    StructField("ticker", StringType()),
+    StructField("source", StringType()),
+    StructField("notional", DoubleType()),
+    StructField("volume", LongType()),
+    StructField("trades", LongType()),
+    StructField("buys", LongType()),
+    StructField("low", DoubleType()),
+    StructField("high", DoubleType()),
+])
+
 # The day and the number of the micro-batch are this package's own; the rest is fixed by the readers.
 GOLD = StructType([
     StructField("trade_id", StringType()),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.config import Config
 from tradeloom.schema import COMPACTED_PARTITIONS, TABLES
-from tradeloom.sources.commits import file_system, only_committed
+from tradeloom.sources.commits import commits, file_system, has_commits, only_committed
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -37,6 +39,28 @@ def alert_file_stream(spark: SparkSession, path: str, table: str = "gold_anomaly
     return stream.where(F.col("_metadata.file_size") > 0).withColumn("file", F.col("_metadata.file_path"))
 
 
+def footer_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Rows of each stored table, (layer, record_count), without reading a column: from the footers of its Parquet files,
+    or from its commits where it keeps some. ``paths`` names the tables and their folders; one that is not there has none.
+
+    Aggregates reach the footers through the second version of Spark's file reader only, so the counts come from a session
+    of their own that has it; the given session's settings stay.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = []
+    for table, path in paths.items():
+        if not folder_exists(spark, path):
+            found = session.range(1).select(F.lit(0).cast("long").alias("record_count"))
+        elif has_commits(spark, path):
+            found = commits(session, path).agg(F.coalesce(F.sum("flagged"), F.lit(0)).alias("record_count"))
+        else:
+            found = session.read.schema(TABLES[table][0]).parquet(path).agg(F.count("*").alias("record_count"))
+        counts.append(found.select(F.lit(table).alias("layer"), "record_count"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def table_register(spark: SparkSession, cfg: Config) -> list[str]:
     """Register the tables of a run as external tables and load the partitions found on disk.
 

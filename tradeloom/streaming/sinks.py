@@ -8,14 +8,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tradeloom.config import Config
 from tradeloom.operators.alerts import alert_digest
 from tradeloom.operators.anomaly import anomaly_by_bucket_stream, flag_batch
 from tradeloom.operators.stats import batch_profile, batch_sample
 from tradeloom.operators.projections import bronze_enrich, gold_project, window_flatten
-from tradeloom.operators.vwap import vwap
+from tradeloom.operators.vwap import vwap, vwap_partials
 from tradeloom.schema import BRONZE_PARTITIONS, SILVER
 from tradeloom.sources import commits
 
@@ -81,6 +80,15 @@ def silver_sink(
     return append_rows(rows, path, checkpoint, trigger, name, retention=retention)
 
 
+def partials_sink(
+    wire: DataFrame, path: str, checkpoint: str, duration: str = "1 minute", watermark: str = "10 seconds",
+    trigger: str | None = "30 seconds", name: str | None = None, retention: str | None = None,
+) -> StreamingQuery:
+    """Store the partial results of short windows (``vwap_partials``) once they are closed. One pass over the feed serves
+    the windows of every length that ``merge_partials`` makes of them."""
+    return append_rows(vwap_partials(wire, duration, watermark), path, checkpoint, trigger, name, retention=retention)
+
+
 def foreach_batch_anomaly(path: str, threshold: float = 0.01) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch's alerts to folders of its own, by day of the trade and ``batch_id``.
 
@@ -190,49 +198,3 @@ def bounded_run(queries: Sequence[StreamingQuery], seconds: float) -> None:
     finally:
         for query in queries:
             query.stop()
-
-
-class ProgressLog(StreamingQueryListener):
-    """Appends what each micro-batch read, wrote and dropped to a table, as the session itself forgets all but the last.
-
-    Register it with ``spark.streams.addListener``. Reports arrive a little after their batch: ``settle`` waits for the
-    last one of a query that has ended.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        self.reported: dict[str, int] = {}
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        p = event.progress
-        observed = (p.observedMetrics or {}).get(WRITTEN)
-        late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
-        row = (str(p.id), p.batchId, p.numInputRows, observed["rows"] if observed else None, late)
-        schema = "query_id string, batch_id long, rows_read long, rows_written long, rows_late long"
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(self.path)
-        self.reported[str(p.id)] = p.batchId
-
-    def settle(self, query: StreamingQuery, seconds: float = 60) -> None:
-        last, end = query.lastProgress, time.monotonic() + seconds
-        while last is not None and self.reported.get(str(query.id), -1) < last["batchId"]:
-            if time.monotonic() > end:
-                raise TimeoutError("the report of the last micro-batch did not arrive")
-            time.sleep(0.05)
-
-
-def batch_written_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows read, written and dropped as late per micro-batch, from the table of a ``ProgressLog``.
-
-    (query_id, batch_id, rows_read, rows_written, rows_late). A batch that was reported again counts once.
-    """
-    counts = ("rows_read", "rows_written", "rows_late")
-    return spark.read.parquet(path).groupBy("query_id", "batch_id").agg(*[F.max(c).alias(c) for c in counts])
