@@ -48,6 +48,29 @@ def test_lengths():
         assert len(set(n for n in out if n < 1024)) == len([n for n in out if n < 1024])
 
 
+def test_words_that_share_a_hash(tokenizer, monkeypatch):
+    """Words are told apart by their bytes even if all of one length have one hash."""
+    texts = ["aa bb cc dd", "ee aa ff", "bb bb", "one", "", "aa  bb"]
+    real = packing.words
+
+    def few(data, offsets, member, letters):
+        found = real(data, offsets, member, letters)
+        found.hashes[:] = (found.ends - found.starts).astype(np.uint64)
+        return found
+
+    encoder = packing.Encoder(PATH)
+    monkeypatch.setattr(packing, "words", few)
+    for some in (texts, texts[:1], ["x aa"], ["x bb"], texts):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(some)] == [ids(tokenizer, t) for t in some]
+
+
+def test_lengths_of_many_documents():
+    tokens = np.array([1, 7, 1024, 2050, 3, 64])
+    docs, lengths = packing.piece_lengths(tokens, 64)
+    assert np.bincount(docs, lengths).tolist() == tokens.tolist() and (np.diff(docs) >= 0).all()
+    assert all(lengths[docs == i].tolist() == list(packing.binary_lengths(int(t), 64)) for i, t in enumerate(tokens))
+
+
 def test_round_trip_nulls_repeats_and_clashing_names(spark, tokenizer):
     texts = [None, "", "a", "a", "<|endoftext|> x", "long " * 9000, "\u4f60\u597d " * 50]
     df = spark.createDataFrame([(None if i == 6 else i, t, 9, 9) for i, t in enumerate(texts)], "id int, text string, start int, ids int")
@@ -76,7 +99,7 @@ def test_query(spark, sf, tokenizer):
     by = defaultdict(list)
     for r in op6_packing(spark, sf).collect():
         by[r["doc_id"]].append(r)
-    for d in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(150).collect():
+    for d in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
         whole, at = np.array(ids(tokenizer, d["text"]) + [0], "<u4"), 0
         for r in sorted(by[d["doc_id"]], key=lambda r: r["start"]):
             assert (r["start"], r["doc_tokens"]) == (at, len(whole))

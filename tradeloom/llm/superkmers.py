@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.llm.frames import bounded_batches, fresh_name, keep, partitions
-from tradeloom.llm.textarrays import SAME, SLICE, Words, column_bytes, mixed, run_hashes, slices, words
+from tradeloom.llm.textarrays import SAME, SLICE, Words, column_bytes, cut_out, mixed, run_hashes, slices, words
 
 U64 = np.uint64
 WINDOW = 13
@@ -143,16 +143,6 @@ def joined_words(data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarray
     return out, begins
 
 
-def cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The bytes of the given ranges, one after the other."""
-    lengths = ends - starts
-    total = int(lengths.sum())
-    kind = np.int32 if max(total, len(data)) < 1 << 31 else np.int64
-    at = np.repeat((starts - np.cumsum(lengths) + lengths).astype(kind), lengths)
-    at += np.arange(total, dtype=kind)
-    return data[at]
-
-
 def _least_copies(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of pieces: those to send (the least document of each hash, once), and those that a lesser document has."""
     order = np.lexsort((docs, hashes))

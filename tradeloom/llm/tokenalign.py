@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tradeloom.llm.frames import bounded_batches, fresh_name, keep, kept_table
 from tradeloom.llm.packing import encoder, runs
-from tradeloom.llm.superkmers import cut_out
+from tradeloom.llm.textarrays import cut_out
 from tradeloom.operators.skew import join_group_stats
 
 PIECE_SPACE = "▁"  # a fixed value of piece vocabularies: how they write a space
