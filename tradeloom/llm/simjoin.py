@@ -8,6 +8,8 @@ alone never makes a candidate, and no link is lost.
 
 Candidates are found per signature, verified exactly on the tokens, and joined to components:
 
+Signatures of the same documents count once, so a shared passage makes a pair once and not for each of its shingles.
+
 1. Each signature's documents are held against its most central one (the one with most frequent tokens), which
    joins nearly all of a large group of copies at the cost of one pair a document; then those still apart are held
    against one more.
@@ -373,7 +375,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
         F.coalesce(F.lag("class").over(bucket) != F.col("class"), F.lit(True)).alias("fresh"),
         (F.min("class").over(whole) != F.max("class").over(whole)).alias("crowded"))
     # A salted document alone under its salt may still share the signature under another.
-    met = kept_table(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded"))
+    met = kept_table(one_for_each_set(kept_table(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded"))))
     heads = met.where("salt > 0").groupBy("sig").agg(
         F.max(F.struct("central", "head")).alias("top"), F.min("class").alias("low"), F.max("class").alias("high"))
     heads = heads.where("low <> high").select("sig", F.col("top.head").alias("top"))
@@ -406,6 +408,20 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
     return components(links.union(verified(more, classes, docs, width, bound)))
 
 
+def one_for_each_set(met: DataFrame) -> DataFrame:
+    """``met`` (sig, salt, class, ...) with one signature, the least, of those without salts that have the same classes.
+
+    The shingles of a passage that some documents share are as many signatures of the same documents, which would be
+    paired for each of them. Sets of classes are told by their size and two sums of hashes.
+    """
+    single = met.where("salt = 0")
+    size = F.count(F.lit(1)).alias("size")
+    sums = [F.sum(F.xxhash64("class", F.lit(seed)).cast("decimal(38,0)")).alias(f"sum{seed}") for seed in (1, 2)]
+    sets = single.groupBy("sig").agg(size, *sums)
+    least = sets.groupBy("size", "sum1", "sum2").agg(F.min("sig").alias("sig")).select("sig")
+    return single.join(least, "sig", "left_semi").select(met.columns).unionByName(met.where("salt > 0"))
+
+
 def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` (sig, class, ...) with the root of their class, of the signatures that are still in several components."""
     placed = rows.join(small(roots).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
