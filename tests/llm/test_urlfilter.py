@@ -35,7 +35,7 @@ def judged(spark, urls, rules, **more):
     return {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in out}
 
 
-@pytest.mark.parametrize("blocks", [1, 4096])
+@pytest.mark.parametrize("blocks", [0, 1, 4096])
 def test_like_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(urlfilter, "MAX_BLOCKS", blocks)
     rules = URL_RULES + [(f"h{i}.example/p{i}/", "block") for i in range(2000)]
@@ -54,6 +54,34 @@ def test_the_filter_passes_every_listed_key_and_few_others(spark):
     assert urlfilter.possible_hits(others, "k", bloom, blocks).count() < 100
 
 
+def test_the_filter_grows_with_the_list(spark):
+    """A million keys fill as large a part of their filter as a thousand: it passes as few others."""
+    shares = []
+    for n in (1_000, 1_000_000):
+        blocks = urlfilter.blocks_for(n)
+        bloom = urlfilter.blocked_bloom(spark.range(n).selectExpr("CONCAT('k', id) AS k"), "k", blocks)
+        others = spark.range(20_000).selectExpr("CONCAT('o', id) AS k")
+        shares.append(urlfilter.possible_hits(others, "k", bloom, blocks).count() / 20_000)
+    assert urlfilter.blocks_for(1_000_000) > 4096 and max(shares) < 0.02, shares
+
+
+def test_keys_of_a_url_follow_its_own_host(spark, monkeypatch):
+    """A list of many path lengths makes keys for the hosts that have them, not for every url."""
+    rules = [(f"long.example/{'p' * n}/", "block") for n in range(300)] + [("other.example/x/", "block")]
+    seen = []
+    real = urlfilter.looked_up
+
+    def counted(rows, key, listed, count):
+        seen.append(rows.count())
+        return real(rows, key, listed, count)
+
+    monkeypatch.setattr(urlfilter, "looked_up", counted)
+    urls = [f"http://a{i}.other.example/x/{'y' * 400}" for i in range(50)] + [f"http://no{i}.example/{'z' * 400}" for i in range(50)]
+    got = judged(spark, urls, rules)
+    assert got == {i: plain(u, rules) for i, u in enumerate(urls)}
+    assert seen[1] == 50, seen  # one key for each url of the listed host, none for the others
+
+
 def test_no_rules_no_pages_and_rules_given_twice(spark):
     assert judged(spark, URLS[:3] + ["http://a.net/"], []) == {0: ("", "", None, "allow"), 1: ("", "", None, "allow"),
                                                              2: ("", "", None, "allow"), 3: ("a.net", "/", None, "allow")}

@@ -59,8 +59,15 @@ class Encoder:
         self.places = np.zeros((4, 0), np.int32)  # of each word: begin and end of its bytes, begin and end of its ids
         self.letters, self.ids = np.zeros(0, np.uint8), np.zeros(0, "<u4")
 
+    def odd(self, text: str) -> bool:
+        """Whether a text is not the sum of its words: for other spaces than single ones between words."""
+        return (not text or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+                or RARE_SPACE.search(text) is not None)
+
     def together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts, each encoded whole, one after the other, and how many each has."""
+        if not texts:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         held = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate([np.zeros(0, "<u4"), *held]), np.array([len(h) for h in held], np.int64)
 
@@ -100,13 +107,13 @@ class Encoder:
         order = np.argsort(joint, kind="stable")
         self.hashes, self.places = joint[order], np.concatenate([self.places, new.astype(np.int32)], axis=1)[:, order]
 
-    def by_words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+    def by_words(self, texts: list[bytes], spaced: bool) -> tuple[np.ndarray, np.ndarray] | None:
         """(ids of all texts, how many each has) of texts whose words have one space between them; None if two of their
-        words, or one and a remembered one, share a hash."""
+        words, or one and a remembered one, share a hash. The first word follows a space if ``spaced``."""
         data = np.frombuffer(b"".join(texts), np.uint8)
         found = words(data, np.cumsum([0, *map(len, texts)]), NOT_BLANK, SAME)
         first = np.zeros(len(found.hashes) + 1, bool)
-        first[found.bounds[:-1]] = True
+        first[found.bounds[:-1]] = not spaced
         first = first[:-1]
         starts, ends = found.starts[~first], found.ends[~first]
         own, index, inverse = np.unique(found.hashes[~first], return_index=True, return_inverse=True)
@@ -132,16 +139,15 @@ class Encoder:
             self.forget()
         return flat, np.diff(total[found.bounds])
 
-    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts, one after the other, and how many each has."""
-        odd = np.array([not t or "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or RARE_SPACE.search(t) is not None
-                        for t in texts], bool)
-        plain = self.by_words([t.encode() for t, o in zip(texts, odd) if not o]) if not odd.all() else None
+    def encode_all(self, texts: list[str], spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, with a space before each if ``spaced``, one after the other, and how many each has."""
+        odd = np.array([self.odd(t) for t in texts], bool)
+        plain = self.by_words([t.encode() for t, o in zip(texts, odd) if not o], spaced) if not odd.all() else None
         if plain is None:
             odd[:] = True
         if not odd.any():
             return plain
-        flat, sizes = self.together([t for t, o in zip(texts, odd) if o])
+        flat, sizes = self.together([" " + t if spaced else t for t, o in zip(texts, odd) if o])
         if odd.all():
             return flat, sizes
         both, counts = np.concatenate([flat, plain[0]]), np.empty(len(texts), np.int64)

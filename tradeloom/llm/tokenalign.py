@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.llm.frames import bounded_batches, fresh_name, keep, kept_table
-from tradeloom.llm.packing import encoder, runs
+from tradeloom.llm.packing import Encoder, encoder, runs
 from tradeloom.llm.textarrays import cut_out
 from tradeloom.operators.skew import join_group_stats
 
@@ -63,22 +63,40 @@ class Vocabulary:
         return cut_out(self.data, self.starts[ids], self.ends[ids])
 
 
+class PieceEncoder(Encoder):
+    """The same for a sentence-piece model that puts a space before each text: as no piece goes on after a space within it,
+    a text is the sum of its words here too."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.pieces = SentencePieceProcessor(model_file=path)
+        self.names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
+        self.opens = np.array([n.startswith(PIECE_SPACE) for n in self.names], bool)
+        self.by_word = not any(PIECE_SPACE in n.lstrip(PIECE_SPACE) for n in self.names)
+        self.forget()
+
+    def odd(self, text: str) -> bool:
+        return not self.by_word or PIECE_SPACE in text or super().odd(text)
+
+    def together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of texts that begin with a space: the model adds it."""
+        held = [np.array(x, "<u4") for x in self.pieces.encode([t[1:] for t in texts], num_threads=1)]
+        return np.concatenate([np.zeros(0, "<u4"), *held]), np.array([len(h) for h in held], np.int64)
+
+
 class TwoTokenizers:
     """A byte-level BPE (A) and a sentence-piece model (B) over a space and the text."""
 
     def __init__(self, bpe: str, pieces: str):
-        from sentencepiece import SentencePieceProcessor
-
-        self.encoder = encoder(bpe)
-        self.pieces = SentencePieceProcessor(model_file=pieces)
+        self.encoder, self.pieces = encoder(bpe), PieceEncoder(pieces)
         names = self.encoder.tokenizer.get_vocab()
         letters, tokens = byte_letters(), [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             tokens[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
         self.a = Vocabulary.of(tokens)
         single = {BYTE_PIECE % b: bytes([b]) for b in range(256)}
-        held = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
-        self.b = Vocabulary.of([single.get(p) or p.replace(PIECE_SPACE, " ").encode() for p in held])
+        self.b = Vocabulary.of([single.get(p) or p.replace(PIECE_SPACE, " ").encode() for p in self.pieces.names])
         most = max(len(self.a.ends), len(self.b.ends))
         self.width = len(str(most - 1)) + 1
         self.digits = np.zeros((most, self.width), np.uint8)
@@ -87,15 +105,21 @@ class TwoTokenizers:
         self.digit_counts = (self.digits > 0).sum(1)
         self.wide = most > 1 << 16
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """The ids of each text by both; None where there is no text or the tokens' bytes are not the text's."""
-        # A letter before the space is a token of its own, and lets the encoder know all words by the space before them.
-        left = self.encoder.encode(["x " + t for t in texts])
-        for text, x, y in zip(texts, left, self.pieces.encode(texts, num_threads=1)):
-            a, b = np.frombuffer(x, "<u4")[1:].astype(np.int64), np.array(y, np.int64)
-            wanted = np.frombuffer(b" " + text.encode(), np.uint8)
-            same = bool(text) and np.array_equal(self.a.joined(a), wanted) and np.array_equal(self.b.joined(b), wanted)
-            yield (a, b) if same else None
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None]:
+        """The ids of each text by both and where their bytes end; None where there is no text or the tokens' bytes are not
+        the text's."""
+        sides = []
+        wanted = [b" " + t.encode() for t in texts]
+        for encode, known in ((self.encoder, self.a), (self.pieces, self.b)):
+            ids, counts = encode.encode_all(texts, spaced=True)
+            sides.append((known, ids.astype(np.int64), np.append(0, np.cumsum(counts)).tolist()))
+        for i, text in enumerate(wanted):
+            out = []
+            for known, ids, bounds in sides:
+                own = ids[bounds[i]:bounds[i + 1]]
+                if len(text) > 1 and known.joined(own).tobytes() == text:
+                    out += [own, np.cumsum(known.sizes(own))]
+            yield (out[0], out[2], out[1], out[3]) if len(out) == 4 else None
 
     def group_text(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: ids of A and B of each group."""
@@ -187,8 +211,7 @@ def align(df: DataFrame, key: str, text: str, bpe: str, pieces: str) -> DataFram
                 if ids is None:
                     rows.append((0, 0, 0, 0, "", b""))
                     continue
-                a, b = ids
-                ends_a, ends_b = np.cumsum(two.a.sizes(a)), np.cumsum(two.b.sizes(b))
+                a, b, ends_a, ends_b = ids
                 cut_a, cut_b = groups(ends_a.tolist(), ends_b.tolist())
                 at_a, at_b = links(ends_a, ends_b)
                 pairs = a[at_a].astype(np.uint64) << half | b[at_b].astype(np.uint64)

@@ -1,8 +1,12 @@
 """Judge URLs by a list of canonical prefixes: a blocked Bloom filter, then an exact join.
 
 Each listed prefix sets a few bits inside one block of the filter, so a probe looks at one row. Keys that
-the filter passes go to an exact join, which removes its false positives. The filter has a fixed largest
-size whatever the length of the list: a fuller filter passes more keys to the join and the result is the same.
+the filter passes go to an exact join, which removes its false positives. The filter grows with the list: up to
+MAX_BLOCKS it is broadcast, beyond that it meets the keys by block.
+
+A url is looked up by its host first. Only the host's own suffixes that are listed make keys, and only of the path
+lengths listed for them. Keys are counted before they are probed, so a common host or prefix is probed once, and what is
+found of it goes back to its urls by a join that spreads it.
 """
 
 from __future__ import annotations
@@ -11,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.frames import all_of, ascii_lower, fresh_name, keep
+from tradeloom.operators.skew import join_group_stats
 
 BLOCK_WORDS = 8  # 512 bits
 BITS_PER_KEY = 16
 PROBES = 6  # bits that a key sets in its block
-MAX_BLOCKS = 4096  # 256 KB, the bound of what is broadcast
+MAX_BLOCKS = 1 << 16  # 4 MB, the bound of what is broadcast
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -72,20 +77,33 @@ def possible_hits(keys: DataFrame, column: str, bloom: DataFrame, blocks: int) -
     """The rows of ``keys`` whose key may be in the filter, with columns as before."""
     words = F.array(*[F.col(f"w{w}") for w in range(BLOCK_WORDS)])
     set_there = [F.get(words, _word(bit)).bitwiseAND(_mask(bit)) != 0 for bit in _bits(F.col(column))]
-    probed = keys.join(F.broadcast(bloom), _block(F.col(column), blocks) == F.col("block"))
+    probed = keys.join(F.broadcast(bloom) if blocks <= MAX_BLOCKS else bloom, _block(F.col(column), blocks) == F.col("block"))
     return probed.where(all_of(set_there)).select(*keys.columns)
 
 
-def prefix_keys(host: Column, path: Column, labels: int, lengths: list[int]) -> Column:
-    """Every host suffix of at most ``labels`` labels with every path prefix of one of the ``lengths``."""
+def blocks_for(keys: int) -> int:
+    return keys * BITS_PER_KEY // (64 * BLOCK_WORDS) + 1
+
+
+def host_tails(host: Column, labels: int) -> Column:
+    """Every suffix of a host of at most ``labels`` labels; null for an empty host."""
     parts = F.split(host, r"\.")
     tails = F.transform(
         F.sequence(F.greatest(F.lit(1), F.size(parts) - F.lit(labels - 1)), F.size(parts)),
         lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    heads = F.transform(
-        F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.char_length(path)),
-        lambda n: F.substr(path, F.lit(1), n))
-    return F.when(host != "", F.flatten(F.transform(tails, lambda t: F.transform(heads, lambda h: F.concat(t, h)))))
+    return F.when(host != "", tails)
+
+
+def looked_up(rows: DataFrame, key: str, listed: DataFrame, count: int) -> DataFrame:
+    """``rows`` with the columns of ``listed``, which has one row for each of its ``count`` keys, where their key is one.
+
+    The distinct keys of the rows, with their numbers, pass the filter and the exact join; those that are left are the
+    groups of a join that spreads what is frequent.
+    """
+    numbers = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    blocks = blocks_for(count)
+    found = possible_hits(numbers, key, blocked_bloom(listed, key, blocks), blocks).join(listed, key)
+    return join_group_stats(rows, found, [key], "_rows").drop("_rows")
 
 
 def judge(pages: DataFrame, url: str, rules: DataFrame, otherwise: str = "allow") -> DataFrame:
@@ -99,18 +117,21 @@ def judge(pages: DataFrame, url: str, rules: DataFrame, otherwise: str = "allow"
     are replaced. No rules, or no pages, is no special case.
     """
     rules = keep(listed(rules))
-    shape = rules.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.size(F.split(F.substr("key", F.lit(1), F.col("host_length")), r"\."))).alias("labels"),
-        F.collect_set(F.char_length("key") - F.col("host_length")).alias("lengths"),
-    ).first()
-    blocks = min(MAX_BLOCKS, shape["n"] * BITS_PER_KEY // (64 * BLOCK_WORDS) + 1)
+    rule_host = F.substr("key", F.lit(1), F.col("host_length"))
+    hosts = keep(rules.groupBy(rule_host.alias("tail")).agg(
+        F.collect_set(F.char_length("key") - F.col("host_length")).alias("lengths"), F.count(F.lit(1)).alias("n")))
+    shape = hosts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rules"), F.count(F.lit(1)).alias("hosts"),
+        F.max(F.size(F.split("tail", r"\."))).alias("labels")).first()
 
     wanted = fresh_name(pages, "_url")
     urls = pages.select(F.col(url).alias(wanted)).where(F.col(wanted).isNotNull()).distinct()
-    keys = urls.select(wanted, F.explode(
-        prefix_keys(*host_and_path(F.col(wanted)), shape["labels"] or 1, sorted(shape["lengths"]))).alias("key"))
-    hits = possible_hits(keys, "key", blocked_bloom(rules, "key", blocks), blocks).join(rules, "key")
+    host, path = host_and_path(F.col(wanted))
+    tails = urls.select(wanted, path.alias("rest"), F.explode(host_tails(host, shape["labels"] or 1)).alias("tail"))
+    own = looked_up(tails, "tail", hosts.drop("n"), shape["hosts"])
+    heads = F.transform(F.filter("lengths", lambda n: n <= F.char_length("rest")), lambda n: F.substr("rest", F.lit(1), n))
+    keys = own.select(wanted, "tail", F.explode(heads).alias("head")).select(wanted, F.concat("tail", "head").alias("key"))
+    hits = looked_up(keys, "key", rules, shape["rules"])
     best = F.struct(F.char_length("key").alias("length"), "host_length", "rule", "verdict")
     verdicts = hits.groupBy(wanted).agg(F.max(best).alias("best"))
 
