@@ -375,7 +375,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
         F.coalesce(F.lag("class").over(bucket) != F.col("class"), F.lit(True)).alias("fresh"),
         (F.min("class").over(whole) != F.max("class").over(whole)).alias("crowded"))
     # A salted document alone under its salt may still share the signature under another.
-    met = kept_table(one_for_each_set(kept_table(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded"))))
+    met = kept_table(one_for_each_set(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded")))
     heads = met.where("salt > 0").groupBy("sig").agg(
         F.max(F.struct("central", "head")).alias("top"), F.min("class").alias("low"), F.max("class").alias("high"))
     heads = heads.where("low <> high").select("sig", F.col("top.head").alias("top"))
@@ -414,12 +414,11 @@ def one_for_each_set(met: DataFrame) -> DataFrame:
     The shingles of a passage that some documents share are as many signatures of the same documents, which would be
     paired for each of them. Sets of classes are told by their size and two sums of hashes.
     """
-    single = met.where("salt = 0")
-    size = F.count(F.lit(1)).alias("size")
-    sums = [F.sum(F.xxhash64("class", F.lit(seed)).cast("decimal(38,0)")).alias(f"sum{seed}") for seed in (1, 2)]
-    sets = single.groupBy("sig").agg(size, *sums)
-    least = sets.groupBy("size", "sum1", "sum2").agg(F.min("sig").alias("sig")).select("sig")
-    return single.join(least, "sig", "left_semi").select(met.columns).unionByName(met.where("salt > 0"))
+    bucket = Window.partitionBy("sig", "salt")
+    sums = {f"sum{seed}": F.sum(F.xxhash64("class", F.lit(seed)).cast("decimal(38,0)")).over(bucket) for seed in (1, 2)}
+    sized = met.withColumns({"size": F.count(F.lit(1)).over(bucket), **sums, "own": F.when(F.col("salt") > 0, F.struct("sig", "salt"))})
+    same = Window.partitionBy("size", "sum1", "sum2", "own")
+    return sized.withColumn("least", F.min("sig").over(same)).where("sig = least").select(met.columns)
 
 
 def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
