@@ -107,8 +107,7 @@ def trace(codes: bytes, rows: list[tuple[int, np.ndarray]], i: int, rest: int) -
     return "".join(out)
 
 
-@lru_cache(maxsize=50_000)
-def _short_repair(codes: bytes) -> tuple[int, str]:
+def _cheapest(codes: bytes) -> tuple[int, str]:
     bounds, most = reach(codes)
     rows = table(codes, bounds, most)
     starts = [("", 0, most)]  # what comes before the repeated pair, the turns it takes, what is left to pay
@@ -125,9 +124,12 @@ def _short_repair(codes: bytes) -> tuple[int, str]:
     return most, min(audits)
 
 
+_remembered = lru_cache(maxsize=50_000)(_cheapest)
+
+
 def repair(codes: bytes) -> tuple[int, str]:
-    """(cost, audit) of the cheapest repair, the least audit of those."""
-    return _short_repair(codes) if len(codes) <= 64 else _short_repair.__wrapped__(codes)
+    """(cost, audit) of the cheapest repair, the least audit of those. Those of short conversations are remembered."""
+    return _remembered(codes) if len(codes) <= 64 else _cheapest(codes)
 
 
 def damaged(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
