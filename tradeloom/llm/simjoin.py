@@ -8,8 +8,6 @@ alone never makes a candidate, and no link is lost.
 
 Candidates are found per signature, verified exactly on the tokens, and joined to components:
 
-Signatures of the same documents count once, so a shared passage makes a pair once and not for each of its shingles.
-
 1. Each signature's documents are held against its most central one (the one with most frequent tokens), which
    joins nearly all of a large group of copies at the cost of one pair a document; then those still apart are held
    against one more.
@@ -252,7 +250,7 @@ def token_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
         done = set()
         for batch in batches:
             keys = batch.column("key").fill_null(0)
-            passed = pa.array(_passes(wanted.value, keys.to_numpy(zero_copy_only=False)))
+            passed = pa.array(key_passes(wanted.value, keys.to_numpy(zero_copy_only=False)))
             batch, keys = batch.filter(passed), keys.filter(passed).to_pylist()
             for i, j, found in _rows(batch):
                 rows = []
@@ -297,7 +295,8 @@ def _places(keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [((hashed >> U64(s) & U64(FILTER_WORDS - 1)).astype(np.int64), hashed >> U64(s + 20) & U64(63)) for s in (0, 32)]
 
 
-def _passes(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def key_passes(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a filter lets through."""
     return np.logical_and.reduce([filled[word] >> bit & U64(1) > 0 for word, bit in _places(keys)])
 
 
@@ -375,7 +374,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
         F.coalesce(F.lag("class").over(bucket) != F.col("class"), F.lit(True)).alias("fresh"),
         (F.min("class").over(whole) != F.max("class").over(whole)).alias("crowded"))
     # A salted document alone under its salt may still share the signature under another.
-    met = kept_table(one_for_each_set(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded")))
+    met = kept_table(entries.where("fresh AND (crowded OR salt > 0)").drop("fresh", "crowded"))
     heads = met.where("salt > 0").groupBy("sig").agg(
         F.max(F.struct("central", "head")).alias("top"), F.min("class").alias("low"), F.max("class").alias("high"))
     heads = heads.where("low <> high").select("sig", F.col("top.head").alias("top"))
@@ -408,19 +407,6 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
     return components(links.union(verified(more, classes, docs, width, bound)))
 
 
-def one_for_each_set(met: DataFrame) -> DataFrame:
-    """``met`` (sig, salt, class, ...) with one signature, the least, of those without salts that have the same classes.
-
-    The shingles of a passage that some documents share are as many signatures of the same documents, which would be
-    paired for each of them. Sets of classes are told by their size and two sums of hashes.
-    """
-    bucket = Window.partitionBy("sig", "salt")
-    sums = {f"sum{seed}": F.sum(F.xxhash64("class", F.lit(seed)).cast("decimal(38,0)")).over(bucket) for seed in (1, 2)}
-    sized = met.withColumns({"size": F.count(F.lit(1)).over(bucket), **sums, "own": F.when(F.col("salt") > 0, F.struct("sig", "salt"))})
-    same = Window.partitionBy("size", "sum1", "sum2", "own")
-    return sized.withColumn("least", F.min("sig").over(same)).where("sig = least").select(met.columns)
-
-
 def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` (sig, class, ...) with the root of their class, of the signatures that are still in several components."""
     placed = rows.join(small(roots).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
