@@ -13,6 +13,7 @@ What moves is kept in proportion to the texts:
 2. Copies of a super-k-mer within a run of texts are sent once, by the least document; that the others lose it is known
    there and then.
 3. Buckets answer with the super-k-mers that lose a window, a bit for each; a document finds them again by their hashes.
+   Only documents that may have an answer move to it.
 
 Windows are told apart by 128 bits of hash.
 """
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.frames import bounded_batches, fresh_name, keep, partitions
+from tradeloom.llm.frames import bounded_batches, fresh_name, keep, kept_table, partitions
+from tradeloom.llm.simjoin import key_filter, key_passes
 from tradeloom.llm.textarrays import SAME, SLICE, Words, column_bytes, cut_out, mixed, run_hashes, slices, words
 
 U64 = np.uint64
@@ -317,10 +319,18 @@ def drop_repeats(df: DataFrame, key: str, text: str, window: int = WINDOW) -> Da
     wanted = -(-GROWTH * size // BUCKET_BYTES)
     buckets, cells = max(partitions(spark), wanted), CELLS * max(wanted, 1)
     hot = spark.sparkContext.broadcast(hot_cells(known, cells, window))
-    lost = answers(deal(known, buckets, cells, hot, window), buckets, window)
-    lost = lost.groupBy("key").agg(F.collect_list(F.struct("piece", "bits")).alias("lost"))
-    with_lost = known.join(lost, "key", "left").unionByName(
-        docs.where("key IS NULL").withColumn("lost", F.lit(None).cast(lost.schema["lost"].dataType)))
+    answered = kept_table(answers(deal(known, buckets, cells, hot, window), buckets, window))
+    lost = answered.groupBy("key").agg(F.collect_list(F.struct("piece", "bits")).alias("lost"))
+    # A filter of fixed size leaves out most texts that lose nothing: they need not move to meet what is lost.
+    losing = spark.sparkContext.broadcast(key_filter(answered.select("key")))
+
+    @F.arrow_udf(T.BooleanType())
+    def may_lose(keys: pa.Array) -> pa.Array:
+        return pa.array(key_passes(losing.value, keys.fill_null(0).to_numpy(zero_copy_only=False)))
+
+    nothing = F.lit(None).cast(lost.schema["lost"].dataType)
+    with_lost = known.where(may_lose("key")).join(lost, "key", "left").unionByName(
+        docs.where(F.col("key").isNull() | ~may_lose("key")).withColumn("lost", nothing))
     names = [key] + [fresh_name(df.select(key), n) for n in ("kept", "n_words", "n_removed")]
     schema = T.StructType([T.StructField(n, t) for n, t in zip(names, (T.LongType(), T.StringType(), T.LongType(), T.LongType()))])
 
