@@ -109,4 +109,23 @@ WITH RECURSIVE held AS (
 SELECT doc_id, source, tokens, round(weight, 9) AS weight, epochs, CAST(unnest(range(1, times + 1)) AS INTEGER) AS pass FROM passes
 """
 
-ORACLE = {"op1_sharding": SHARDING, "op5_mixing": MIXING, "op7_urlfilter": URLFILTER, "op9_simjoin": SIMJOIN}
+SUPERKMERS = """
+WITH held AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS said
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM held WHERE len(w) >= 13)
+), least AS (
+    SELECT said, min(doc_id) AS first FROM windows GROUP BY said
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place FROM windows JOIN least USING (said) WHERE first < doc_id
+), lists AS (
+    SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
+FROM held LEFT JOIN lists USING (doc_id)
+"""
+
+ORACLE = {"op1_sharding": SHARDING, "op5_mixing": MIXING, "op7_urlfilter": URLFILTER, "op9_simjoin": SIMJOIN,
+          "op11_superkmers": SUPERKMERS}
