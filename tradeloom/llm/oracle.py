@@ -127,5 +127,79 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
 FROM held LEFT JOIN lists USING (doc_id)
 """
 
+#: The cheapest edits by the least (cost, audit) for each state of the grammar, turn by turn: one insert at most before a turn,
+#: as two would lead back to the same state.
+REPAIR = r"""
+WITH RECURSIVE bits AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), faults AS (
+    SELECT conv_id, turn, role, text, xor(list_reduce(
+        list_transform(range(strlen(k)), lambda i: CAST('0x' || substr(hex(encode(k)), 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 20 AS f
+    FROM keyed CROSS JOIN bits
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM faults WHERE f <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown, left(role, 1) AS letter
+    FROM damaged
+), turns AS (
+    SELECT *, CASE WHEN shown = '' THEN 0 WHEN again THEN 1 WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 2 ELSE 3 END AS kind,
+           lag(letter) OVER (PARTITION BY conv_id ORDER BY n) AS former
+    FROM placed
+), follows(state, next) AS (
+    VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')
+), moves(state, next, price, edits) AS (
+    SELECT state, state, 0, '' FROM (VALUES (''), ('s'), ('u'), ('a')) AS states(state)
+    UNION ALL SELECT state, next, 5, 'I' FROM follows WHERE next <> 's'
+), steps(conv_id, n, state, best) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '', {'cost': 0, 'audit': ''} FROM conversations
+    UNION ALL
+    SELECT conv_id, n, state, min({'cost': cost, 'audit': audit}) FROM (
+        SELECT s.conv_id, t.n, CASE WHEN e.edit = 'D' THEN m.next ELSE f.next END AS state,
+               s.best.cost + m.price + CASE e.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+               + CASE WHEN e.edit <> 'D' AND t.kind = 2 THEN 5 ELSE 0 END AS cost, s.best.audit || m.edits || e.edit AS audit
+        FROM steps s
+        JOIN turns t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.n = s.n + 1
+        JOIN moves m ON m.state = s.state
+        CROSS JOIN (VALUES ('D'), ('K'), ('R')) AS e(edit)
+        LEFT JOIN follows f ON f.state = m.next AND e.edit <> 'D'
+        WHERE e.edit = 'D' OR (t.kind >= 2 AND f.next IS NOT NULL AND CASE WHEN e.edit = 'K' THEN f.next = t.letter ELSE f.next <> 's' END)
+    ) GROUP BY conv_id, n, state
+), sizes AS (
+    SELECT c.conv_id, count(t.n) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (kind = 0) AS blank, count(*) FILTER (kind = 1) AS duplicate, count(*) FILTER (kind = 2) AS truncated,
+           count(*) FILTER (former IS NOT NULL AND former || letter NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id
+), cheapest AS (
+    SELECT z.conv_id, min({'cost': s.best.cost + m.price, 'audit': s.best.audit || m.edits}) AS best
+    FROM sizes z JOIN steps s ON s.conv_id IS NOT DISTINCT FROM z.conv_id AND s.n = z.rows
+    JOIN moves m ON m.state = s.state AND m.next IN ('', 'a') GROUP BY z.conv_id
+), edits AS (
+    SELECT conv_id, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS p FROM cheapest
+), made AS (
+    SELECT e.conv_id, p, substr(audit, p, 1) AS edit, length(replace(substr(audit, 1, p), 'I', '')) AS n,
+           length(replace(substr(audit, 1, p), 'D', '')) - 1 - length(replace(audit, 'D', '')) % 2 AS place
+    FROM edits e
+), repaired AS (
+    SELECT m.conv_id, string_agg(CASE WHEN edit = 'K' THEN t.role WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN edit = 'I' THEN '' ELSE t.text END, chr(10) ORDER BY p) AS whole
+    FROM made m LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM m.conv_id AND t.n = m.n AND m.edit <> 'I'
+    WHERE edit <> 'D' GROUP BY m.conv_id
+)
+SELECT z.conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, CAST(c.best.cost AS BIGINT) AS cost,
+       c.best.audit AS audit, sha256(coalesce(r.whole, '')) AS repaired_sha256
+FROM sizes z JOIN cheapest c ON c.conv_id IS NOT DISTINCT FROM z.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM z.conv_id
+"""
+
 ORACLE = {"op1_sharding": SHARDING, "op5_mixing": MIXING, "op7_urlfilter": URLFILTER, "op9_simjoin": SIMJOIN,
-          "op11_superkmers": SUPERKMERS}
+          "op11_superkmers": SUPERKMERS, "op12_repair": REPAIR}
