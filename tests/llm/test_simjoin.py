@@ -173,3 +173,20 @@ def test_packed_tokens():
     x = np.unique(pick.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
     assert (simjoin.unpacked(simjoin.packed(x)) >> np.uint64(16) == x >> np.uint64(16)).all()
     assert len(simjoin.unpacked(b"")) == 0
+
+
+def test_pairs_of_many_common_signatures_meet_seldom(spark):
+    pick = random.Random(5)
+    sigs = [pick.randrange(-2**63, 2**63) for _ in range(400)]
+    held = {c: pick.sample(sigs, 200) for c in range(40)}
+    held |= {100: [7], 101: [7, sigs[0]], 102: [-9], 103: None}  # few signatures, and such of none else
+    rest = [(s, c, c % 30) for c, some in held.items() for s in some or []]
+    bits = simjoin.bit_map(np.arange(50, dtype=np.uint64)).tolist()
+    sizes = {c: 50 if c % 2 else 30 for c in held}
+    rest = spark.createDataFrame(rest, "sig long, class long, root long")
+    classes = spark.createDataFrame([(c, c, n, bits) for c, n in sizes.items()], "class long, key long, n long, bits array<long>")
+    met = [tuple(r) for r in simjoin.meetings(rest, classes, simjoin.Bound(80)).select("a", "b").collect()]
+    wanted = {(a, b) for a in held for b in held if a < b and a % 30 != b % 30 and sizes[a] == sizes[b]
+              and set(held[a] or []) & set(held[b] or [])}
+    assert set(met) == wanted
+    assert len(met) < 10 * len(wanted)  # of about 70 common signatures each

@@ -12,7 +12,8 @@ Candidates are found per signature, verified exactly on the tokens, and joined t
    joins nearly all of a large group of copies at the cost of one pair a document; then those still apart are held
    against one more.
 2. What shares a signature and is still in two components is compared pair by pair, after a bit-map bound on the
-   number of tokens that two documents do not share.
+   number of tokens that two documents do not share. Two documents that have many signatures in common meet at one
+   of them alone if a sketch of their signatures shows a common one.
 
 Equal token sets are one class from the start; tokens and classes are 64-bit hashes.
 """
@@ -42,6 +43,7 @@ LEVELS = 64  # of rank up to what chance puts into a cell
 MORE_HEADS = 1  # rounds in which a signature's documents are held against one more of them
 SALTS = 16  # by which the documents of a frequent signature are spread
 MAP_WORDS = 8  # 64-bit words of a document's bit map
+LEAST = 8  # buckets of signatures of which a document's least are known
 TOKEN_BYTES = 6  # of a token's hash that two documents are verified by: 48 bits tell their few thousand tokens apart
 FILTER_WORDS = 1 << 18  # of the 2 MB filter of documents whose tokens are needed
 
@@ -399,14 +401,30 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
         roots, pairs = keep(components(links)), pairs.union(tried)
         rest = rest.where("class <> head").select("sig", "class", "central")
 
-    rest = kept_table(still_apart(rest, roots).drop("central").join(small(classes.select("class", "n", "bits")), "class"))
-    left, right = (rest.select("sig", *[F.col(c).alias(f"{side}_{c}") for c in ("class", "root", "n", "bits")]) for side in "ab")
-    may = not_apart(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), bound)
-    more = left.join(right, (left["sig"] == right["sig"]) & (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root")) & may)
-    more = more.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = meetings(kept_table(still_apart(rest, roots).drop("central")), classes, bound)
+    more = more.distinct().join(pairs, ["a", "b"], "left_anti")
     return components(links.union(verified(more, classes, docs, width, bound)))
 
 
+def meetings(rest: DataFrame, classes: DataFrame, bound: Bound) -> DataFrame:
+    """(a, b): classes of different roots that share a signature of ``rest`` (sig, class, root) and may be linked.
+
+    A pair comes at each of its common signatures only if the least signatures of both, bucket by bucket, are all
+    different; else at the first that are equal, where both have a row.
+    """
+    bucket = F.pmod("sig", F.lit(LEAST))
+    least = rest.groupBy("class").agg(F.array(*[F.min(F.when(bucket == i, F.col("sig"))) for i in range(LEAST)]).alias("least"))
+    known = keep(least.join(classes.select("class", "n", "bits"), "class"))
+    rest = kept_table(rest.join(small(known), "class"))
+    left, right = (rest.select("sig", *[F.col(c).alias(f"{side}_{c}") for c in ("class", "root", "n", "bits", "least")]) for side in "ab")
+    may = not_apart(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), bound)
+    one, other = ([F.get(f"{side}_least", F.lit(i)) for i in range(LEAST)] for side in "ab")
+    place = F.coalesce(*[F.when(x == y, x) for x, y in zip(one, other)], left["sig"])
+    both = left.join(right, (left["sig"] == right["sig"]) & (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root"))
+                     & may & (place == left["sig"]))
+    return both.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
+
+
 def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` (sig, class, ...) with the root of their class, of the signatures that are still in several components."""
     placed = rows.join(small(roots).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
