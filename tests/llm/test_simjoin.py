@@ -163,6 +163,24 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("packed", [7, 100_000])
+def test_components_are_the_same_however_many_links_are_joined_at_once(spark, monkeypatch, packed):
+    monkeypatch.setattr("tradeloom.llm.components.PACKED", packed)
+    links = [(f"n{i:03}", f"n{i + 1:03}") for i in range(40)] + [("é", "n100"), ("n100", "𝄞"), ("x", "x"), (None, "y")]
+    got = components(spark.createDataFrame(links, "a string, b string").repartition(3)).collect()
+    assert sorted(tuple(r) for r in got) == sorted([(f"n{i:03}", "n000") for i in range(41)] + [(n, "n100") for n in ("n100", "é", "𝄞")])
+
+
+def test_few_links_take_few_jobs(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long").repartition(4)
+    spark.sparkContext.setJobGroup("few links", "")
+    try:
+        assert components(df).count() == 51
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few links")) <= 10
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_query(spark, sf):
     docs = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in op9_simjoin(spark, sf).collect()) == plain(docs, 4, 85)

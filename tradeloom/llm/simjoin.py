@@ -386,8 +386,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
 
     classes = keep(described.where("n > 0").groupBy("class").agg(
         F.min("key").alias("key"), F.min("n").alias("n"), F.any_value("bits").alias("bits")))
-    links = keep(verified(close_pairs(pairs, classes, bound), classes, docs, width, bound))
-    roots = keep(components(links))
+    roots = keep(components(verified(close_pairs(pairs, classes, bound), classes, docs, width, bound)))
 
     # The head of a signature without salts was held against all others already.
     rest = met.where("class <> head OR salt > 0").select("sig", "class", "central")
@@ -397,13 +396,13 @@ def linked_classes(docs: DataFrame, described: DataFrame, width: int, bound: Bou
             "head": F.first("class").over(again), "head_root": F.first("root").over(again)}))
         tried = rest.where("root <> head_root").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b"))
         tried = keep(tried.distinct().join(pairs, ["a", "b"], "left_anti"))
-        links = keep(links.union(verified(close_pairs(tried, classes, bound), classes, docs, width, bound)))
-        roots, pairs = keep(components(links)), pairs.union(tried)
+        roots = keep(components(roots.union(verified(close_pairs(tried, classes, bound), classes, docs, width, bound)).toDF("a", "b")))
+        pairs = pairs.union(tried)
         rest = rest.where("class <> head").select("sig", "class", "central")
 
     more = meetings(kept_table(still_apart(rest, roots).drop("central")), classes, bound)
     more = more.distinct().join(pairs, ["a", "b"], "left_anti")
-    return components(links.union(verified(more, classes, docs, width, bound)))
+    return components(roots.union(verified(more, classes, docs, width, bound)).toDF("a", "b"))
 
 
 def meetings(rest: DataFrame, classes: DataFrame, bound: Bound) -> DataFrame:
