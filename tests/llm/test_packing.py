@@ -3,12 +3,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tradeloom.llm import packing
+from tradeloom.llm.frames import giving_back
 from tradeloom.llm.queries import op6_packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,3 +108,35 @@ def test_query(spark, sf, tokenizer):
             assert r["ids_crc32"] == zlib.crc32(whole[at:at + r["length"]].tobytes())
             at += r["length"]
         assert at == len(whole)
+
+
+def test_idle_workers_hold_no_words(spark):
+    rows = [(i, " ".join(f"zq{i}x{j}" for j in range(2_000))) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert packing.pieces(docs, "doc_id", "text", PATH).agg({"doc_tokens": "count"}).first()[0] > 8
+
+    def held(batches):
+        for batch in batches:
+            known = packing.encoder.cache_info().currsize > 0
+            words = packing.encoder(PATH).letters.tobytes().count(b"zq") if known else 0
+            yield pa.RecordBatch.from_arrays([pa.array([known]), pa.array([words])], names=["known", "words"])
+
+    # idle workers take turns, so as many tasks reach all of them
+    found = spark.range(0, 64, numPartitions=64).mapInArrow(held, "known boolean, words long").collect()
+    assert any(r["known"] for r in found) and not sum(r["words"] for r in found)
+
+
+def test_what_a_task_has_freed_goes_back_to_the_system():
+    def taken():
+        with open("/proc/self/status") as status:
+            return next(int(line.split()[1]) / 1024 for line in status if line.startswith("RssAnon"))
+
+    def work(batches):
+        held = [np.ones(8_000) for _ in range(4_000)]
+        last.append(held[-1])
+        yield from batches
+
+    last = []
+    whole, closed = giving_back(work)(iter([1, 2])), giving_back(work)(iter([1, 2]))
+    assert next(whole) == 1 and (most := taken()) and list(whole) == [2] and taken() < most - 150
+    assert next(closed) == 1 and (most := taken()) and closed.close() is None and taken() < most - 150

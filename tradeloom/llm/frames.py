@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +57,27 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system. An executor keeps its Python workers, often more than it
+    has cores, for later tasks, and what each holds counts as the executor's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library is glibc
+        if trim:
+            trim(0)
+
+
+def giving_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task, with ``give_back`` at its end."""
+    def read(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return read
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A to Z and leave every other letter alone."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

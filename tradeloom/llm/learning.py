@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm.frames import bounded_batches
+from tradeloom.llm.frames import bounded_batches, giving_back
 
 FOLDS = 5
 
@@ -47,7 +49,7 @@ def score_column(text: Column, model, spark: SparkSession) -> Column:
     held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array(held.value.score(texts), pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(lambda texts: (pa.array(held.value.score(t), pa.float64()) for t in texts))(batches)
 
     return score(text)

@@ -7,8 +7,10 @@ own, in the bucket of its length, so no sequence crosses documents and none need
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.frames import bounded_batches
+from tradeloom.llm.frames import bounded_batches, giving_back
 from tradeloom.llm.textarrays import SAME, byte_table, cut_out, words
 
 SEPARATOR = 0
@@ -47,6 +49,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Tasks run side by side already; threads of the library would each hold memory besides.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
@@ -173,6 +177,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@contextmanager
+def lent_encoder(path: str) -> Iterator[Encoder]:
+    """The encoder for one task: its tokenizer stays loaded, its words are not kept by a worker that may be idle next."""
+    lent = encoder(path)
+    try:
+        yield lent
+    finally:
+        lent.forget()
+
+
 def binary_lengths(tokens: int, window: int) -> Iterator[int]:
     """Lengths of the pieces of a document: windows, then falling powers of two."""
     yield from piece_lengths(np.array([tokens]), window)[1].tolist()
@@ -225,8 +239,7 @@ def pieces(df: DataFrame, key: str, text: str, tokenizer: str, window: int = 102
         T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     ])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_all
+    def cut(encode: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         numbers = np.zeros(window.bit_length(), np.int64)
         for keys, texts, kind in runs(batches):
@@ -257,7 +270,11 @@ def pieces(df: DataFrame, key: str, text: str, tokenizer: str, window: int = 102
                 part[3] = part[3].cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(part, names=schema.names)
 
-    return df.select(key, F.col(text)).mapInArrow(cut, schema)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with lent_encoder(tokenizer) as lent:
+            yield from cut(lent.encode_all, batches)
+
+    return df.select(key, F.col(text)).mapInArrow(giving_back(read), schema)
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:

@@ -33,7 +33,7 @@ from pyspark.sql import Window
 from pyspark.sql.types import LongType
 
 from tradeloom.llm.components import components
-from tradeloom.llm.frames import bounded_batches, keep, kept_table, partitions, small
+from tradeloom.llm.frames import bounded_batches, giving_back, keep, kept_table, partitions, small
 from tradeloom.llm.textarrays import column_bytes, mixed, shingles, slices, words
 
 U64 = np.uint64
@@ -133,7 +133,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
                 names=names)
 
     names = ["key", "n", "class", "bits", "part", "counts"]
-    return docs.mapInArrow(read, "key long, n long, class long, bits array<long>, part int, counts binary")
+    return docs.mapInArrow(giving_back(read), "key long, n long, class long, bits array<long>, part int, counts binary")
 
 
 def frequencies(described: DataFrame) -> Frequencies:
@@ -232,7 +232,7 @@ def index(docs: DataFrame, width: int, bound: Bound, freq) -> DataFrame:
                          pa.array(np.concatenate(central)), pa.array(np.concatenate(salts))],
                         names=["sig", "class", "central", "salt"])
 
-    return docs.mapInArrow(read, "sig long, class long, central int, salt int")
+    return docs.mapInArrow(giving_back(read), "sig long, class long, central int, salt int")
 
 
 def bit_map(tokens: np.ndarray) -> np.ndarray:
@@ -267,7 +267,7 @@ def token_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
                         [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
                         names=["key", "class", "tokens"])
 
-    return docs.mapInArrow(read, "key long, class long, tokens binary")
+    return docs.mapInArrow(giving_back(read), "key long, class long, tokens binary")
 
 
 def packed(tokens: np.ndarray) -> bytes:
